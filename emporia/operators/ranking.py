@@ -91,7 +91,10 @@ def lower_median(
     by = list(by)
     if rows is not None and rows <= plain_rows:
         return df.groupBy(*by).agg(
-            *[F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{v}`)").alias(n) for v, n in values.items()]
+            *[
+                F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{v}`)").cast(df.schema[v].dataType).alias(n)
+                for v, n in values.items()
+            ]
         )
     merged = df.select(*by).distinct() if by else None
     for value, name in values.items():

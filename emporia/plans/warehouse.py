@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
@@ -74,7 +74,7 @@ class Warehouse:
     def __init__(
         self,
         spark: SparkSession,
-        sources: dict[str, DataFrame],
+        sources: Mapping[str, DataFrame],
         *,
         store: str | None = None,
         calendar: tuple[str, str] | None = CALENDAR,

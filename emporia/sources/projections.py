@@ -6,6 +6,8 @@ text flags, NULLs, blanks, negative mentions, unknown and unparsable promotions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 _CODE = "LPAD(CAST({key} AS STRING), CAST(GREATEST(5, LENGTH(CAST({key} AS STRING))) AS INT), '0')"
@@ -155,5 +157,22 @@ def raw_table(spark: SparkSession, folder: str, name: str, families: bool = Fals
     return spark.sql(text, **{base: scan})
 
 
-def raw_tables(spark: SparkSession, folder: str, families: bool = False) -> dict[str, DataFrame]:
-    return {name: raw_table(spark, folder, name, families) for name in SQL}
+class RawTables(Mapping[str, DataFrame]):
+    """The ten source tables by name; a table is scanned only when it is asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, families: bool = False) -> None:
+        self._spark, self._folder, self._families = spark, folder, families
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in SQL:
+            raise KeyError(name)
+        return raw_table(self._spark, self._folder, name, self._families)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SQL)
+
+    def __len__(self) -> int:
+        return len(SQL)
+
+    def __contains__(self, name: object) -> bool:
+        return name in SQL
