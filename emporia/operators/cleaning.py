@@ -7,7 +7,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Accented letters that become plain ones.
@@ -28,20 +28,20 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def dedup_keep_first(df: DataFrame, keys: list[str], order_by: Iterable[str | Column] = ()) -> DataFrame:
-    """First row per key in the given order; rows with a missing key go.
+def dedup_keep_first(df: DataFrame, keys: list[str], order_by: Iterable[str] = ()) -> DataFrame:
+    """First row per key in the order of the named columns; rows with a missing key go.
 
-    Every remaining column breaks ties, so the kept row does not depend on the partitioning. The minimum of
-    a struct is an aggregate: each task reduces its copies of a hot key before the shuffle, and Catalyst
-    knows that the result is unique on the keys (it can then drop an unused left join to it).
+    The remaining columns break ties, so the kept row does not depend on the partitioning. The minimum of a
+    struct is an aggregate: each task reduces its copies of a hot key before the shuffle, and Catalyst knows
+    that the result is unique on the keys (it can then drop an unused left join to it).
     """
-    payload = [name for name in df.columns if name not in keys]
-    if not payload:
-        return df.dropna(subset=keys).distinct()
-    ranks = [F.col(o).alias(f"_o{i}") if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order_by)]
-    row = F.struct(*ranks, *[F.col(name) for name in payload])
-    first = df.dropna(subset=keys).groupBy(*keys).agg(F.min(row).alias("_row"))
-    return first.select(*[F.col(n) if n in keys else F.col(f"_row.{n}").alias(n) for n in df.columns])
+    first = [name for name in order_by if name not in keys]
+    row = [*first, *[name for name in df.columns if name not in keys and name not in first]]
+    present = df.dropna(subset=keys)
+    if not row:
+        return present.distinct()
+    kept = present.groupBy(*keys).agg(F.min(F.struct(*row)).alias("_row"))
+    return kept.select(*[F.col(n) if n in keys else F.col(f"_row.{n}").alias(n) for n in df.columns])
 
 
 def fill_missing(df: DataFrame, columns: list[str], value: float = 0) -> DataFrame:

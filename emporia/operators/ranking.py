@@ -111,6 +111,21 @@ def lower_median(
     return merged
 
 
+def interpolated_median(
+    df: DataFrame, value: str, name: str, *, rows: int | None = None, plain_rows: int = PLAIN_ROWS
+) -> DataFrame:
+    """Median of all non-NULL values, the mean of the two middle ones for an even count; one row."""
+    if rows is not None and rows <= plain_rows:
+        return df.agg(F.expr(f"percentile(`{value}`, 0.5)").alias(name))
+    low, high = F.ceil(F.col("_all") / 2), F.floor(F.col("_all") / 2) + 1
+    last = F.col("_below") + F.col("_n")
+    middle = value_positions(df, value, (), buckets_for(rows)).select(
+        F.when((F.col("_below") < low) & (low <= last), F.col(value)).alias("_low"),
+        F.when((F.col("_below") < high) & (high <= last), F.col(value)).alias("_high"),
+    )
+    return middle.agg(((F.max("_low") + F.max("_high")) / 2).alias(name))
+
+
 def weighted_lower_median(
     histogram: DataFrame, value: str, weight: str, name: str, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -53,7 +53,10 @@ def _with_revenue(totals: DataFrame, keys: list[str]) -> DataFrame:
     return totals.select(*keys, VOLUME, from_cents(F.col("_cents")).alias(REVENUE))
 
 
-BAND = age_band(F.col("age"))
+def _band() -> Column:
+    return age_band(F.col("age"))
+
+
 FACT_CLIENTS_PRODUCTS = ("mrt_fct_commandes", "mrt_dim_clients", "mrt_dim_produits")
 
 
@@ -109,7 +112,7 @@ def products_by_gender(fact: DataFrame, clients: DataFrame, products: DataFrame)
 
 @model("v_produits_plebiscites_par_tranche_age_simple", *FACT_CLIENTS_PRODUCTS)
 def product_sales_by_age(fact: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
-    totals = product_sales(fact, products, ["produit", "categorie"], "tranche_age", BAND, clients)
+    totals = product_sales(fact, products, ["produit", "categorie"], "tranche_age", _band(), clients)
     return _with_revenue(totals, ["tranche_age", "id_produit", "produit", "categorie"])
 
 
@@ -121,7 +124,7 @@ def top_products_by_age(items: DataFrame) -> DataFrame:
 
 @model("v_categories_plebiscitees_par_tranche_age_simple", *FACT_CLIENTS_PRODUCTS)
 def category_sales_by_age(fact: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
-    totals = product_sales(fact, products, ["categorie"], "tranche_age", BAND, clients)
+    totals = product_sales(fact, products, ["categorie"], "tranche_age", _band(), clients)
     return sales_per(totals, ["tranche_age", "categorie"])
 
 
@@ -134,7 +137,7 @@ def categories_by_age(items: DataFrame) -> DataFrame:
 def preferred_products_by_age(fact: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
     """Top five products per age band by quantity or by catalogue value, cancelled orders included."""
     orders = fact.where(F.col("id_produit").isNotNull()).select("id_client", "id_produit", "quantite")
-    banded = lookup(orders, clients.select("id_client", BAND.alias("tranche_age")), "id_client", "inner")
+    banded = lookup(orders, clients.select("id_client", _band().alias("tranche_age")), "id_client", "inner")
     totals = banded.groupBy("tranche_age", "id_produit").agg(F.sum("quantite").alias("total_achete"))
     priced = lookup(totals, products.select("id_produit", "produit", "prix"), "id_produit", "inner")
     # One price per product: quantity times price is the sum of the order values.
