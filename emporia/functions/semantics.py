@@ -5,9 +5,8 @@ Everything else is used straight from ``pyspark.sql.functions``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from emporia.functions import labels
 
@@ -52,27 +51,13 @@ def sum_exact(amount: Column) -> Column:
     return F.sum(amount.cast("decimal(18,4)"))
 
 
-def to_whole(df: DataFrame, name: str) -> Column:
-    """Whole number: fractions round half away from zero instead of being cut; text must parse."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return F.round(F.col(name)).cast("bigint")
-    return F.col(name).cast("bigint")
-
-
-def flag(value: Column, yes_no: tuple[str, str]) -> Column:
-    """True / False for the two known words, NULL for anything else."""
-    yes, no = yes_no
-    return F.when(value == yes, F.lit(True)).when(value == no, F.lit(False))
-
-
 def strip(text: Column) -> Column:
     """Trim every kind of white space (``trim`` removes blanks only)."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (strip(text) == "")
+    return text.isNull() | ~text.rlike(r"\S")
 
 
 def fill_blank(text: Column, default: Column) -> Column:

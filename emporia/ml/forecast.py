@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from emporia.functions.semantics import cents, from_cents
 from emporia.ml.features import categories_of, lag_features, one_hot
 from emporia.ml.models import FEATURES, boosted_trees, feature_table
-from emporia.operators.joins import lookup
 from emporia.plans.sales import PAID, not_cancelled
 from emporia.sources.shared import written
 
@@ -29,7 +28,7 @@ def monthly_revenue(fact: DataFrame, products: DataFrame, days: DataFrame) -> Da
         .groupBy(F.col("date_commande").alias("date_jour"), "id_produit")
         .agg(F.sum(cents(F.col(PAID))).alias("_cents"))
     )
-    named = lookup(daily, products.select("id_produit", CATEGORY), "id_produit", "inner")
+    named = daily.join(products.select("id_produit", CATEGORY), "id_produit")
     per_day = named.groupBy("date_jour", CATEGORY).agg(F.sum("_cents").alias("_cents"))
     return (
         per_day.join(days.select("date_jour", "annee", "mois"), "date_jour")
@@ -61,9 +60,7 @@ def fit_forecaster(
 
 def _value_at(month: Column) -> Column:
     """Revenue of a month among the recent ones, NULL when it is not there."""
-    return F.element_at(
-        F.transform(F.filter("_recent", lambda r: r[DAY] == month), lambda r: r[REVENUE]), 1
-    )
+    return F.get(F.filter("_recent", lambda r: r[DAY] == month), 0)[REVENUE]
 
 
 def forecast(

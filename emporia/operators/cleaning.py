@@ -37,11 +37,11 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order_by: Iterable[str] = (
     """
     first = [name for name in order_by if name not in keys]
     row = [*first, *[name for name in df.columns if name not in keys and name not in first]]
-    present = df.dropna(subset=keys)
+    present = df.where(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))
     if not row:
         return present.distinct()
     kept = present.groupBy(*keys).agg(F.min(F.struct(*row)).alias("_row"))
-    return kept.select(*[F.col(n) if n in keys else F.col(f"_row.{n}").alias(n) for n in df.columns])
+    return kept.select(*keys, "_row.*").select(*df.columns)
 
 
 def fill_missing(df: DataFrame, columns: list[str], value: float = 0) -> DataFrame:
@@ -50,7 +50,7 @@ def fill_missing(df: DataFrame, columns: list[str], value: float = 0) -> DataFra
 
 def keep_non_negative(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows where every column is zero or more; a missing value fails too."""
-    return df.filter(reduce(lambda a, b: a & b, [F.col(c) >= 0 for c in columns]))
+    return df.where(" AND ".join(f"`{column}` >= 0" for column in columns))
 
 
 def keep_present(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -18,7 +18,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     for key in keys:
         same = F.col(key).eqNullSafe(F.col(f"_r_{key}"))
         on = same if on is None else on & same
-    return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in keys])
+    joined = left.join(renamed, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{c}" for c in keys])
 
 
 def heavy_keys(df: DataFrame, keys: list[str], share: int = HEAVY_SHARE) -> DataFrame:

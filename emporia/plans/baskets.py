@@ -87,6 +87,6 @@ def favourite_products(favourites: DataFrame, products: DataFrame) -> DataFrame:
         "categorie",
         "sous_categorie",
     )
-    return lookup(counts, details, "id_produit_favori", "inner").select(
+    return counts.join(details, "id_produit_favori").select(
         "id_produit_favori", "nom_produit_favoris", "categorie", "sous_categorie", "nb_clients_ayant_favori"
     )

@@ -39,23 +39,45 @@ STAGING_CHECKS: list[Check] = [
 ]
 
 
-def missing_values(model: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows with a missing value per column, all columns of a model in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns])
-    return counts.select(F.explode(entries).alias("_e")).select(
-        F.lit(model).alias("model"), "_e.column", F.lit(NOT_NULL).alias("test"), "_e.failures"
+def _rows(model: str, counted: DataFrame, failures: dict[tuple[str, str], str]) -> DataFrame:
+    """One report row per (column, test) from a one-row frame that holds each count in the named column."""
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(model).alias("model"),
+                F.lit(column).alias("column"),
+                F.lit(test).alias("test"),
+                F.col(name).alias("failures"),
+            )
+            for (column, test), name in failures.items()
+        ]
     )
+    return counted.select(F.explode(entries).alias("_e")).select("_e.*")
 
 
-def duplicate_values(model: str, df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once; missing values do not count."""
-    repeated = (
-        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    )
-    return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(UNIQUE).alias("test"), "failures"
+def missing_values(model: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with a missing value per column, all columns of a model in one pass."""
+    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(columns)])
+    return _rows(model, counted, {(c, NOT_NULL): f"_{i}" for i, c in enumerate(columns)})
+
+
+def key_values(model: str, df: DataFrame, column: str, *, not_null: bool) -> DataFrame:
+    """Values that occur more than once and, on request, rows without a value, from one grouping.
+
+    Missing values do not count as duplicates. A model that was deduplicated on the column is already
+    partitioned by it, so the grouping needs no further shuffle.
+    """
+    present = F.col(column).isNotNull()
+    counted = (
+        df.groupBy(column)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.count_if(present & (F.col("_n") > 1)).alias("_repeated"),
+            F.coalesce(F.sum(F.when(~present, F.col("_n"))), F.lit(0)).cast("bigint").alias("_missing"),
+        )
     )
+    failures = {(column, NOT_NULL): "_missing"} if not_null else {}
+    return _rows(model, counted, failures | {(column, UNIQUE): "_repeated"})
 
 
 def run_checks(table: Callable[[str], DataFrame], checks: Iterable[Check] = STAGING_CHECKS) -> DataFrame:
@@ -64,11 +86,11 @@ def run_checks(table: Callable[[str], DataFrame], checks: Iterable[Check] = STAG
     parts = []
     for model in dict.fromkeys(c.model for c in checks):
         present = [c.column for c in checks if c.model == model and c.test == NOT_NULL]
-        if present:
-            parts.append(missing_values(model, table(model), present))
-        parts.extend(
-            duplicate_values(model, table(model), c.column) for c in checks if c.model == model and c.test == UNIQUE
-        )
+        unique = [c.column for c in checks if c.model == model and c.test == UNIQUE]
+        parts.extend(key_values(model, table(model), c, not_null=c in present) for c in unique)
+        others = [c for c in present if c not in unique]
+        if others:
+            parts.append(missing_values(model, table(model), others))
     return reduce(DataFrame.unionByName, parts)
 
 

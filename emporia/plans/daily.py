@@ -19,10 +19,10 @@ def run_daily(
     calendar: tuple[str, str] | None = None,
     indicators: Iterable[str] = (),
 ) -> Warehouse:
-    """Replace every table model below ``store`` and the named indicators below ``store/indicators``.
+    """Replace the cleaned sources, every table model and the named indicators below ``store``.
 
-    The job can be repeated: each table is replaced as a whole, and a failed check stops it with an error
-    before any table is written.
+    The job can be repeated: each table is replaced as a whole. A failed check stops it with an error after
+    the cleaned sources and before any model is written.
     """
     options = {"calendar": calendar} if calendar else {"calendar": None}
     warehouse = Warehouse(spark, sources, store=store, **options)

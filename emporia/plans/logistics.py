@@ -47,8 +47,8 @@ def breakdowns(machines: DataFrame, fact: DataFrame, warehouses: DataFrame) -> D
     delays = fact.groupBy(
         F.col("id_entrepot_depart").alias("id_entrepot"), dates.month_key(F.col("date_commande")).alias("annee_mois")
     ).agg(F.avg(delivery_days()).alias("delai_moyen_livraison_entrepot_mois"))
-    joined = lookup(monthly, delays, ["id_entrepot", "annee_mois"])
-    return lookup(joined, warehouses.select("id_entrepot", "localisation"), "id_entrepot").select(
+    joined = monthly.join(delays, ["id_entrepot", "annee_mois"], "left")
+    return lookup(joined, warehouses.select("id_entrepot", "localisation"), "id_entrepot", sample=machines).select(
         "id_machine",
         "id_entrepot",
         "localisation",
@@ -77,7 +77,7 @@ def warehouse_months(machines: DataFrame, fact: DataFrame, warehouses: DataFrame
         .agg(F.count_if("_late").alias("_late_orders"))
     )
     months = warehouses.select("id_entrepot", "localisation").join(volumes, "id_entrepot", "left")
-    return lookup(months, late, ["id_entrepot", "annee_mois"]).select(
+    return months.join(late, ["id_entrepot", "annee_mois"], "left").select(
         "id_entrepot",
         "localisation",
         "annee_mois",
@@ -98,6 +98,6 @@ def orders_per_warehouse(fact: DataFrame, warehouses: DataFrame) -> DataFrame:
     counts = fact.groupBy(
         F.col("id_entrepot_depart").alias("id_entrepot"), dates.month_key(F.col("date_commande")).alias("annee_mois")
     ).agg(F.count("id_commande").alias("nombre_commandes"))
-    return lookup(counts, warehouses.select("id_entrepot", "localisation"), "id_entrepot", "inner").select(
+    return counts.join(warehouses.select("id_entrepot", "localisation"), "id_entrepot").select(
         "id_entrepot", "localisation", "annee_mois", "nombre_commandes"
     )

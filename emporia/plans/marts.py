@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import dates, labels
-from emporia.functions.semantics import amount_due, fill_blank, product_code, promotion_value, round_money, strip
+from emporia.functions.semantics import amount_due, fill_blank, is_blank, product_code, promotion_value, round_money
 from emporia.operators.joins import lookup
 from emporia.plans.warehouse import CALENDAR_SPAN, model
 
@@ -78,7 +78,7 @@ def orders(orders: DataFrame, lines: DataFrame, products: DataFrame, promotions:
     offers = promotions.select(F.col("id_promotion").alias("_offer"), "type_promotion", "valeur_promotion")
     # The key is taken as written while the flag ignores blanks: "P012 " counts as promoted but finds no offer.
     code = F.concat(F.lit("PROM"), F.substring("id_promotion", 2, 1_000_000))
-    promoted = F.coalesce(strip(F.col("id_promotion")) != "", F.lit(False))
+    promoted = ~is_blank(F.col("id_promotion"))
     joined = orders.withColumn("_offer", code).join(lines, "id_commande", "left")
     joined = lookup(joined, prices, "id_produit", sample=lines)
     joined = lookup(joined, offers, "_offer", sample=orders.select(code.alias("_offer")))

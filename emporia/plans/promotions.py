@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.semantics import cents, from_cents, round_half_away, sum_exact
-from emporia.operators.joins import lookup
 from emporia.operators.ranking import global_rank
 from emporia.plans.sales import PAID, not_cancelled
 from emporia.plans.warehouse import model
@@ -41,7 +40,7 @@ def promotion_effect(fact: DataFrame, products: DataFrame) -> DataFrame:
         F.count_if(offer.isNotNull()).alias("nb_commandes_avec_promo"),
         F.count_if(offer.isNull()).alias("nb_commandes_sans_promo"),
     )
-    named = lookup(totals, products.select("id_produit", "produit", "categorie", "marque"), "id_produit")
+    named = totals.join(products.select("id_produit", "produit", "categorie", "marque"), "id_produit", "left")
     promoted, plain = F.col("nb_commandes_avec_promo"), F.col("nb_commandes_sans_promo")
     paid, full = F.col("montant_reel"), F.col("montant_sans_promo")
     return named.select(
@@ -80,7 +79,7 @@ def promotion_sensitivity(fact: DataFrame, products: DataFrame, min_quantity: in
         )
         .where(F.col("_quantity") >= min_quantity)
     )
-    named = lookup(totals, products.select("id_produit", "produit", "categorie"), "id_produit", "inner")
+    named = totals.join(products.select("id_produit", "produit", "categorie"), "id_produit")
     items = named.select(
         "id_produit",
         "produit",

@@ -29,7 +29,7 @@ def product_sales(
     """Quantity and paid amount per product (and client group).
 
     Orders are reduced to one row per product and group before product attributes are joined, so the only
-    full-size join is the one that finds the client's group.
+    full-size join is the one that finds the client's group; a hot product is a handful of rows by then.
     """
     orders = not_cancelled(fact).where(F.col("id_produit").isNotNull())
     if clients is not None:
@@ -40,7 +40,7 @@ def product_sales(
         F.sum(F.coalesce("quantite", F.lit(0))).alias(VOLUME),
         F.sum(F.coalesce(cents(F.col(PAID)), F.lit(0))).alias("_cents"),
     )
-    return lookup(totals, products.select("id_produit", *attributes), "id_produit", "inner")
+    return totals.join(products.select("id_produit", *attributes), "id_produit")
 
 
 def sales_per(totals: DataFrame, keys: list[str]) -> DataFrame:
@@ -139,7 +139,7 @@ def preferred_products_by_age(fact: DataFrame, clients: DataFrame, products: Dat
     orders = fact.where(F.col("id_produit").isNotNull()).select("id_client", "id_produit", "quantite")
     banded = lookup(orders, clients.select("id_client", _band().alias("tranche_age")), "id_client", "inner")
     totals = banded.groupBy("tranche_age", "id_produit").agg(F.sum("quantite").alias("total_achete"))
-    priced = lookup(totals, products.select("id_produit", "produit", "prix"), "id_produit", "inner")
+    priced = totals.join(products.select("id_produit", "produit", "prix"), "id_produit")
     # One price per product: quantity times price is the sum of the order values.
     value = (F.col("total_achete") * F.col("prix").cast("decimal(18,4)")).cast("double")
     items = priced.select("tranche_age", "id_produit", "produit", "total_achete", value.alias("total_CA"))

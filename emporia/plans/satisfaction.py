@@ -11,6 +11,7 @@ from emporia.operators.joins import lookup
 from emporia.plans.logistics import delivery_days, with_late_flag
 from emporia.plans.sales import PAID
 from emporia.plans.warehouse import model
+from emporia.sources.shared import written
 
 
 def _commented(reviews: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def notes_by_category(reviews: DataFrame, fact: DataFrame, products: DataFrame)
     monthly = noted.groupBy("id_produit", dates.month_key(F.col("date_commande")).alias("mois_commande")).agg(
         F.avg("note_client").alias("note_moyenne"), F.count(F.lit(1)).alias("nb_avis")
     )
-    return lookup(monthly, products.select("id_produit", "categorie"), "id_produit", "inner").select(
+    return monthly.join(products.select("id_produit", "categorie"), "id_produit").select(
         "categorie", "id_produit", "mois_commande", "note_moyenne", "nb_avis"
     )
 
@@ -72,9 +73,10 @@ def notes_by_product(reviews: DataFrame, fact: DataFrame, products: DataFrame, m
             "id_commande",
         )
     )
+    noted = written(noted, "noted")  # read twice: to find the products and to list their orders
     often = noted.groupBy("id_produit").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
-    # One unique right side: the frequent products with their names.
-    named = lookup(often.select("id_produit"), products.select("id_produit", "produit", "categorie"), "id_produit", "inner")
+    # One right side, unique on the product: the frequent products with their names.
+    named = often.select("id_produit").join(products.select("id_produit", "produit", "categorie"), "id_produit")
     return lookup(noted, named, "id_produit", "inner").select(
         "id_commande",
         "note_client",

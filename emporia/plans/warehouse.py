@@ -22,21 +22,20 @@ class Model:
     refs: tuple[str, ...]
     build: Callable[..., DataFrame]
     table: bool = False
-    partition_by: tuple[str, ...] = ()
 
 
 MODELS: dict[str, Model] = {}
 
 
 def model(
-    name: str, *refs: str, table: bool = False, partition_by: Iterable[str] = ()
+    name: str, *refs: str, table: bool = False
 ) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
     """Register a model; its function receives the DataFrames of ``refs`` in order."""
 
     def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         if name in MODELS:
             raise ValueError(f"model {name} is declared twice")
-        MODELS[name] = Model(name, refs, build, table, tuple(partition_by))
+        MODELS[name] = Model(name, refs, build, table)
         return build
 
     return register
@@ -67,8 +66,9 @@ def _load_models() -> None:
 class Warehouse:
     """Models over a set of raw source tables.
 
-    Models are lazy plans by default. With ``store`` set, models declared as tables are written there once
-    and read back, which is how the shared fact and dimensions are meant to be used on large data.
+    Models are lazy plans by default. With ``store`` set, the cleaned sources and the models declared as
+    tables are written there once and read back, which is how the shared fact and dimensions are meant to be
+    used on large data.
     """
 
     def __init__(
@@ -91,7 +91,15 @@ class Warehouse:
         """A raw table after the ingest cleaning of its recipe."""
         if name not in self._sources:
             raise ValueError(f"no data found for source table: {name}")
-        return clean_table(name, self._sources[name])
+        return self._stored(clean_table(name, self._sources[name]), f"sources/{name}")
+
+    def _stored(self, frame: DataFrame, name: str) -> DataFrame:
+        """Written below the store and read back; unchanged without a store."""
+        if not self._store:
+            return frame
+        path = f"{self._store}/{name}"
+        replace_table(frame, path)
+        return self.spark.read.schema(frame.schema).parquet(path)
 
     def _calendar_span(self) -> DataFrame:
         if self._calendar is None:
@@ -115,15 +123,7 @@ class Warehouse:
             raise KeyError(f"unknown model {name}")
         found = MODELS[name]
         frame = found.build(*[self.ref(r) for r in found.refs])
-        if found.table and self._store:
-            path = f"{self._store}/{name}"
-            schema = frame.schema
-            if found.partition_by:
-                # Ranges of the partition column keep few files per folder and split a large one over tasks.
-                frame = frame.repartitionByRange(*found.partition_by, frame.columns[0])
-            replace_table(frame, path, partition_by=list(found.partition_by))
-            frame = self.spark.read.schema(schema).parquet(path)
-        self._built[name] = frame
+        self._built[name] = frame = self._stored(frame, name) if found.table else frame
         return frame
 
     def build(self, *names: str) -> dict[str, DataFrame]:

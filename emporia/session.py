@@ -21,6 +21,7 @@ def local_session(name: str, cpus: str = "*", memory: str = "8g") -> SparkSessio
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME.items():
         builder = builder.config(key, value)

@@ -144,6 +144,19 @@ _BASE = {
 }
 
 
+# Columns that the projections read.
+BASE_SCHEMAS = {
+    "customer": "c_custkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_returnflag string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table_sql(name: str, families: bool = False) -> str:
     if name == "details_commandes" and families:
         return _DETAILS % FAMILY_ID
@@ -152,7 +165,7 @@ def table_sql(name: str, families: bool = False) -> str:
 
 def raw_table(spark: SparkSession, folder: str, name: str, families: bool = False) -> DataFrame:
     base = _BASE[name]
-    scan = spark.read.parquet(f"{folder}/{base}.parquet")
+    scan = spark.read.schema(BASE_SCHEMAS[base]).parquet(f"{folder}/{base}.parquet")
     text = table_sql(name, families).replace(f"FROM {base}", "FROM {" + base + "}")
     return spark.sql(text, **{base: scan})
 

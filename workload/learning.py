@@ -159,7 +159,7 @@ _LAGS = f"""SELECT *, lag(ca_ventes) OVER w AS ca_ventes_prec, lag(ca_ventes, 2)
 @query(
     "ml_lag_features",
     f"""SELECT categorie, date, ca_ventes, ca_ventes_prec, ca_ventes_prec_2,
-        {near('CASE WHEN lag(ca_ventes, 2) OVER w IS NOT NULL THEN avg(ca_ventes) OVER (w ROWS 2 PRECEDING) END', 4)}
+        {near('CASE WHEN count(ca_ventes) OVER (w ROWS 2 PRECEDING) = 3 THEN avg(ca_ventes) OVER (w ROWS 2 PRECEDING) END', 4)}
             AS moyenne_mobile_3m, {near('ca_ventes / nullif(ca_ventes_prec, 0) - 1', 4)} AS variation_pourcent
         FROM ({_LAGS}) WINDOW w AS (PARTITION BY categorie ORDER BY date)""",
 )
@@ -182,7 +182,7 @@ def window_lag(data: Data):
 
 @query(
     "window_rolling_mean",
-    f"""SELECT categorie, date, {near(f'''CASE WHEN row_number() OVER ({_WINDOW}) > 3
+    f"""SELECT categorie, date, {near(f'''CASE WHEN count(ca_ventes) OVER ({_WINDOW} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 3
         THEN avg(ca_ventes) OVER ({_WINDOW} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END''', 4)} AS moyenne_mobile_3m
         FROM ({_LAGS})""",
 )

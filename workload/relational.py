@@ -613,7 +613,8 @@ def rank_global(data: Data):
 @query(
     "window_rank_over_aggregate",
     """SELECT type_machine, annee_mois, CAST(sum(volume_traite) AS BIGINT) AS v,
-       rank() OVER (PARTITION BY type_machine ORDER BY sum(volume_traite) DESC) AS rang FROM mrt_fct_machines GROUP BY ALL""",
+       rank() OVER (PARTITION BY type_machine ORDER BY sum(volume_traite) DESC) AS rang FROM mrt_fct_machines
+       GROUP BY type_machine, annee_mois""",
 )
 def rank_over_aggregate(data: Data):
     monthly = data("mrt_fct_machines").groupBy("type_machine", "annee_mois").agg(F.sum("volume_traite").alias("v"))
