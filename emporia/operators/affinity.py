@@ -97,9 +97,9 @@ def affinity_pairs(
     counted = joint.where(F.col("support") >= min_support)
     for side, name in (("_first", "holders_1"), ("_second", "holders_2")):
         counts = shared_items.withColumnRenamed(item, side).withColumnRenamed("_holders", name)
-        counted = lookup(counted, counts, [*by, side], "inner")
-    counted = lookup(counted, median, by, "inner") if by else counted.crossJoin(F.broadcast(median))
-    return counted.select(
+        counted = lookup(counted, counts, [*by, side], "inner", sample=joint)
+    counted = lookup(counted, median, by, "inner", sample=joint) if by else counted.crossJoin(F.broadcast(median))
+    result = counted.select(
         *by,
         F.col("_first").alias("item_1"),
         F.col("_second").alias("item_2"),
@@ -108,6 +108,7 @@ def affinity_pairs(
         "holders_2",
         "median_support",
     )
+    return written(result, "affinity")
 
 
 def _with_large(
@@ -115,9 +116,10 @@ def _with_large(
 ) -> tuple[DataFrame, DataFrame]:
     """Pair support and its histogram when some baskets are represented by masks."""
     joint = _pairs(light, keys, item).groupBy(*by, "_first", "_second").agg(F.count(F.lit(1)).alias("_light"))
+    joint = light_pairs = written(joint, "light")
     for side in ("_first", "_second"):
         named = masks.withColumnRenamed(item, side).withColumnRenamed("_mask", f"_mask{side}")
-        joint = lookup(joint, named, [*by, side], "left")
+        joint = lookup(joint, named, [*by, side], "left", sample=light_pairs)
     common = F.coalesce(F.bit_count(F.col("_mask_first").bitwiseAND(F.col("_mask_second"))), F.lit(0))
     joint = joint.withColumn("_common", common).withColumn("support", F.col("_light") + F.col("_common"))
     joint = written(joint.select(*by, "_first", "_second", "_common", "support"), "pairs")

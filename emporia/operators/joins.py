@@ -24,11 +24,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def heavy_keys(df: DataFrame, keys: list[str], share: int = HEAVY_SHARE) -> DataFrame:
     """Key combinations with at least ``1/share`` of all rows, so never more than ``share`` rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_key_rows"))
+    total = counts.agg(F.sum("_key_rows").alias("_all_rows"))
     return (
         counts.crossJoin(F.broadcast(total))
-        .where(F.col("_n") * share >= F.col("_total"))
+        .where(F.col("_key_rows") * share >= F.col("_all_rows"))
         .select(*keys, F.lit(True).alias("_heavy"))
     )
 

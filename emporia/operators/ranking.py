@@ -58,25 +58,28 @@ def global_rank(
     *,
     rows: int | None = None,
     plain_rows: int = PLAIN_ROWS,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the descending rank (ties share it, gaps follow) of ``value`` within each group, NULLs last.
 
     With a counted small number of ``rows`` this is the plain window; otherwise ranks are read off the value
-    positions, and no task sees a whole group.
+    positions, and no task sees a whole group. ``source`` may name a frame with the same groups and values
+    that is cheaper to read again than ``df``, such as the written table that ``df`` was made from.
     """
     by = list(by)
     if rows is not None and rows <= plain_rows:
         ordered = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last())
         return df.withColumn(name, F.rank().over(ordered).cast("bigint"))
-    valued, empty = df.where(F.col(value).isNotNull()), df.where(F.col(value).isNull())
-    ranks = value_positions(df, value, by, buckets_for(rows)).select(
+    known = df if source is None else source
+    ranks = value_positions(known, value, by, buckets_for(rows)).select(
         *by, value, (F.col("_all") - F.col("_below") - F.col("_n") + 1).cast("bigint").alias(name)
     )
-    ranked = lookup(valued, ranks, [*by, value], "inner", null_safe=True).select(*df.columns, name)
-    after = valued.groupBy(*by).agg((F.count(F.lit(1)) + 1).alias(name))
-    last = lookup(empty, after, by, "left", null_safe=True) if by else empty.crossJoin(F.broadcast(after))
-    last = last.withColumn(name, F.coalesce(F.col(name), F.lit(1)).cast("bigint")).select(*df.columns, name)
-    return ranked.unionByName(last)
+    missing = known.groupBy(*by).agg(
+        F.lit(None).cast(known.schema[value].dataType).alias(value), (F.count(value) + 1).alias(name)
+    )
+    # Written: the exact size decides between a broadcast and a salted join, and ``df`` is planned only once.
+    ranks = written(ranks.unionByName(missing), "ranks")
+    return lookup(df, ranks, [*by, value], "inner", null_safe=True, sample=known).select(*df.columns, name)
 
 
 def lower_median(

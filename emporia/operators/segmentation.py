@@ -40,10 +40,12 @@ def median_segmentation(
     rows = items.count()
     sizes = {"rows": rows, "plain_rows": plain_rows}
     ranked = global_rank(items, volume, "rang_volume", by, **sizes)
-    ranked = global_rank(ranked, amount, "rang_valeur", by, **sizes)
+    ranked = global_rank(ranked, amount, "rang_valeur", by, source=items, **sizes)
     if total_rank:
-        ranked = ranked.withColumn("_total", F.col(volume) + F.col(amount))
-        ranked = global_rank(ranked, "_total", total_rank, by, **sizes).drop("_total")
+        both = {"_both": F.col(volume) + F.col(amount)}
+        ranked = global_rank(
+            ranked.withColumns(both), "_both", total_rank, by, source=items.withColumns(both), **sizes
+        ).drop("_both")
     middle = lower_median(items, {volume: medians[0], amount: medians[1]}, by, **sizes)
     if not by:
         result = ranked.crossJoin(F.broadcast(middle))

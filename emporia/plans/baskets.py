@@ -19,7 +19,7 @@ def described_pairs(
     purchases: DataFrame, products: DataFrame, by: Sequence[str] = (), digits: int | None = None
 ) -> DataFrame:
     """Product pairs with names, support and the confidence of either direction."""
-    pairs = affinity_pairs(purchases, "id_client", "id_produit", by)
+    pairs = listed = affinity_pairs(purchases, "id_client", "id_produit", by)
     for side in (1, 2):
         details = products.select(
             F.col("id_produit").alias(f"item_{side}"),
@@ -27,7 +27,7 @@ def described_pairs(
             F.col("categorie").alias(f"categorie_{side}"),
             F.col("marque").alias(f"marque_{side}"),
         )
-        pairs = lookup(pairs, details, f"item_{side}", "inner")
+        pairs = lookup(pairs, details, f"item_{side}", "inner", sample=listed)
 
     def confidence(side: int):
         share = F.try_divide("support", f"holders_{side}")
@@ -56,6 +56,10 @@ def _purchases(fact: DataFrame) -> DataFrame:
     return not_cancelled(fact).select("id_client", "id_produit").dropna()
 
 
+def _with_client(fact: DataFrame, clients: DataFrame) -> DataFrame:
+    return lookup(_purchases(fact).distinct(), clients, "id_client", "inner", sample=fact.select("id_client"))
+
+
 @model("v_produits_achetes_ensemble", "mrt_fct_commandes", "mrt_dim_produits")
 def pairs(fact: DataFrame, products: DataFrame) -> DataFrame:
     return described_pairs(_purchases(fact), products, digits=4)
@@ -63,14 +67,14 @@ def pairs(fact: DataFrame, products: DataFrame) -> DataFrame:
 
 @model("v_produits_achetes_ensemble_par_genre", "mrt_fct_commandes", "mrt_dim_clients", "mrt_dim_produits")
 def pairs_by_gender(fact: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
-    grouped = lookup(_purchases(fact).distinct(), clients.select("id_client", "genre"), "id_client", "inner")
+    grouped = _with_client(fact, clients.select("id_client", "genre"))
     return described_pairs(grouped, products, ["genre"])
 
 
 @model("v_produits_achetes_ensemble_par_tranche_age", "mrt_fct_commandes", "mrt_dim_clients", "mrt_dim_produits")
 def pairs_by_age(fact: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
     band = age_band(F.col("age"), labels.AGE_CODES).alias("tranche_age")
-    grouped = lookup(_purchases(fact).distinct(), clients.select("id_client", band), "id_client", "inner")
+    grouped = _with_client(fact, clients.select("id_client", band))
     return described_pairs(grouped, products, ["tranche_age"])
 
 

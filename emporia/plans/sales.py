@@ -34,7 +34,10 @@ def product_sales(
     orders = not_cancelled(fact).where(F.col("id_produit").isNotNull())
     if clients is not None:
         known = clients.select("id_client", *([group.alias(by)] if by else []))
-        orders = lookup(orders.select("id_client", "id_produit", "quantite", PAID), known, "id_client", "inner")
+        orders = lookup(
+            orders.select("id_client", "id_produit", "quantite", PAID), known, "id_client", "inner",
+            sample=fact.select("id_client"),
+        )
     keys = ["id_produit", *([by] if by else [])]
     totals = orders.groupBy(*keys).agg(
         F.sum(F.coalesce("quantite", F.lit(0))).alias(VOLUME),
@@ -137,7 +140,8 @@ def categories_by_age(items: DataFrame) -> DataFrame:
 def preferred_products_by_age(fact: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
     """Top five products per age band by quantity or by catalogue value, cancelled orders included."""
     orders = fact.where(F.col("id_produit").isNotNull()).select("id_client", "id_produit", "quantite")
-    banded = lookup(orders, clients.select("id_client", _band().alias("tranche_age")), "id_client", "inner")
+    known = clients.select("id_client", _band().alias("tranche_age"))
+    banded = lookup(orders, known, "id_client", "inner", sample=fact.select("id_client"))
     totals = banded.groupBy("tranche_age", "id_produit").agg(F.sum("quantite").alias("total_achete"))
     priced = totals.join(products.select("id_produit", "produit", "prix"), "id_produit")
     # One price per product: quantity times price is the sum of the order values.
@@ -146,7 +150,7 @@ def preferred_products_by_age(fact: DataFrame, clients: DataFrame, products: Dat
     items = written(items, "items")
     rows = items.count()
     ranked = global_rank(items, "total_achete", "rang_volume", ["tranche_age"], rows=rows)
-    ranked = global_rank(ranked, "total_CA", "rang_valeur", ["tranche_age"], rows=rows)
+    ranked = global_rank(ranked, "total_CA", "rang_valeur", ["tranche_age"], rows=rows, source=items)
     return ranked.where((F.col("rang_volume") <= 5) | (F.col("rang_valeur") <= 5))
 
 
