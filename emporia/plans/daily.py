@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.plans.checks import require_clean, run_checks
 from emporia.plans.warehouse import MODELS, Warehouse, build_order
-from emporia.sources.tables import replace_table
+from emporia.sources.tables import SCHEMAS, replace_table
+
+AT_ONCE = 4  # independent tables written at the same time, so that small ones do not leave the cluster idle
 
 
 def run_daily(
@@ -26,10 +29,14 @@ def run_daily(
     """
     options = {"calendar": calendar} if calendar else {"calendar": None}
     warehouse = Warehouse(spark, sources, store=store, **options)
-    require_clean(run_checks(warehouse.ref))
-    for name in build_order():
-        if MODELS[name].table:
-            warehouse.ref(name)
+    tables = [name for name in build_order() if MODELS[name].table]
+    later = [name for name in tables if any(r in tables for r in MODELS[name].refs)]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(warehouse.ref, SCHEMAS))
+        require_clean(run_checks(warehouse.ref))
+        list(pool.map(warehouse.ref, [name for name in tables if name not in later]))
+    for name in later:
+        warehouse.ref(name)
     for name in indicators:
         replace_table(warehouse.ref(name), f"{store.rstrip('/')}/indicators/{name}")
     return warehouse
