@@ -169,7 +169,10 @@ def _with_large(
 
 
 def _median(histogram: DataFrame, occurrences: DataFrame, by: list[str]) -> DataFrame:
-    """Lower median support; the pairs of support 1 are what the other pairs leave of all occurrences."""
+    """Lower median support; the pairs of support 1 are what the other pairs leave of all occurrences.
+
+    The histogram has one row per distinct support, at most the square root of twice the occurrences.
+    """
     several = histogram.where(F.col("support") >= 2).select(
         *by, F.col("support").cast("bigint").alias("support"), F.col("_pairs").cast("decimal(38,0)").alias("_pairs")
     )

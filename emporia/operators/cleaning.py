@@ -15,8 +15,8 @@ _ACCENTS = str.maketrans("ôâéèêÔÂÉÈÊ", "oaeeeOAEEE")
 
 
 def clean_name(name: str) -> str:
-    plain = re.sub("[- ]+", "_", name.translate(_ACCENTS).lower())
-    return re.sub("[^0-9_a-z]", "", plain)
+    words = re.sub("[ -]+", "_", name.translate(_ACCENTS).lower())
+    return re.sub("[^a-z0-9_]", "", words)
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:

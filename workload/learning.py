@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from emporia.ml import features, forecast, models
 from emporia.sources.shared import written
-from workload.oracle import COMMENTS, near, total
+from workload.oracle import COMMENTS, MODEL_SQL, near, total
 from workload.registry import Data, query
 
 BREAKDOWNS = ["temps_arret_panne", "nb_pannes_machines"]
@@ -38,7 +38,10 @@ def correlations(data: Data):
     return _rounded(features.correlation_matrix(frame, [*BREAKDOWNS, VOLUME]), "r")
 
 
-@query("ml_correlation_mentions")
+_MENTIONS_SQL = f"WITH par_mois AS ({MODEL_SQL['impacts_reseaux_sur_business']}) " + _correlation_sql(_MONTHLY, "par_mois")
+
+
+@query("ml_correlation_mentions", _MENTIONS_SQL)
 def correlations_of_months(data: Data):
     """Mentions against orders and notes by month."""
     return _rounded(features.correlation_matrix(data("impacts_reseaux_sur_business"), _MONTHLY), "r")
@@ -73,12 +76,20 @@ def _satisfaction(data: Data):
     return whole, names
 
 
-@query("ml_linear_regression_fit")
+_FIT_SQL = f"""WITH l AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, avg(x) AS mx,
+        count(*) AS n FROM {_NOTED}),
+    s AS (SELECT any_value(a) AS a, any_value(b) AS b, any_value(sxx) AS sxx, any_value(mx) AS mx, any_value(n) AS n,
+        sum((y - a - b * x) * (y - a - b * x)) / (any_value(n) - 2) AS s2 FROM {_NOTED}, l)
+    SELECT 'delai_commande' AS feature, {near('b', 5)} AS coefficient, {near('sqrt(s2 / sxx)', 5)} AS std_error FROM s
+    UNION ALL SELECT 'const', {near('a', 5)}, {near('sqrt(s2 * (1.0 / n + mx * mx / sxx))', 5)} FROM s"""
+
+
+@query("ml_linear_regression_fit", _FIT_SQL)
 def simple_fit(data: Data):
     """The simple regression through the ML estimator."""
     table = models.feature_table(data("performance_retard_satisfaction"), ["delai_commande"], "note_client")
     fitted = models.linear_model(table, "note_client")
-    return models.coefficient_table(fitted, ["delai_commande"], table)
+    return _rounded(models.coefficient_table(fitted, ["delai_commande"], table), "coefficient", "std_error", digits=5)
 
 
 @query("ml_multiple_regression")
