@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.common import held_out, pick
+from emporia.llm.subwords import WordTable, gram_hashes
 from emporia.sources.shared import written
 
 SIZES = (1, 2, 3, 4)
@@ -32,16 +32,10 @@ PART_OF_MOST = 0.25
 HASHES = 3
 ROWS_PER_GRAM = 8
 UNKNOWN = "und"
-_CACHED_WORDS = 300_000
+_CACHED_WORDS, _ROWS = 300_000, 1000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str) -> list[str]:
-    """N-grams of a lower-case word between blanks, which mark where it begins and ends."""
-    held = f" {word} "
-    return [held[i : i + n] for n in SIZES for i in range(len(held) - n + 1) if n > 1 or held[i] != " "]
-
-
 @dataclass
 class Model:
     """``rows[r]`` are the language bits of filter row ``r``, ``words`` 64-bit words for any number of languages."""
@@ -51,25 +45,29 @@ class Model:
     false_positive: np.ndarray
     prior: int
 
-    def places(self, gram: str) -> list[int]:
-        h = xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"))
-        step = (h >> 32) | 1
-        return [(h + i * step) % len(self.rows) for i in range(HASHES)]
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        step = (hashes >> np.uint64(32)) | np.uint64(1)
+        turns = [hashes + np.uint64(i) * step for i in range(HASHES)]
+        return np.stack(turns).astype(np.uint64) % np.uint64(len(self.rows))
 
-    def masks(self, found: list[str]) -> np.ndarray:
+    def masks(self, hashes: np.ndarray) -> np.ndarray:
         """Bits of all languages that contain each n-gram."""
-        at = np.array([self.places(g) for g in found], np.int64)
-        return np.bitwise_and.reduce(self.rows[at], axis=1)
+        return np.bitwise_and.reduce(self.rows[self.places(hashes).astype(np.int64)], axis=0)
 
-    def counts(self, word: str) -> np.ndarray:
-        """Number of the word's n-grams, then for each language the number that its filter contains."""
-        found = grams(word)
-        bits = np.unpackbits(self.masks(found).view(np.uint8), axis=1, bitorder="little")
-        return np.concatenate([[len(found)], bits.sum(axis=0)[: len(self.languages)]]).astype(np.int64)
+    def counts(self, words: list[str]) -> np.ndarray:
+        """For each word the number of its n-grams, then for each language the number that its filter contains."""
+        word, hashes = gram_hashes(words, SIZES)
+        masks = self.masks(hashes)
+        out = np.zeros((len(words), len(self.languages) + 1))
+        out[:, 0] = np.bincount(word, minlength=len(words))
+        for i in range(len(self.languages)):
+            has = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+            out[:, i + 1] = np.bincount(word, has.astype(np.float64), len(words))
+        return out
 
 
 def count_grams(docs: DataFrame, per_language: int) -> DataFrame:
-    """``lang, gram, n`` over a bounded sample of labelled documents, drawn by a hash of the id."""
+    """``lang, gram, n`` (n-grams by their hash) over a bounded sample of labelled documents, drawn by a hash of the id."""
     known = docs.filter(F.col("lang").isNotNull())
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
@@ -85,22 +83,21 @@ def count_grams(docs: DataFrame, per_language: int) -> DataFrame:
                 words = {}
         yield _gram_rows(words)
 
-    counted = drawn.mapInPandas(count, "lang string, gram string, n long")
+    counted = drawn.mapInPandas(count, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _gram_rows(words: dict[str, Counter]) -> pd.DataFrame:
-    out = []
+    parts = [pd.DataFrame({"lang": [], "gram": [], "n": []}).astype({"lang": "object", "gram": "int64", "n": "int64"})]
     for lang, found in words.items():
-        total: Counter = Counter()
-        for word, n in found.items():
-            for gram in grams(word):
-                total[gram] += n
-        out += [(lang, gram, n) for gram, n in total.items()]
-    return pd.DataFrame(out, columns=["lang", "gram", "n"])
+        word, hashes = gram_hashes(list(found), SIZES)
+        unique, at = np.unique(hashes, return_inverse=True)
+        times = np.bincount(at, np.fromiter(found.values(), np.float64, len(found))[word], len(unique))
+        parts.append(pd.DataFrame({"lang": lang, "gram": unique.view(np.int64), "n": times.astype(np.int64)}))
+    return pd.concat(parts, ignore_index=True)
 
 
-def build_filters(typical: dict[str, list[str]], weight: dict[str, int]) -> Model:
+def build_filters(typical: dict[str, list[int]], weight: dict[str, int]) -> Model:
     """Filters over each language's typical n-grams; ``weight`` decides between languages that score alike."""
     languages = sorted(typical)
     size = max(1024, ROWS_PER_GRAM * max((len(x) for x in typical.values()), default=1))
@@ -108,7 +105,7 @@ def build_filters(typical: dict[str, list[str]], weight: dict[str, int]) -> Mode
     prior = max(range(len(languages)), key=lambda i: (weight[languages[i]], -i)) if languages else 0
     model = Model(languages, rows, np.zeros(len(languages)), prior)
     for i, lang in enumerate(languages):
-        at = np.array([model.places(g) for g in typical[lang]], np.int64).reshape(-1)
+        at = model.places(np.array(typical[lang], np.int64).view(np.uint64)).astype(np.int64).reshape(-1)
         np.bitwise_or.at(rows[:, i // 64], at, np.uint64(1) << np.uint64(i % 64))
         full = (rows[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
         model.false_positive[i] = float(full.mean()) ** HASHES
@@ -127,7 +124,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     most = share.groupBy("gram").agg(F.max("share").alias("most"))
     typical = share.filter(F.col("share") >= MIN_SHARE).join(most, "gram")
     rows = typical.filter(F.col("share") >= PART_OF_MOST * F.col("most")).select("lang", "gram", "total").toPandas()
-    found: dict[str, list[str]] = {}
+    found: dict[str, list[int]] = {}
     weight: dict[str, int] = {}
     for lang, gram, total in rows.itertuples(index=False):
         found.setdefault(lang, []).append(gram)
@@ -135,41 +132,23 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     return build_filters(found, weight)
 
 
-class _Words(dict):
-    """Row number of each word's counts; starts anew when it has grown too large."""
-
-    def __init__(self, model: Model) -> None:
-        super().__init__()
-        self.model = model
-        self.table = np.zeros((1024, len(model.languages) + 1), np.int64)
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self.model.counts(word)
-        self[word] = at
-        return at
-
-
-def predict_texts(model: Model, texts, words: _Words) -> list[tuple[str, float]]:
+def predict_texts(model: Model, texts, words: WordTable) -> list[tuple[str, float]]:
+    met = [words.numbers(_WORD.findall((t or "").lower())) for t in texts]
+    words.fill(model.counts)
     out = []
-    for text in texts:
-        found = _WORD.findall((text or "").lower())
-        if not found:
-            # a letter may still stand in a word that the pattern does not know
-            out.append((model.languages[model.prior], 0.0) if _has_letter(text) and model.languages else (UNKNOWN, 0.0))
-            continue
+    for text, at in zip(texts, met, strict=True):
         if not model.languages:
             out.append((UNKNOWN, 0.0))
             continue
-        at = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+        if not len(at):
+            # a letter may still stand in a word that the pattern does not know
+            out.append((model.languages[model.prior] if _has_letter(text) else UNKNOWN, 0.0))
+            continue
         sums = words.table[at].sum(axis=0)
         real = np.maximum((sums[1:] - sums[0] * model.false_positive) / np.maximum(1 - model.false_positive, 1e-9), 0)
         best = int(real.argmax()) if real.max() > 0 else model.prior
-        out.append((model.languages[best], float(min(1.0, real[best] / max(sums[0], 1)))))
-        if len(words) > _CACHED_WORDS:
-            words.clear()
+        out.append((model.languages[best], float(min(1.0, real[best] / sums[0]))))
+    words.trim()
     return out
 
 
@@ -182,9 +161,12 @@ def predictor(model: Model):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = _Words(model)
+        words = WordTable(len(model.languages) + 1, _CACHED_WORDS)
         for texts in batches:
-            yield pd.DataFrame(predict_texts(model, texts, words), columns=["lang_pred", "score"])
+            held, out = list(texts), []
+            for at in range(0, len(held), _ROWS):
+                out += predict_texts(model, held[at : at + _ROWS], words)
+            yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
     return predict
 

@@ -8,39 +8,39 @@ with Adam. Misspelt or inflected words never seen in training share n-gram vecto
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.common import held_out, pick
+from emporia.llm.subwords import WordTable, gram_hashes
 
-SIZES = (3, 4, 5)
-BUCKETS = 1 << 15
+SIZES = (3, 4, 5, 6)
+BUCKETS = 1 << 17
 DIMENSIONS = 8
-#: Labelled documents of each class that are trained on, in expectation.
-SAMPLE_PER_CLASS = 1500
+#: Labelled documents of the toxic class and of the other that are trained on, in expectation.
+SAMPLE_TOXIC, SAMPLE_OTHER = 1500, 4500
 #: Size of the training texts of a class, in characters; documents beyond it are not drawn.
-SAMPLE_CHARS = 8_000_000
-EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.02, 1e-6
+SAMPLE_CHARS = 16_000_000
+#: N-grams get a vector when the log-odds of finding them in a document of either class differ by this much, and by
+#: this many standard errors; all others would only let single documents be learned by heart.
+LEAST_ODDS, LEAST_ERRORS = 1.0, 2.5
+EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.02, 1e-5
 THRESHOLD = 0.3
 #: The document vector is scaled by this, so that a few words in a hundred can decide.
-SCALE = 20.0
-_CACHED_WORDS = 400_000
+SCALE = 50.0
+_CACHED_WORDS, _ROWS = 400_000, 1000
 _WORD = re.compile(r"[^\W_]+")
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of the n-grams of a marked word and of the word itself."""
-    held = f"<{word}>"
-    found = [held[i : i + n] for n in SIZES for i in range(len(held) - n + 1)]
-    found.append(held)
-    return [xxhash.xxh32_intdigest(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in found]
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the word and the bucket of each of its n-grams between marks."""
+    word, hashes = gram_hashes(words, SIZES)
+    return word, (hashes % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -49,7 +49,7 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class Model:
-    """``vectors`` and the two-class softmax reduce to one number per subword, the log-odds that it brings."""
+    """``vectors`` and the two-class softmax reduce to one number per bucket, the log-odds that it brings."""
 
     vectors: np.ndarray
     weights: np.ndarray
@@ -63,67 +63,79 @@ class Model:
 
 
 def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Subword buckets and their shares in each document's average."""
-    known: dict[str, list[int]] = {}
-    out = []
-    for text in texts:
-        counts = Counter(words_of(text))
-        total = sum(counts.values())
-        bag: dict[int, float] = {}
-        for word, n in counts.items():
-            found = known.get(word) or known.setdefault(word, subwords(word))
-            part = n / total / len(found)
-            for g in found:
-                bag[g] = bag.get(g, 0.0) + part
-        out.append((np.fromiter(bag, np.int32, len(bag)), np.fromiter(bag.values(), np.float32, len(bag))))
-    return out
+    """Buckets of n-grams and their shares in each document's average."""
+    table = WordTable(1, 1 << 62)
+    met = [np.unique(table.numbers(words_of(t)), return_counts=True) for t in texts]
+    word, bucket = subwords(list(table))
+    order = np.argsort(word, kind="stable")
+    bucket, sizes = bucket[order], np.bincount(word, minlength=len(table))
+    starts = np.cumsum(sizes) - sizes
+    bags = []
+    for at, times in met:
+        n = sizes[at]
+        place = np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)
+        share = np.repeat(times / max(times.sum(), 1) / np.maximum(n, 1), n)
+        unique, where = np.unique(bucket[place], return_inverse=True)
+        bags.append((unique.astype(np.int32), np.bincount(where, share, len(unique)).astype(np.float32)))
+    return bags
+
+
+def _telling(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """Buckets whose document frequencies differ between the classes beyond chance."""
+    found, total = [], []
+    for label in (0, 1):
+        held = [b for (b, _), y in zip(bags, labels, strict=True) if y == label]
+        found.append(np.bincount(np.concatenate(held), minlength=BUCKETS) + 0.5)
+        total.append(len(held) + 1.0)
+    odds = [np.log(f / (n - f)) for f, n in zip(found, total, strict=True)]
+    error = np.sqrt(sum(1 / f + 1 / (n - f) for f, n in zip(found, total, strict=True)))
+    apart = np.abs(odds[1] - odds[0])
+    return (apart >= LEAST_ODDS) & (apart >= LEAST_ERRORS * error)
 
 
 def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
-    """Joint training of vectors and softmax; classes weigh alike whatever their numbers."""
+    """Joint training of vectors and softmax; without documents of both classes nothing is learned."""
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
+    vectors = np.zeros((BUCKETS, DIMENSIONS), np.float32)
     weights = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    params = [vectors, weights, bias]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    if len(set(labels.tolist())) < 2:
+        return Model(vectors, weights, bias)
     bags = _bags(texts)
-    present = np.bincount(labels, minlength=2)
-    share = np.where(present > 0, len(labels) / (2.0 * np.maximum(present, 1)), 0).astype(np.float32)
-    step = 0
-    for _ in range(EPOCHS if present.all() else 0):
+    telling = _telling(bags, labels)
+    number = np.cumsum(telling) - 1
+    bags = [(number[b[telling[b]]], s[telling[b]]) for b, s in bags]
+    kept = rng.normal(0, 0.01, (int(telling.sum()), DIMENSIONS)).astype(np.float32)
+    params = [kept, weights, bias]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    steps = 0
+    for _ in range(EPOCHS):
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
-            sizes = np.array([len(bags[i][0]) for i in chosen])
             grams = np.concatenate([bags[i][0] for i in chosen])
-            parts = np.concatenate([bags[i][1] for i in chosen])
-            rows = np.repeat(np.arange(len(chosen)), sizes)
-            mean = np.zeros((len(chosen), DIMENSIONS), np.float32)
-            held = vectors[grams] * parts[:, None]
-            for d in range(DIMENSIONS):
-                mean[:, d] = np.bincount(rows, held[:, d], len(chosen))
-            mean *= SCALE
+            parts = np.concatenate([bags[i][1] for i in chosen]) * SCALE
+            rows = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
+            held = kept[grams] * parts[:, None]
+            mean = np.stack([np.bincount(rows, held[:, d], len(chosen)) for d in range(DIMENSIONS)], axis=1)
             logits = mean @ weights + bias
-            logits -= logits.max(axis=1, keepdims=True)
-            chance = np.exp(logits)
-            chance /= chance.sum(axis=1, keepdims=True)
-            error = chance
+            chance = np.exp(logits - logits.max(axis=1, keepdims=True))
+            error = chance / chance.sum(axis=1, keepdims=True)
             error[np.arange(len(chosen)), labels[chosen]] -= 1
-            error *= (share[labels[chosen]] / len(chosen))[:, None]
-            back = (error @ weights.T) * SCALE
-            flow = back[rows] * parts[:, None]
-            gradient = np.stack([np.bincount(grams, flow[:, d], BUCKETS) for d in range(DIMENSIONS)], axis=1)
-            step += 1
-            for p, g, (m, v) in zip(params, (gradient + DECAY * vectors, mean.T @ error, error.sum(0)), moments, strict=True):
+            error /= len(chosen)
+            flow = (error @ weights.T)[rows] * parts[:, None]
+            gradient = np.stack([np.bincount(grams, flow[:, d], len(kept)) for d in range(DIMENSIONS)], axis=1)
+            steps += 1
+            for p, g, (m, v) in zip(params, (gradient + DECAY * kept, mean.T @ error, error.sum(0)), moments, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
-                p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+                p -= RATE * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-8)
+    vectors[telling] = kept
     return Model(vectors, weights, bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """A model from labelled documents that are not held out, at most ``per_class`` of a class in expectation.
+def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other: int = SAMPLE_OTHER) -> Model:
+    """A model from labelled documents that are not held out, a bounded number of each class in expectation.
 
     The draw is by a hash of the id, so it does not depend on the order or layout of the tables. Ids with two
     different labels, or with none, teach nothing.
@@ -134,8 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
     keep = F.lit(False)
-    for label, rows in sizes.items():
-        keep = keep | ((F.col("toxic") == label) & (part < per_class / max(rows, 1)))
+    for label, most in ((1, toxic), (0, other)):
+        keep = keep | ((F.col("toxic") == label) & (part < most / max(sizes.get(label, 0), 1)))
     drawn = marks.filter(keep)
     texts = pick(docs, "doc_id", "text").join(drawn, "doc_id").select("doc_id", "toxic", "text")
     room = {0: SAMPLE_CHARS, 1: SAMPLE_CHARS}
@@ -147,16 +159,17 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     return fit([t for t, _ in chosen], np.array([y for _, y in chosen], np.int64))
 
 
-class _Words(dict):
-    """Log-odds that each word brings, the average over its subwords."""
-
-    def __init__(self, odds: np.ndarray) -> None:
-        super().__init__()
-        self.odds = odds
+def score_texts(odds: np.ndarray, offset: float, texts, words: WordTable) -> np.ndarray:
+    def rows_of(fresh: list[str]) -> np.ndarray:
+        word, bucket = subwords(fresh)
+        sums = np.bincount(word, odds[bucket], len(fresh))
+        return (sums / np.maximum(np.bincount(word, minlength=len(fresh)), 1))[:, None]
 
-    def __missing__(self, word: str) -> float:
-        self[word] = made = float(self.odds[subwords(word)].mean())
-        return made
+    met = [words.numbers(words_of(t)) for t in texts]
+    words.fill(rows_of)
+    brought = np.array([words.table[at, 0].mean() if len(at) else 0.0 for at in met])
+    words.trim()
+    return 1 / (1 + np.exp(-np.clip(brought + offset, -500, 500)))
 
 
 def scorer(model: Model):
@@ -165,16 +178,11 @@ def scorer(model: Model):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache = _Words(odds)
+        words = WordTable(1, _CACHED_WORDS)
         for texts in batches:
-            sums = np.zeros(len(texts))
-            for i, text in enumerate(texts):
-                found = words_of(text)
-                if found:
-                    sums[i] = sum(map(cache.__getitem__, found)) / len(found)
-                if len(cache) > _CACHED_WORDS:
-                    cache.clear()
-            yield pd.Series(1 / (1 + np.exp(-np.clip(sums + offset, -500, 500))))
+            held = list(texts)
+            parts = [score_texts(odds, offset, held[at : at + _ROWS], words) for at in range(0, len(held), _ROWS)]
+            yield pd.Series(np.concatenate([np.zeros(0), *parts]))
 
     return score
 
