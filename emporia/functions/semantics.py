@@ -19,8 +19,13 @@ def at_least(value: Column, floor: float) -> Column:
 
 
 def round_money(amount: Column) -> Column:
-    """Two decimals, half away from zero, decided on the decimal value and not on the binary double."""
-    return F.round(amount.cast("decimal(18,4)"), 2).cast("double")
+    """Two decimals, half away from zero, decided once on the decimal value and not on the binary double."""
+    return F.round(amount.cast("decimal(38,10)"), 2).cast("double")
+
+
+def gross_amount(quantity: Column, price: Column) -> Column:
+    """Exact decimal product of whole units and a price of up to four decimals."""
+    return price.cast("decimal(13,4)") * quantity.cast("decimal(10,0)")
 
 
 def round_half_away(value: Column, digits: int) -> Column:
@@ -80,11 +85,16 @@ def promotion_value(kind: Column, text: Column) -> Column:
 
 
 def amount_due(gross: Column, kind: Column, value: Column) -> Column:
-    """Amount after the promotion: fixed reduction or share of the gross amount, never below zero."""
+    """Amount after the promotion: fixed reduction or share of the gross amount, never below zero.
+
+    All steps are decimal, so the only rounding is the one to cents.
+    """
+    exact = gross.cast("decimal(24,4)")
+    rest = F.lit(1).cast("decimal(1,0)") - value.cast("decimal(9,6)")
     return (
-        F.when(kind == labels.AMOUNT_OFF, at_least(round_money(gross - value), 0.0))
-        .when(kind == labels.PERCENT_OFF, at_least(round_money(gross * (F.lit(1.0) - value)), 0.0))
-        .otherwise(round_money(gross))
+        F.when(kind == labels.AMOUNT_OFF, at_least(round_money(exact - value.cast("decimal(13,4)")), 0.0))
+        .when(kind == labels.PERCENT_OFF, at_least(round_money(exact * rest), 0.0))
+        .otherwise(round_money(exact))
     )
 
 

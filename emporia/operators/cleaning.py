@@ -11,7 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Accented letters that become plain ones.
-_ACCENTS = str.maketrans("ôâéèêÔÂÉÈÊ", "oaeeeOAEEE")
+ACCENTED, PLAIN = "ôâéèêÔÂÉÈÊ", "oaeeeOAEEE"
+_ACCENTS = str.maketrans(ACCENTED, PLAIN)
+
+
+#: Place of a row in its source; readers attach it, cleaning needs it to tell which row is first, and drops it.
+POSITION = "rang_source"
+
+
+def in_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows whose place in the source follows from columns of their own."""
+    return df.withColumn(POSITION, F.struct(*columns))
 
 
 def clean_name(name: str) -> str:
@@ -28,18 +38,20 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def dedup_keep_first(df: DataFrame, keys: list[str], order_by: Iterable[str] = ()) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: list[str], order_by: Iterable[str]) -> DataFrame:
     """First row per key in the order of the named columns; rows with a missing key go.
 
-    The remaining columns break ties, so the kept row does not depend on the partitioning. The minimum of a
-    struct is an aggregate: each task reduces its copies of a hot key before the shuffle, and Catalyst knows
-    that the result is unique on the keys (it can then drop an unused left join to it).
+    Without an order there is no first row, so at least one order column must be there. Rows that tie in all of
+    them are told apart by the remaining columns, so the kept row does not depend on the partitioning. The
+    minimum of a struct is an aggregate: each task reduces its copies of a hot key before the shuffle, and Catalyst
+    knows that the result is unique on the keys (it can then drop an unused left join to it).
     """
     first = [name for name in order_by if name not in keys]
+    missing = [name for name in first if name not in df.columns]
+    if missing or not first:
+        raise ValueError(f"no order to find the first row per {', '.join(keys)}: {', '.join(missing) or 'no column'}")
     row = [*first, *[name for name in df.columns if name not in keys and name not in first]]
     present = df.where(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))
-    if not row:
-        return present.distinct()
     kept = present.groupBy(*keys).agg(F.min(F.struct(*row)).alias("_row"))
     return kept.select(*keys, "_row.*").select(*df.columns)
 
@@ -60,11 +72,8 @@ def keep_present(df: DataFrame, columns: list[str]) -> DataFrame:
 Step = Callable[[DataFrame], DataFrame]
 
 
-def first_per(*keys: str, order_by: tuple[str, ...] = ()) -> Step:
-    def step(df: DataFrame) -> DataFrame:
-        return dedup_keep_first(df, list(keys), [c for c in order_by if c in df.columns])
-
-    return step
+def first_per(*keys: str) -> Step:
+    return lambda df: dedup_keep_first(df, list(keys), [POSITION])
 
 
 def zero_for_missing(*columns: str) -> Step:
@@ -86,10 +95,7 @@ RECIPES: dict[str, list[Step]] = {
     "clients": [first_per("id_client")],
     "commandes": [first_per("id_commande")],
     "details_commandes": [
-        first_per(
-            "id_commande",
-            order_by=("l_linenumber", "l_partkey", "l_suppkey", "quantite", "l_extendedprice", "emballage_special"),
-        ),
+        first_per("id_commande"),
         non_negative("quantite"),
         present("id_produit"),
     ],
@@ -103,4 +109,5 @@ RECIPES: dict[str, list[Step]] = {
 
 
 def clean_table(name: str, df: DataFrame) -> DataFrame:
-    return reduce(lambda frame, step: step(frame), RECIPES[name], clean_column_names(df))
+    """The recipe of a source table; its rows need their place in the source in :data:`POSITION`."""
+    return reduce(lambda frame, step: step(frame), RECIPES[name], clean_column_names(df)).drop(POSITION)

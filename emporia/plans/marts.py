@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import dates, labels
-from emporia.functions.semantics import amount_due, fill_blank, is_blank, product_code, promotion_value, round_money
+from emporia.functions.semantics import (
+    amount_due,
+    fill_blank,
+    gross_amount,
+    is_blank,
+    product_code,
+    promotion_value,
+    round_money,
+)
 from emporia.operators.joins import lookup
 from emporia.plans.warehouse import CALENDAR_SPAN, model
 
@@ -82,7 +90,7 @@ def orders(orders: DataFrame, lines: DataFrame, products: DataFrame, promotions:
     joined = orders.withColumn("_offer", code).join(lines, "id_commande", "left")
     joined = lookup(joined, prices, "id_produit", sample=lines)
     joined = lookup(joined, offers, "_offer", sample=orders.select(code.alias("_offer")))
-    gross = F.col("quantite") * F.col("prix_unitaire_avant_promotion")
+    gross = gross_amount(F.col("quantite"), F.col("prix_unitaire_avant_promotion"))
     return joined.select(
         "id_commande",
         "id_client",

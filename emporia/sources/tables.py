@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emporia.operators.cleaning import ACCENTED, PLAIN, POSITION, clean_column_names
+
 # Declared raw schemas, after column names were cleaned. Dates may still be text.
 SCHEMAS: dict[str, str] = {
     "campagnes": "id_campagne string, date date, evenement_oui_non string, evenement_type string, canal string, "
@@ -35,18 +40,70 @@ def schema_of(name: str) -> T.StructType:
     return T._parse_datatype_string(SCHEMAS[name])  # type: ignore[return-value]
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """One typed scan. Text formats need a schema, so that no pass over the data is spent on inference."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif fmt in ("csv", "json"):
+def _positioned(df: DataFrame) -> DataFrame:
+    """Rows with their place: file, block of the file and row within the task, which grows along a block."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(POSITION, place)
+
+
+def _typed(value: Column, name: str, kind: T.DataType) -> Column:
+    """Text as ``kind``: blank is missing, and a value that does not parse is an error in any session."""
+    if isinstance(kind, T.StringType):
+        return value
+    text = F.nullif(F.trim(value), F.lit(""))
+    made = text.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is not a {kind.simpleString()}: "), text))
+    return F.when(text.isNotNull() & made.isNull(), wrong).otherwise(made)
+
+
+def _clean_key(name: Column) -> Column:
+    """The same names as :func:`emporia.operators.cleaning.clean_name`."""
+    words = F.regexp_replace(F.lower(F.translate(name, ACCENTED, PLAIN)), "[ -]+", "_")
+    return F.regexp_replace(words, "[^a-z0-9_]", "")
+
+
+def _csv_texts(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, Column], list[str]]:
+    df = _positioned(spark.read.csv(path, header=True, enforceSchema=False))
+    names = clean_column_names(df.drop(POSITION)).columns
+    df = df.toDF(*names, POSITION)
+    return df, {name: F.col(name) for name in names}, names
+
+
+def _json_texts(
+    spark: SparkSession, path: str, wanted: list[str]
+) -> tuple[DataFrame, dict[str, Column], list[str]]:
+    """Every record as a map from cleaned names to text; one pass finds which of the wanted names occur."""
+    lines = _positioned(spark.read.text(path)).where(F.trim("value") != "")
+    fields = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    df = lines.select(F.transform_keys(fields, lambda k, _: _clean_key(k)).alias("fields"), POSITION)
+    met = df.agg(F.count(F.lit(1)), *[F.max(F.map_contains_key("fields", c)) for c in wanted]).first()
+    found = [c for c, seen in zip(wanted, met[1:]) if seen or not met[0]]
+    return df, {c: F.element_at("fields", F.lit(c)) for c in wanted}, found
+
+
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, optional: Iterable[str] = ()
+) -> DataFrame:
+    """One typed scan with every row's place in the source.
+
+    Text formats need a declared schema of cleaned names. Their columns are read as text under whatever names the
+    files have, the names are cleaned, and the declared columns are cast. A declared column that no row has is an
+    error unless it is ``optional``, and so are a value that does not parse and a broken JSON record.
+    """
+    if fmt not in ("csv", "json"):
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return _positioned(reader.format(fmt).load(path))
+    if schema is None:
         raise ValueError(f"{fmt} source {path} needs a declared schema")
-    if fmt == "csv":
-        return reader.csv(path, header=True, enforceSchema=False)
-    if fmt == "json":
-        return reader.json(path)
-    return reader.format(fmt).load(path)
+    declared = T._parse_datatype_string(schema)
+    wanted = [f.name for f in declared]
+    df, texts, found = _csv_texts(spark, path) if fmt == "csv" else _json_texts(spark, path, wanted)
+    missing = [c for c in wanted if c not in found and c not in set(optional)]
+    if missing:
+        raise ValueError(f"{fmt} source {path} has no column {', '.join(missing)}")
+    nothing = F.lit(None).cast("string")
+    typed = [_typed(texts[f.name] if f.name in found else nothing, f.name, f.dataType).alias(f.name) for f in declared]
+    return df.select(*typed, POSITION)
 
 
 def load_tables(
@@ -70,8 +127,8 @@ def load_tables(
 
 
 def replace_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """Write ``df`` as the whole new content of the table at ``path``."""
-    writer = df.write.mode("overwrite").format(fmt)
+    """Write ``df`` as the whole new content of the table at ``path``, without the place of its rows."""
+    writer = df.drop(POSITION).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from emporia.operators.affinity import affinity_pairs
-from emporia.operators.cleaning import clean_table, dedup_keep_first
+from emporia.operators.cleaning import clean_table, dedup_keep_first, in_order
 from emporia.operators.deviation import add_zscore, deviation_label
 from emporia.operators.joins import following_days_count, heavy_keys, lookup, salted_lookup
 from emporia.operators.ranking import global_rank, interpolated_median, lower_median
@@ -43,6 +43,9 @@ def test_invalid_first_line_drops_the_order(spark):
         [(1, "p", -1, 1), (1, "p", 3, 2), (2, None, 1, 1), (3, "p", None, 1), (4, "q", 0, 1)],
         "id_commande int, id_produit string, quantite int, l_linenumber int",
     )
+    with pytest.raises(ValueError, match="rang_source"):
+        clean_table("details_commandes", lines)
+    lines = in_order(lines, "l_linenumber")
     kept = clean_table("details_commandes", lines).select("id_commande", "id_produit", "quantite")
     assert rows_of(kept) == Counter([(4, "q", 0)])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions import dates, labels
 from emporia.functions import semantics as sem
-from emporia.operators.cleaning import clean_column_names, clean_name
+from emporia.operators.cleaning import clean_column_names, clean_name, in_order
 from emporia.plans.staging import _flag
 from emporia.plans.warehouse import Warehouse
 
@@ -52,6 +52,8 @@ def test_promotion_value(spark, kind, raw, expected):
         (20.0, None, None, 20.0),
         (20.0, "Cadeau", None, 20.0),
         (1.005, None, None, 1.01),
+        (14.35, "Pourcentage", 0.123, 12.58),
+        (14.35, "Remise fixe", 1.7651, 12.58),
     ],
 )
 def test_amount_due(spark, gross, kind, value, expected):
@@ -143,7 +145,7 @@ def test_staging_rounds_fractions(spark):
         [("a", 12.5, "x", 1.4, "2024-01-01", None)],
         "id_client string, age double, genre string, frequence_visites double, date_inscription string, favoris string",
     )
-    row = Warehouse(spark, {"clients": clients}).ref("stg_clients").first()
+    row = Warehouse(spark, {"clients": in_order(clients, "id_client")}).ref("stg_clients").first()
     assert (row["age"], row["frequence_visites"], row["date_inscription"]) == (13, 1, dt.date(2024, 1, 1))
 
 
@@ -155,7 +157,9 @@ def test_favourites_keep_entries_without_a_code(spark):
         [("P00007", "c", "m", "lampe", 1.0, "s", "v")],
         "id string, categorie string, marque string, produit string, prix double, sous_categorie string, variation string",
     )
-    rows = Warehouse(spark, {"clients": clients, "produits": products}).ref("mrt_rel_produits_favoris").collect()
+    rows = Warehouse(
+        spark, {"clients": in_order(clients, "id_client"), "produits": in_order(products, "id")}
+    ).ref("mrt_rel_produits_favoris").collect()
     assert sorted((tuple(r) for r in rows), key=str) == sorted(
         [("a", "P00007", "lampe"), ("a", None, None), ("c", None, None)], key=str
     )

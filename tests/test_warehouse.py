@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from emporia.operators.cleaning import POSITION
 from emporia.plans.checks import STAGING_CHECKS, Check, require_clean, run_checks
 from emporia.plans.daily import run_daily
 from emporia.plans.warehouse import MODELS, Warehouse, build_order
@@ -45,6 +46,52 @@ def test_text_sources_need_a_schema(spark, tmp_path):
     assert schema_of("posts")["date_post"].dataType.simpleString() == "date"
 
 
+def _one_file(folder, name: str, body: str) -> str:
+    (folder / name).mkdir()
+    (folder / name / "part-0").write_text(body, encoding="utf-8")
+    return str(folder / name)
+
+
+CAMPAIGN = "id string, date date, budget double"
+
+
+def test_text_sources_with_typed_headers(spark, tmp_path):
+    rows = [("a", "2024-02-29", 1.5), ("b", None, None)]
+    csv = _one_file(tmp_path, "csv", "ID,  Daté ,Budget\na,2024-02-29, 1.5\nb,,\n".replace("  Daté ", "Daté"))
+    json = _one_file(tmp_path, "json", '{"ID": "a", "Daté": "2024-02-29", "Budget": 1.5}\n\n{"ID": "b", "Budget": null}\n')
+    for path, fmt in ((csv, "csv"), (json, "json")):
+        found = read_table(spark, path, fmt, CAMPAIGN).orderBy(POSITION).drop(POSITION).collect()
+        assert [(r["id"], r["date"] and str(r["date"]), r["budget"]) for r in found] == rows, fmt
+
+
+def test_bad_values_and_missing_columns_raise(spark, tmp_path):
+    bodies = {
+        "day": "id,date,budget\na,2024-13-45,1\n",
+        "number": "id,date,budget\na,2024-01-01,abc\n",
+    }
+    for name, body in bodies.items():
+        with pytest.raises(Exception, match="is not a"):
+            read_table(spark, _one_file(tmp_path, name, body), "csv", CAMPAIGN).collect()
+    with pytest.raises(ValueError, match="budget"):
+        read_table(spark, _one_file(tmp_path, "short", "id,date\na,2024-01-01\n"), "csv", CAMPAIGN)
+    with pytest.raises(ValueError, match="date"):
+        read_table(spark, _one_file(tmp_path, "fields", '{"id": "a", "budget": 1}\n'), "json", CAMPAIGN)
+    with pytest.raises(Exception, match="is not a"):
+        read_table(spark, _one_file(tmp_path, "value", '{"id": "a", "budget": "x", "date": null}\n'), "json", CAMPAIGN).collect()
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_table(spark, _one_file(tmp_path, "broken", '{"id": "a", "bud\n'), "json", CAMPAIGN).collect()
+    given = read_table(spark, str(tmp_path / "fields"), "json", CAMPAIGN, optional=["date"]).first()
+    assert given["date"] is None and given["budget"] == 1.0
+
+
+def test_first_line_of_a_file_stays(spark, tmp_path):
+    """Whatever it holds: a missing, a negative or a larger quantity before a smaller one."""
+    body = "id_commande,id_produit,quantite,emballage_special\n7,P1,5,Oui\n7,P1,1,Oui\n3,P2,,Non\n3,P2,2,Non\n4,P3,-1,Oui\n4,P3,1,Oui\n"
+    raw = read_table(spark, _one_file(tmp_path, "lines", body), "csv", SCHEMAS["details_commandes"])
+    kept = Warehouse(spark, {"details_commandes": raw}).ref("stg_details_commandes").collect()
+    assert [(r["id_commande"], r["quantite"]) for r in kept] == [("7", 5)]
+
+
 def test_csv_round_trip_of_all_sources(spark, tmp_path):
     raw = RawTables(spark, FOLDER)
     for name in SCHEMAS:

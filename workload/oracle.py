@@ -9,13 +9,14 @@ import re
 
 from emporia.sources.projections import SQL, table_sql
 
-MONEY = "CAST(ROUND(CAST({0} AS DECIMAL(18,4)), 2) AS DOUBLE)"
+# Amounts as whole units, of which a cent has so many, rounded half away from zero in whole numbers.
+CENTS_OF = "CAST(sign({0}) * ((abs({0}) + {1} // 2) // {1}) AS DOUBLE) / 100"
 NEAR = "CAST(ROUND(CAST({0} AS DECIMAL(28,10)), {1}) AS DOUBLE)"
 CENTS = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
-def money(x: str) -> str:
-    return MONEY.format(x)
+def whole_cents(x: str, per_cent: int) -> str:
+    return CENTS_OF.format(f"({x})", f"CAST({per_cent} AS HUGEINT)")
 
 
 def near(x: str, digits: int) -> str:
@@ -87,21 +88,25 @@ PARTS: dict[str, str] = {
             WHEN 'Pourcentage' THEN TRY_CAST(rtrim(valeur_promotion, '%') AS DOUBLE) / 100
             WHEN 'Remise fixe' THEN TRY_CAST(regexp_replace(replace(valeur_promotion, ',', '.'), '[^0-9.]', '', 'g')
                 AS DOUBLE) END AS valeur_promotion) FROM stg_promotions""",
-    "priced": """SELECT o.*, l.emballage_special, l.id_produit, l.quantite, p.prix, l.quantite * p.prix AS brut,
+    "priced": """SELECT o.*, l.emballage_special, l.id_produit, l.quantite, p.prix,
+        CAST(round(p.prix * 10000) AS HUGEINT) * l.quantite AS brut,
         coalesce(trim(o.id_promotion), '') <> '' AS promotion_oui_non, r.type_promotion, r.valeur_promotion
         FROM stg_commandes o
         LEFT JOIN stg_details_commandes l USING (id_commande)
         LEFT JOIN mrt_dim_produits p ON p.id_produit = l.id_produit
         LEFT JOIN mrt_dim_promotions r ON r.id_promotion = 'PROM' || substr(o.id_promotion, 2)""",
-    "discounted": """SELECT *, CASE type_promotion WHEN 'Remise fixe' THEN brut - valeur_promotion
-            WHEN 'Pourcentage' THEN brut * (1 - valeur_promotion) ELSE brut END AS net FROM priced""",
+    "reduced": """SELECT *, CAST(round(valeur_promotion * 10000) AS HUGEINT) AS remise,
+        1000000 - CAST(round(valeur_promotion * 1000000) AS HUGEINT) AS reste FROM priced""",
+    "discounted": """SELECT *, CASE
+            WHEN type_promotion = 'Remise fixe' THEN CASE WHEN brut >= remise THEN (brut - remise) * 1000000 WHEN brut < remise THEN 0 END
+            WHEN type_promotion = 'Pourcentage' THEN CASE WHEN reste >= 0 THEN brut * reste WHEN reste < 0 THEN 0 END
+            ELSE brut * 1000000 END AS net FROM reduced""",
     "mrt_fct_commandes": f"""SELECT id_commande, id_client, id_entrepot_depart, date_commande, statut_commande,
         mode_de_paiement, numero_tracking, date_livraison_estimee, emballage_special, id_produit, quantite,
-        prix AS prix_unitaire_avant_promotion, {money('brut')} AS montant_commande_avant_promotion,
+        prix AS prix_unitaire_avant_promotion, {whole_cents('brut', 100)} AS montant_commande_avant_promotion,
         CASE WHEN promotion_oui_non THEN 'PROM' || substr(id_promotion, 2) END AS id_promotion, promotion_oui_non,
-        type_promotion, valeur_promotion,
-        CASE WHEN net < 0 AND type_promotion IN ('Remise fixe', 'Pourcentage') THEN 0 ELSE {money('net')} END
-            AS montant_commande_apres_promotion FROM discounted""",
+        type_promotion, valeur_promotion, {whole_cents('net', 100_000_000)} AS montant_commande_apres_promotion
+        FROM discounted""",
     "mrt_rel_produits_favoris": """SELECT f.id_client, f.id_produit_favori, p.produit AS nom_produit_favori
         FROM (SELECT id_client, 'P' || lpad(nullif(regexp_extract(trim(t), 'P?([0-9]+)', 1), ''), 5, '0')
                   AS id_produit_favori

@@ -52,14 +52,24 @@ def load_written_tables(data: Data):
     return _row_counts(load_tables(data.spark, folder))
 
 
-_FEEDBACK = "id_satisfaction, id_commande, note_client, commentaire, plainte, temps_reponse_support, type_plainte, employe_support"
 _FEEDBACK_SQL = """SELECT CAST(id_satisfaction AS VARCHAR) AS id_satisfaction, CAST(id_commande AS VARCHAR) AS id_commande,
     note_client, commentaire, plainte, temps_reponse_support, type_plainte, employe_support FROM stg_satisfaction"""
-
-
-def _feedback_through(data: Data, fmt: str):
+# Headers as people type them; they clean to the declared names.
+_TYPED_HEADERS = {
+    "id_satisfaction": "ID Satisfaction",
+    "id_commande": "Id-Commande",
+    "note_client": "Note Client",
+    "commentaire": "Commentaire",
+    "plainte": "Plainte",
+    "temps_reponse_support": "Temps Réponse  Support",
+    "type_plainte": "Type-Plainte",
+    "employe_support": "Employé Support",
+}
+
+
+def _feedback_through(data: Data, fmt: str, headers: dict[str, str] | None = None):
     path = new_path(data.spark, fmt)
-    replace_table(data.raw["satisfaction"], path, fmt=fmt)
+    replace_table(data.raw["satisfaction"].withColumnsRenamed(headers or {}), path, fmt=fmt)
     raw = read_table(data.spark, path, fmt, SCHEMAS["satisfaction"])
     return Warehouse(data.spark, {"satisfaction": raw}).ref("stg_satisfaction")
 
@@ -74,6 +84,52 @@ def json_scan(data: Data):
     return _feedback_through(data, "json")
 
 
+@query("source_csv_raw_headers", _FEEDBACK_SQL)
+def csv_raw_headers(data: Data):
+    return _feedback_through(data, "csv", _TYPED_HEADERS)
+
+
+@query("source_json_raw_headers", _FEEDBACK_SQL)
+def json_raw_headers(data: Data):
+    return _feedback_through(data, "json", _TYPED_HEADERS)
+
+
+_LINES = """SELECT CAST(l_orderkey AS VARCHAR) AS id_commande,
+    CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE 'P' || l_partkey END AS id_produit,
+    CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 5 = 0 THEN -l_quantity ELSE l_quantity END AS quantite,
+    CASE l_returnflag WHEN 'A' THEN 'Oui' WHEN 'N' THEN 'Non' END AS emballage_special"""
+_LINE_ORDER = "l_linenumber DESC, l_extendedprice, l_partkey, l_suppkey, l_returnflag"
+
+
+@query(
+    "ingest_first_source_row",
+    f"""SELECT id_commande, id_produit, CAST(quantite AS BIGINT) AS quantite,
+               CASE emballage_special WHEN 'Oui' THEN TRUE WHEN 'Non' THEN FALSE END AS emballage_special
+        FROM ({_LINES} FROM lineitem
+              QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) = 1)
+        WHERE quantite >= 0 AND id_produit IS NOT NULL""",
+)
+def first_source_row(data: Data):
+    """Order lines in files of the declared columns alone: the line that stands first in its file stays, whatever
+    it holds, before missing and negative ones go."""
+    path = new_path(data.spark, "lines")
+    columns = [F.expr(c.strip()) for c in _LINE_ORDER.replace(" DESC", "").split(",")]
+    ordered = data.table("lineitem").repartitionByRange(4, "l_orderkey")
+    ordered = ordered.sortWithinPartitions("l_orderkey", columns[0].desc(), *[c.asc_nulls_last() for c in columns[1:]])
+    replace_table(ordered.selectExpr(*_line_columns()), path, fmt="csv")
+    raw = read_table(data.spark, path, "csv", SCHEMAS["details_commandes"])
+    return Warehouse(data.spark, {"details_commandes": raw}).ref("stg_details_commandes")
+
+
+def _line_columns() -> list[str]:
+    return [
+        "CAST(l_orderkey AS STRING) AS id_commande",
+        "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE 'P' || l_partkey END AS id_produit",
+        "CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 5 = 0 THEN -l_quantity ELSE l_quantity END AS quantite",
+        "CASE l_returnflag WHEN 'A' THEN 'Oui' WHEN 'N' THEN 'Non' END AS emballage_special",
+    ]
+
+
 @query("sink_replace_table", "SELECT id_commande, statut_commande, date_commande FROM raw_commandes")
 def replaced(data: Data):
     """The second write replaces all rows of the first."""
@@ -81,7 +137,7 @@ def replaced(data: Data):
     orders = data.raw["commandes"].select("id_commande", "statut_commande", "date_commande")
     replace_table(orders.where(F.col("statut_commande").isNull()), path)
     replace_table(orders, path)
-    return read_table(data.spark, path)
+    return read_table(data.spark, path).drop(cleaning.POSITION)
 
 
 _TABLES = [n for n in build_order() if MODELS[n].table]

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from emporia.functions import dates, semantics
-from workload.oracle import money, near
+from workload.oracle import near, whole_cents
 from workload.registry import Data, query
 
 
@@ -40,7 +40,7 @@ scalar(
 )
 scalar(
     "round", "mrt_fct_commandes", "id_commande",
-    {"deux": money("quantite * prix_unitaire_avant_promotion * 0.125"),
+    {"deux": whole_cents("CAST(round(prix_unitaire_avant_promotion * 10000) AS HUGEINT) * quantite * 125", 100_000),
      "zero": near("quantite * prix_unitaire_avant_promotion * 0.125", 0)},
     lambda: {
         "deux": semantics.round_money(C("quantite") * C("prix_unitaire_avant_promotion") * 0.125),
