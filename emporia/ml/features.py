@@ -7,6 +7,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporia.operators.ranking import value_positions
+
 MAX_CATEGORIES = 1000
 
 
@@ -51,31 +53,27 @@ def standardise(df: DataFrame, columns: list[str], stats: DataFrame | None = Non
 
 
 def split_random(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key: the same on every run, partitioning and retry."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
-    test = bucket < int(test_share * 10_000)
+    """Train and test rows by the MD5 of the key: the same on every run, partitioning, retry and engine."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    test = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000 < int(test_share * 10_000)
     return df.where(~test), df.where(test)
 
 
 def split_ordered(df: DataFrame, group: str, day: str, test_share: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """First and last rows in the order group, day: the last groups are held out, not the last days.
 
-    A row's position is the size of the groups before its own plus its place in its own group, so a task
-    orders one group (its days) or the list of groups (one row each).
+    Rows are counted per day and group, and the position of each such pair among all is read off ranges of
+    them, so no task orders more than a range. Rows of one group and day go to the same part.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(group).alias("_g"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy()).alias("_all"),
-    )
-    placed = df.withColumn("_place", F.row_number().over(Window.partitionBy(group).orderBy(day))).join(
-        offsets, F.col(group).eqNullSafe(F.col("_g"))
-    )
+    place = F.struct(F.col(group).alias("g"), F.col(day).alias("d"))
+    placed = value_positions(df.withColumn("_at", place), "_at")
     train_rows = F.col("_all") - F.ceil(F.col("_all") * test_share)
-    is_train = F.col("_offset") + F.col("_place") <= train_rows
-    return placed.where(is_train).select(*df.columns), placed.where(~is_train).select(*df.columns)
+    marks = placed.select(
+        F.col("_at.g").alias("_g"), F.col("_at.d").alias("_d"), (F.col("_below") < train_rows).alias("_train")
+    )
+    same = F.col(group).eqNullSafe(F.col("_g")) & F.col(day).eqNullSafe(F.col("_d"))
+    parts = df.join(marks, same)
+    return parts.where("_train").select(*df.columns), parts.where("NOT _train").select(*df.columns)
 
 
 def split_by_time(df: DataFrame, day: str, cutoff: str) -> tuple[DataFrame, DataFrame]:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.semantics import cents, from_cents
-from emporia.ml.features import categories_of, lag_features, one_hot
-from emporia.ml.models import FEATURES, boosted_trees, feature_table
+from emporia.ml.features import lag_features
+from emporia.ml.models import FEATURES
 from emporia.plans.sales import PAID, not_cancelled
 from emporia.sources.shared import written
 
@@ -46,16 +47,20 @@ def training_table(monthly: DataFrame, *, leak_free: bool = True) -> DataFrame:
     return lag_features(with_month(monthly), CATEGORY, DAY, REVENUE, leak_free=leak_free).dropna()
 
 
-def fit_forecaster(
-    monthly: DataFrame, *, trees: int = 100, depth: int = 6, rate: float = 0.1, leak_free: bool = True
-) -> tuple[Model, list[str], list[str]]:
-    """Boosted trees on year, month, lags and one column per category; also the categories and feature names."""
-    table = training_table(monthly, leak_free=leak_free)
-    categories = categories_of(table, CATEGORY)
-    coded, columns = one_hot(table, CATEGORY, values=categories)
-    names = ["annee", "mois", *LAGS, *columns]
-    train = feature_table(coded.select(*names, REVENUE), names, REVENUE)
-    return boosted_trees(train, REVENUE, depth=depth, trees=trees, rate=rate), categories, names
+def fit_forecaster(table: DataFrame, *, trees: int = 100, depth: int = 6, rate: float = 0.1) -> PipelineModel:
+    """Boosted trees on year, month, lags and the category, one position of a sparse vector per category.
+
+    ``table`` comes from :func:`training_table`. Any number of categories is fine; one that was not there in
+    training has all positions of the known ones empty.
+    """
+    numbers = ["annee", "mois", *LAGS]
+    steps = [
+        StringIndexer(inputCol=CATEGORY, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=["_index"], outputCols=["_category"], dropLast=False),
+        VectorAssembler(inputCols=[*numbers, "_category"], outputCol=FEATURES),
+        GBTRegressor(featuresCol=FEATURES, labelCol=REVENUE, maxDepth=depth, maxIter=trees, stepSize=rate, seed=42),
+    ]
+    return Pipeline(stages=steps).fit(table.withColumns({c: F.col(c).cast("double") for c in [*numbers, REVENUE]}))
 
 
 def _value_at(month: Column) -> Column:
@@ -63,9 +68,7 @@ def _value_at(month: Column) -> Column:
     return F.get(F.filter("_recent", lambda r: r[DAY] == month), 0)[REVENUE]
 
 
-def forecast(
-    monthly: DataFrame, model: Model, categories: list[str], names: list[str], *, start: str, months: int = 12
-) -> DataFrame:
+def forecast(monthly: DataFrame, model: PipelineModel, *, start: str, months: int = 12) -> DataFrame:
     """Predict month after month from known and already predicted months.
 
     The state is one row per category with its last three months, so a step neither shuffles nor touches the
@@ -89,15 +92,11 @@ def forecast(
                 LAGS[1]: previous,
                 "moyenne_mobile_3m": mean,
                 "variation_pourcent": F.coalesce(F.try_divide(last - previous, previous), F.lit(0.0)),
-                "_category": F.col(CATEGORY),
             }
         )
-        coded, _ = one_hot(ready, CATEGORY, values=categories)
-        coded = coded.withColumnRenamed("_category", CATEGORY)
         complete = F.col(LAGS[0]).isNotNull() & F.col(LAGS[1]).isNotNull()
-        filled = coded.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in LAGS[:2]} | {"_ok": complete})
-        vectors = VectorAssembler(inputCols=names, outputCol=FEATURES).transform(filled)
-        predicted = model.transform(vectors).withColumn(
+        filled = ready.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in LAGS[:2]} | {"_ok": complete})
+        predicted = model.transform(filled).withColumn(
             "_value", F.when(F.col("_ok"), F.col("prediction"))
         )
         longer = F.concat("_recent", F.array(F.struct(month.alias(DAY), F.col("_value").alias(REVENUE))))

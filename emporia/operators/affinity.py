@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.operators.joins import lookup
+from emporia.operators.joins import lookup, shuffle_tasks
 from emporia.operators.ranking import weighted_lower_median
 from emporia.sources.shared import written
 
@@ -156,11 +156,20 @@ def _with_large(
             *by, F.col("_mask2").alias("_mask"), F.col("_mask").alias("_mask2"), "support"
         )
     )
+    # A mask class is a hot key of at most 2^8 values, so its items are dealt out by their hash, and the other
+    # side is repeated for every part: the rows that are made are results, and no task makes a whole class's.
+    parts = shuffle_tasks(masks)
     first = masks.withColumnRenamed(item, "_first")
-    second = masks.select(*by, F.col(item).alias("_second"), F.col("_mask").alias("_mask2"))
+    second = masks.select(
+        *by,
+        F.col(item).alias("_second"),
+        F.col("_mask").alias("_mask2"),
+        F.pmod(F.xxhash64(item), F.lit(parts)).cast("int").alias("_part"),
+    )
     only = (
         first.join(F.broadcast(links), [*by, "_mask"])  # at most 2^16 links: 8 bits for all groups together
-        .join(second, [*by, "_mask2"])
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .join(second, [*by, "_mask2", "_part"])
         .where(F.col("_first") < F.col("_second"))
         .select(*by, "_first", "_second", "support")
         .join(joint.select(*by, "_first", "_second"), [*by, "_first", "_second"], "left_anti")

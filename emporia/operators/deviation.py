@@ -11,14 +11,13 @@ HIGH, LOW = 1.5, -1.5
 def add_zscore(daily: DataFrame, value: str, group: str, name: str, *, mean: str = "", deviation: str = "") -> DataFrame:
     """Add the z-score of ``value`` within its calendar group; NULL for a group of one or without spread.
 
-    ``daily`` has one row per day, so both it and its statistics are bounded by the calendar; the figures of
-    a group (a month, a week day, a day of the month) are at most a few hundred rows.
+    The statistics are one row per group; Catalyst broadcasts them when they are as small as those of a calendar.
     """
     mean_name, deviation_name = mean or f"_mean_{group}", deviation or f"_std_{group}"
     stats = daily.groupBy(group).agg(
         F.avg(value).alias(mean_name), F.stddev_samp(value).alias(deviation_name)
     )
-    scored = daily.join(F.broadcast(stats), group).withColumn(
+    scored = daily.join(stats, group).withColumn(
         name, F.try_divide(F.col(value) - F.col(mean_name), F.col(deviation_name))
     )
     return scored.drop(*[c for c, kept in ((mean_name, mean), (deviation_name, deviation)) if not kept])

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from emporia.sources.shared import broadcast_limit, planned_bytes
 
-SALTS = 64
-HEAVY_SHARE = 1000  # a key is heavy when it holds at least 1/1000 of the rows: at most 1000 keys can be
+
+def shuffle_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -22,14 +23,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{c}" for c in keys])
 
 
-def heavy_keys(df: DataFrame, keys: list[str], share: int = HEAVY_SHARE) -> DataFrame:
-    """Key combinations with at least ``1/share`` of all rows, so never more than ``share`` rows."""
+def heavy_keys(df: DataFrame, keys: list[str], share: int | None = None) -> DataFrame:
+    """Key combinations with at least ``1/share`` of all rows, and the tasks (``_salts``) that these would fill.
+
+    ``share`` defaults to the number of shuffle tasks: a key is heavy when it holds more than an even task does,
+    so there are never more heavy keys than tasks, and their salts are at most twice as many.
+    """
+    share = share or shuffle_tasks(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_key_rows"))
     total = counts.agg(F.sum("_key_rows").alias("_all_rows"))
+    salts = F.ceil(F.col("_key_rows") * share / F.col("_all_rows")).cast("int")
     return (
         counts.crossJoin(F.broadcast(total))
         .where(F.col("_key_rows") * share >= F.col("_all_rows"))
-        .select(*keys, F.lit(True).alias("_heavy"))
+        .select(*keys, salts.alias("_salts"))
     )
 
 
@@ -40,23 +47,24 @@ def salted_lookup(
     how: str = "left",
     *,
     null_safe: bool = False,
-    salts: int = SALTS,
+    share: int | None = None,
     sample: DataFrame | None = None,
 ) -> DataFrame:
-    """Join to a table that is unique on ``keys``; rows of heavy or missing keys spread over ``salts`` tasks.
+    """Join to a table that is unique on ``keys``; rows of heavy or missing keys spread over several tasks.
 
-    Only the right-hand rows of heavy keys are repeated (at most ``HEAVY_SHARE * salts`` rows). ``sample`` may
-    name a cheaper frame with the same key distribution; it steers the balance only, never the result.
+    A heavy key gets as many salts as its rows would fill tasks, and only the right-hand rows of heavy keys are
+    repeated. ``sample`` may name a cheaper frame with the same key distribution; it steers the balance only,
+    never the result.
     """
-    heavy = F.broadcast(heavy_keys((sample if sample is not None else left).select(*keys), keys))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    heavy = F.broadcast(heavy_keys((sample if sample is not None else left).select(*keys), keys, share))
+    spread = F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int")
     tagged = (
         null_safe_join(left, heavy, keys, "left")
-        .withColumn("_salt", F.when(F.col("_heavy"), spread).otherwise(F.lit(0)))
-        .drop("_heavy")
+        .withColumn("_salt", F.when(F.col("_salts").isNotNull(), spread).otherwise(F.lit(0)))
+        .drop("_salts")
     )
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = null_safe_join(right, heavy, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    copies = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
+    repeated = null_safe_join(right, heavy, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     if null_safe:
         return null_safe_join(tagged, repeated, [*keys, "_salt"], how).drop("_salt")
     return tagged.join(repeated, [*keys, "_salt"], how).drop("_salt")

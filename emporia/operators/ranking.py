@@ -11,25 +11,21 @@ from emporia.operators.joins import lookup, null_safe_join
 from emporia.sources.shared import written
 
 PLAIN_ROWS = 200_000  # a frame counted to be no larger than this may be ordered by one task
-ROWS_PER_BUCKET = 100_000
 
 
-def value_positions(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = 16) -> DataFrame:
+def value_positions(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Distinct values per group: count ``_n``, rows with a smaller value ``_below``, group size ``_all``.
 
-    Equal values are counted first, so a value that fills a third of the table is one row from then on. Cut
-    points from a bounded quantile sketch split each group into ``buckets`` ranges; a task orders one range,
-    and the range totals (at most ``buckets`` per group) give its offset. Any cut points give the same
-    positions; they are written once so that every reader and every retried task uses the same ones.
+    Equal values are counted first, so a value that fills a third of the table is one row from then on. The
+    counted values are dealt out in ranges of group and value (``buckets`` of them, or as many as the session
+    shuffles into) and written with the number of their range, so that every reader and every retried task sees
+    the same ranges. A task orders one range, and the totals of the ranges give its offset.
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    shares = [i / buckets for i in range(1, buckets)] or [0.5]
-    cuts = written(
-        counted.groupBy(*by).agg(F.percentile_approx(value, shares, 20 * buckets).alias("_cuts")), "cuts"
-    )
-    counted = lookup(counted, cuts, by, "inner", null_safe=True) if by else counted.crossJoin(F.broadcast(cuts))
-    placed = counted.withColumn("_bucket", F.expr(f"size(filter(_cuts, c -> c < `{value}`))")).drop("_cuts")
+    order = [*by, value]
+    dealt = counted.repartitionByRange(buckets, *order) if buckets else counted.repartitionByRange(*order)
+    placed = written(dealt.withColumn("_bucket", F.spark_partition_id()), "positions")
     sizes = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_rows"))
     group = Window.partitionBy(*by)
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -46,10 +42,6 @@ def value_positions(df: DataFrame, value: str, by: Sequence[str] = (), buckets:
     )
 
 
-def buckets_for(rows: int | None) -> int:
-    return 64 if rows is None else max(4, min(2048, rows // ROWS_PER_BUCKET + 1))
-
-
 def global_rank(
     df: DataFrame,
     value: str,
@@ -71,7 +63,7 @@ def global_rank(
         ordered = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last())
         return df.withColumn(name, F.rank().over(ordered).cast("bigint"))
     known = df if source is None else source
-    ranks = value_positions(known, value, by, buckets_for(rows)).select(
+    ranks = value_positions(known, value, by).select(
         *by, value, (F.col("_all") - F.col("_below") - F.col("_n") + 1).cast("bigint").alias(name)
     )
     missing = known.groupBy(*by).agg(
@@ -103,7 +95,7 @@ def lower_median(
     for value, name in values.items():
         middle = F.ceil(F.col("_all") / 2)
         one = (
-            value_positions(df, value, by, buckets_for(rows))
+            value_positions(df, value, by)
             .where((F.col("_below") < middle) & (middle <= F.col("_below") + F.col("_n")))
             .select(*by, F.col(value).alias(name))
         )
@@ -122,7 +114,7 @@ def interpolated_median(
         return df.agg(F.expr(f"percentile(`{value}`, 0.5)").alias(name))
     low, high = F.ceil(F.col("_all") / 2), F.floor(F.col("_all") / 2) + 1
     last = F.col("_below") + F.col("_n")
-    middle = value_positions(df, value, (), buckets_for(rows)).select(
+    middle = value_positions(df, value).select(
         F.when((F.col("_below") < low) & (low <= last), F.col(value)).alias("_low"),
         F.when((F.col("_below") < high) & (high <= last), F.col(value)).alias("_high"),
     )

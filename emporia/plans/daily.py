@@ -1,42 +1,72 @@
-"""The daily job: clean the sources, write the star schema, check it, write the indicators."""
+"""The daily job: clean the sources, check them, write the star schema and the indicators, then replace the tables."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.plans.checks import require_clean, run_checks
-from emporia.plans.warehouse import MODELS, Warehouse, build_order
+from emporia.plans.warehouse import CALENDAR, MODELS, Warehouse, build_order
+from emporia.session import RUNTIME
+from emporia.sources.shared import exists, job_folder, move, remove
 from emporia.sources.tables import SCHEMAS, replace_table
 
 AT_ONCE = 4  # independent tables written at the same time, so that small ones do not leave the cluster idle
 
 
+@contextmanager
+def runtime_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings that the plans are made for, put back at the end."""
+    before = {key: spark.conf.get(key, None) for key in RUNTIME}
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def run_daily(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
     store: str,
     *,
-    calendar: tuple[str, str] | None = None,
+    calendar: tuple[str, str] | None = CALENDAR,
     indicators: Iterable[str] = (),
 ) -> Warehouse:
     """Replace the cleaned sources, every table model and the named indicators below ``store``.
 
-    The job can be repeated: each table is replaced as a whole. A failed check stops it with an error after
-    the cleaned sources and before any model is written.
+    All tables are made in a folder beside the store and checked; only then does each take the place of the old
+    one. A failed check or job leaves every old table as it was, and the job can be repeated. Intermediate tables
+    are removed at the end, also after an error. ``calendar`` is that of :class:`Warehouse`.
     """
-    options = {"calendar": calendar} if calendar else {"calendar": None}
-    warehouse = Warehouse(spark, sources, store=store, **options)
+    store = store.rstrip("/")
+    making = f"{store}/.making"
+    remove(spark, making)
     tables = [name for name in build_order() if MODELS[name].table]
     later = [name for name in tables if any(r in tables for r in MODELS[name].refs)]
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        list(pool.map(warehouse.ref, SCHEMAS))
-        require_clean(run_checks(warehouse.ref))
-        list(pool.map(warehouse.ref, [name for name in tables if name not in later]))
-    for name in later:
-        warehouse.ref(name)
-    for name in indicators:
-        replace_table(warehouse.ref(name), f"{store.rstrip('/')}/indicators/{name}")
-    return warehouse
+    wanted = list(indicators)
+    try:
+        with runtime_settings(spark), job_folder(spark):
+            warehouse = Warehouse(spark, sources, store=making, calendar=calendar)
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                list(pool.map(warehouse.ref, SCHEMAS))
+                require_clean(run_checks(warehouse.ref))
+                list(pool.map(warehouse.ref, [name for name in tables if name not in later]))
+            for name in later:
+                warehouse.ref(name)
+            for name in wanted:
+                replace_table(warehouse.ref(name), f"{making}/indicators/{name}")
+        for name in [*(f"sources/{n}" for n in SCHEMAS), *tables, *(f"indicators/{n}" for n in wanted)]:
+            move(spark, f"{making}/{name}", f"{store}/{name}")
+    finally:
+        if exists(spark, making):
+            remove(spark, making)
+    return warehouse.moved(making, store)

@@ -189,5 +189,5 @@ def summary(fact: DataFrame, machines: DataFrame) -> DataFrame:
         F.round(rate.cast("decimal(28,10)"), 2).cast("double").alias("taux_promotion"),
         F.count_distinct("id_entrepot_depart").alias("nb_entrepots"),
     )
-    resources = machines.agg(F.count_distinct("id_entrepot_machine").alias("nb_machines"))
+    resources = machines.agg(F.count("id_entrepot_machine").alias("nb_machines"))
     return figures.crossJoin(F.broadcast(resources))

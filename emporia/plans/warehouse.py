@@ -66,9 +66,10 @@ def _load_models() -> None:
 class Warehouse:
     """Models over a set of raw source tables.
 
-    Models are lazy plans by default. With ``store`` set, the cleaned sources and the models declared as
-    tables are written there once and read back, which is how the shared fact and dimensions are meant to be
-    used on large data.
+    Most models are lazy plans. Those that rank, take medians or pair products (segmentations, product pairs,
+    sensitivity to promotions, delays) write intermediate tables while they are built, so asking for them runs
+    jobs. With ``store`` set, the cleaned sources and the models declared as tables are written there once and
+    read back, which is how the shared fact and dimensions are meant to be used on large data.
     """
 
     def __init__(
@@ -101,6 +102,15 @@ class Warehouse:
         replace_table(frame, path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def moved(self, old: str, new: str) -> Warehouse:
+        """A warehouse that reads the tables of this one, which were moved from below ``old`` to below ``new``."""
+        other = Warehouse(self.spark, self._sources, calendar=self._calendar)
+        for name, frame in self._built.items():
+            place = f"sources/{name}" if name in SCHEMAS else name if MODELS[name].table else None
+            if place is not None and self._store == old:
+                other._built[name] = self.spark.read.schema(frame.schema).parquet(f"{new}/{place}")
+        return other
+
     def _calendar_span(self) -> DataFrame:
         if self._calendar is None:
             return self.ref("stg_commandes").agg(

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_job_folders: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +31,55 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A path that nothing else uses, in the folder of the job at hand or else of the application."""
+    top = _job_folders[-1] if _job_folders else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    return f"{top}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it; nothing happens where there is none."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` where ``target`` is. What stood there goes only after the new one is in place."""
+    files, here = _file_system(spark, source)
+    _, there = _file_system(spark, target)
+    _, aside = _file_system(spark, f"{target.rstrip('/')}-old-{uuid.uuid4().hex}")
+    files.mkdirs(there.getParent())
+    had = files.exists(there)
+    if had and not files.rename(there, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not files.rename(here, there):
+        if had:
+            files.rename(aside, there)
+        raise OSError(f"cannot move {source} to {target}")
+    if had:
+        files.delete(aside, True)
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside go to a folder of the job, which is removed at the end, also after an error."""
+    path = new_path(spark, "job")
+    _job_folders.append(path)
+    try:
+        yield path
+    finally:
+        _job_folders.remove(path)
+        remove(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.operators.cleaning import ACCENTED, PLAIN, POSITION, clean_column_names
+from emporia.sources.shared import move, remove
 
 # Declared raw schemas, after column names were cleaned. Dates may still be text.
 SCHEMAS: dict[str, str] = {
@@ -127,10 +129,20 @@ def load_tables(
 
 
 def replace_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """Write ``df`` as the whole new content of the table at ``path``, without the place of its rows."""
-    writer = df.drop(POSITION).write.mode("overwrite").format(fmt)
+    """Write ``df`` as the whole new content of the table at ``path``, without the place of its rows.
+
+    The new table is written beside the old one and takes its place when it is complete, so a job that fails
+    leaves the old one as it was.
+    """
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
+    writer = df.drop(POSITION).write.format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    try:
+        writer.save(beside)
+        move(spark, beside, path)
+    except BaseException:
+        remove(spark, beside)
+        raise

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emporia.ml import features, forecast, models
+from emporia.ml.grid import boosted_scores, cells, full_grid
 
 # The published monthly figures (neutral, positive, negative and all mentions, orders, mean note).
 MONTHS = [
@@ -143,8 +144,8 @@ def test_forecast_follows_its_own_predictions(spark):
         if month < 24:
             rows.append((2023 + (month - 1) // 12, (month - 1) % 12 + 1, "gap", 50.0 + month % 3))
     monthly = spark.createDataFrame(rows, "annee bigint, mois bigint, categorie string, ca_ventes double")
-    model, categories, names = forecast.fit_forecaster(monthly, trees=3, depth=2)
-    result = forecast.forecast(monthly, model, categories, names, start="2025-01-01", months=3)
+    model = forecast.fit_forecaster(forecast.training_table(monthly), trees=3, depth=2)
+    result = forecast.forecast(monthly, model, start="2025-01-01", months=3)
     found = result.orderBy("date").collect()
     assert [(r["categorie"], r["annee"], r["mois"]) for r in found] == [("x", 2025, m) for m in (1, 2, 3)]
 
@@ -157,13 +158,37 @@ def test_forecast_follows_its_own_predictions(spark):
         "ca_ventes_prec_2": 124.0,
         "moyenne_mobile_3m": (123.0 + 124.0 + first) / 3,
         "variation_pourcent": (first - 124.0) / 124.0,
-        "categorie_gap": 0.0,
-        "categorie_x": 1.0,
+        "gap": 0.0,
+        "x": 1.0,
+        "unknown": 0.0,
     }
     from pyspark.ml.linalg import Vectors
 
-    assert names == list(row)
-    assert model.predict(Vectors.dense(list(row.values()))) == pytest.approx(second)
+    assert model.stages[0].labels == ["gap", "x"]
+    assert model.stages[-1].predict(Vectors.dense(list(row.values()))) == pytest.approx(second)
+    assert model.transform(forecast.training_table(monthly).withColumn("categorie", F.lit("new"))).count() > 0
+
+
+def test_full_grid_boosts_on_cells_as_on_rows(spark):
+    """Trees on cells equal trees on rows: depth 1, one tree, against the best cut found by hand."""
+    rng = np.random.default_rng(2)
+    rows = [(str(i), float(a), float(b), float(3.0 * (a > 4) + 0.5 * b + rng.normal(0, 0.1))) for i, (a, b) in enumerate(rng.integers(0, 9, (400, 2)))]
+    train = spark.createDataFrame(rows, "k string, a double, b double, y double")
+    held = cells(train, ("a", "b"), "y", "k", folds=2).toPandas()
+    assert held["n"].sum() == 400 and held["y"].sum() == pytest.approx(sum(r[3] for r in rows))
+    one = held.groupby(["b0", "b1"])[["n", "y", "yy"]].sum().reset_index()
+    grids = [one.pivot(index="b0", columns="b1", values=c).fillna(0).to_numpy(float) for c in ("n", "y", "yy")]
+    score = boosted_scores(grids[0], grids[1], (grids[0], grids[1], grids[2].sum()), 1, 1.0, (1,))[0]
+    y = np.array([r[3] for r in rows])
+    best = 0.0
+    for column in (1, 2):
+        x = np.array([r[column] for r in rows])
+        for cut in sorted(set(x))[:-1]:
+            fitted = np.where(x <= cut, y[x <= cut].mean(), y[x > cut].mean())
+            best = max(best, 1 - ((y - fitted) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+    assert score == pytest.approx(best)
+    points = full_grid(train, ("a", "b"), "y", "k", trees=(5, 20), folds=2).collect()
+    assert len(points) == 3 * 2 * 3 and max(r["r2"] for r in points) > 0.9
 
 
 def test_value_counts_and_describe(spark):

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from emporia.operators import affinity
 from emporia.operators.affinity import affinity_pairs
 from emporia.operators.cleaning import clean_table, dedup_keep_first, in_order
 from emporia.operators.deviation import add_zscore, deviation_label
@@ -205,6 +206,9 @@ def test_affinity_without_pairs(spark):
 
 
 def test_affinity_joins_on_keys_only(spark):
+    """The plan of the pair join itself; what the operator returns is a written table."""
     data = purchases(1, ["x"], 2)
-    plan = plan_of(affinity_pairs(spark.createDataFrame(data, "g string, e int, i string"), "e", "i", ["g"]))
-    assert "CartesianProduct" not in plan
+    baskets = spark.createDataFrame(data, "g string, e int, i string")
+    plan = plan_of(affinity._pairs(baskets, ["g", "e"], "i"))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "Join [g" in plan and "e#" in plan

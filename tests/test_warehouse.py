@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -151,7 +152,7 @@ def test_checks_count_failures(spark):
 def test_daily_job_is_repeatable(spark, tmp_path):
     store = str(tmp_path / "store")
     for _ in range(2):
-        built = run_daily(spark, RawTables(spark, FOLDER), store, indicators=["v_segmentation_produits"])
+        built = run_daily(spark, RawTables(spark, FOLDER), store, calendar=None, indicators=["v_segmentation_produits"])
     lazy = Warehouse(spark, RawTables(spark, FOLDER), calendar=None)
     for name in ("mrt_fct_commandes", "mrt_dim_promotions"):
         stored = spark.read.parquet(f"{store}/{name}")
@@ -161,6 +162,31 @@ def test_daily_job_is_repeatable(spark, tmp_path):
     assert report.count() == built.ref("v_segmentation_produits").count() > 0
 
 
+def test_failed_job_leaves_the_old_tables_and_no_intermediates(spark, tmp_path):
+    store, raw = str(tmp_path / "store"), dict(RawTables(spark, FOLDER))
+    run_daily(spark, raw, store)
+    days = spark.read.parquet(f"{store}/mrt_dim_dates").count()
+    before = spark.read.parquet(f"{store}/mrt_fct_commandes").collect()
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    left = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    broken = raw | {"clients": raw["clients"].withColumn("id_client", F.lit(None).cast("bigint"))}
+    broken["commandes"] = raw["commandes"].withColumn("id_client", F.raise_error(F.lit("broken file")).cast("bigint"))
+    with pytest.raises(Exception, match="broken file"):
+        run_daily(spark, broken, store)
+    assert days == 2556 and sorted(spark.read.parquet(f"{store}/mrt_fct_commandes").collect(), key=str) == sorted(before, key=str)
+    assert not (tmp_path / "store" / ".making").exists()
+    assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == left
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_replace_keeps_the_old_table_when_the_new_one_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="no such row"):
+        replace_table(spark.range(3).select(F.raise_error(F.lit("no such row")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3 and os.listdir(tmp_path) == ["t"]
+
+
 def test_unused_joins_leave_the_fact(spark):
     """A query that needs only order columns reads neither lines nor products."""
     fact = Warehouse(spark, RawTables(spark, FOLDER), calendar=None).ref("mrt_fct_commandes")
@@ -169,6 +195,6 @@ def test_unused_joins_leave_the_fact(spark):
 
 
 def test_indicators_read_only_their_columns(spark, tmp_path):
-    built = run_daily(spark, RawTables(spark, FOLDER), str(tmp_path / "store"))
+    built = run_daily(spark, RawTables(spark, FOLDER), str(tmp_path / "store"), calendar=None)
     plan = built.ref("repartition_commandes_par_entrepot_par_mois")._jdf.queryExecution().executedPlan().toString()
     assert "montant" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emporia.ml import features, forecast, models
+from emporia.ml.grid import full_grid
 from emporia.sources.shared import written
 from workload.oracle import COMMENTS, MODEL_SQL, near, total
 from workload.registry import Data, query
@@ -128,7 +129,11 @@ def scaled(data: Data):
     return _rounded(features.standardise(table, BREAKDOWNS), *BREAKDOWNS)
 
 
-@query("ml_split_random")
+@query(
+    "ml_split_random",
+    """SELECT id_commande, CASE WHEN CAST('0x' || substr(md5('42:' || CAST(id_commande AS VARCHAR)), 1, 8) AS UBIGINT) % 10000
+       < 2000 THEN 'test' ELSE 'train' END AS part FROM stg_commandes""",
+)
 def random_split(data: Data):
     """Rows of the hash split: every order is in exactly one part."""
     train, test = features.split_random(data("stg_commandes"), "id_commande")
@@ -306,10 +311,12 @@ def boosted(data: Data):
 
 @query("ml_grid_search")
 def grid(data: Data):
-    """A small grid; the defaults of the function are the full one."""
-    train, _ = _machine_parts(data)
-    fitted = models.grid_search(train, VOLUME, depths=(3, 5), trees=(5,), rates=(0.1, 0.05))
-    return models.grid_table(fitted, train)
+    """All 27 points of the grid (3 depths, 100 to 300 trees, 3 rates), each scored on 3 folds."""
+    table = data("impacts_pannes_machines_par_mois").select(
+        F.concat_ws("|", "id_machine", "id_entrepot", "type_machine", "annee_mois").alias("_key"), *BREAKDOWNS, VOLUME
+    )
+    train, _ = features.split_random(written(table, "machines"), "_key")
+    return full_grid(train, tuple(BREAKDOWNS), VOLUME, "_key")
 
 
 @query("ml_random_forest")
@@ -335,5 +342,22 @@ def twelve_months(data: Data):
     months = written(_monthly(data), "months")
     last = forecast.with_month(months).agg(F.max("date")).first()[0]  # one value
     start = f"{last.year + last.month // 12}-{last.month % 12 + 1:02d}-01"
-    model, categories, names = forecast.fit_forecaster(months)
-    return forecast.forecast(months, model, categories, names, start=start)
+    return forecast.forecast(months, forecast.fit_forecaster(forecast.training_table(months)), start=start)
+
+
+def _forecast_metrics(data: Data, leak_free: bool):
+    """Metrics of the boosted trees on the last fifth of the rows in the order category, month."""
+    table = written(forecast.training_table(_monthly(data), leak_free=leak_free), "training")
+    train, test = features.split_ordered(table, forecast.CATEGORY, forecast.DAY)
+    return models.regression_metrics(forecast.fit_forecaster(train).transform(test), forecast.REVENUE)
+
+
+@query("ml_forecast_metrics")
+def forecast_metrics(data: Data):
+    return _forecast_metrics(data, True)
+
+
+@query("ml_forecast_metrics_current_month")
+def forecast_metrics_current_month(data: Data):
+    """The same with mean and change that include the month itself, which the target is part of."""
+    return _forecast_metrics(data, False)

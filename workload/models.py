@@ -10,11 +10,12 @@ from emporia.plans.warehouse import Warehouse, build_order
 from emporia.sources.projections import RawTables
 from workload.oracle import MODEL_SQL, assemble
 
-FAMILY_MODELS = {
+# The pair models run on the real products, and once more on sixty product families, which share more baskets.
+PAIR_MODELS = (
     "v_produits_achetes_ensemble",
     "v_produits_achetes_ensemble_par_genre",
     "v_produits_achetes_ensemble_par_tranche_age",
-}
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,13 +24,15 @@ def warehouse(spark: SparkSession, folder: str, families: bool = False) -> Wareh
     return Warehouse(spark, RawTables(spark, folder, families), calendar=None)
 
 
-def _query(name: str) -> Query:
-    return lambda spark, folder: warehouse(spark, folder, name in FAMILY_MODELS).ref(name)
+def _query(name: str, families: bool = False) -> Query:
+    return lambda spark, folder: warehouse(spark, folder, families).ref(name)
 
 
 def queries() -> dict[str, Query]:
-    return {name: _query(name) for name in build_order()}
+    made = {name: _query(name) for name in build_order()}
+    return made | {f"{name}_familles": _query(name, True) for name in PAIR_MODELS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: assemble(MODEL_SQL[name], name in FAMILY_MODELS) for name in build_order()}
+    made = {name: assemble(MODEL_SQL[name]) for name in build_order()}
+    return made | {f"{name}_familles": assemble(MODEL_SQL[name], True) for name in PAIR_MODELS}

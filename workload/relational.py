@@ -23,7 +23,7 @@ from emporia.plans.warehouse import MODELS, Warehouse, build_order
 from emporia.sources.projections import SQL
 from emporia.sources.shared import new_path
 from emporia.sources.tables import SCHEMAS, load_tables, read_table, replace_table
-from workload.oracle import BAND, CODE, COMMENTS, FOUR, _segments, near, total
+from workload.oracle import BAND, CODE, COMMENTS, FOUR, MODEL_SQL, _segments, near, total
 from workload.registry import Data, query
 
 
@@ -140,6 +140,20 @@ def replaced(data: Data):
     return read_table(data.spark, path).drop(cleaning.POSITION)
 
 
+@query(
+    "model_default_calendar",
+    """SELECT CAST(d AS DATE) AS date_jour, CAST(year(d) AS BIGINT) AS annee, CAST(month(d) AS BIGINT) AS mois,
+        CAST(day(d) AS BIGINT) AS jour, dayname(d) AS jour_semaine, strftime(d, '%Y-%m') AS annee_mois,
+        (SELECT count(*) FROM raw_commandes WHERE date_commande = CAST(d AS DATE)) AS commandes
+        FROM (SELECT unnest(generate_series(DATE '2019-01-01', DATE '2025-12-30', INTERVAL 1 DAY)) AS d)""",
+)
+def default_calendar(data: Data):
+    """The date dimension of a warehouse without a calendar of its own, with the orders of each day."""
+    days = Warehouse(data.spark, data.raw).ref("mrt_dim_dates")
+    orders = data.raw["commandes"].groupBy(F.col("date_commande").alias("date_jour")).agg(rows().alias("commandes"))
+    return days.join(orders, "date_jour", "left").fillna(0, ["commandes"])
+
+
 _TABLES = [n for n in build_order() if MODELS[n].table]
 
 
@@ -147,10 +161,18 @@ _TABLES = [n for n in build_order() if MODELS[n].table]
 def daily_job(data: Data):
     """The daily job writes every table model after its checks; rows per written table."""
     store = new_path(data.spark, "store")
-    run_daily(data.spark, data.raw, store)
+    run_daily(data.spark, data.raw, store, calendar=None)
     return _row_counts({name: read_table(data.spark, f"{store}/{name}") for name in _TABLES})
 
 
+@query("daily_job_fact", MODEL_SQL["mrt_fct_commandes"])
+def daily_fact(data: Data):
+    """The order fact as the daily job left it in the store."""
+    store = new_path(data.spark, "store")
+    run_daily(data.spark, data.raw, store, calendar=None)
+    return read_table(data.spark, f"{store}/mrt_fct_commandes").drop(cleaning.POSITION)
+
+
 # --- cleaning operators --------------------------------------------------------------------------------------
 
 
@@ -258,8 +280,14 @@ def pairs_without_large_baskets(data: Data):
     return affinity_pairs(orders, "id_client", "id_produit", min_support=2, large_basket=15)
 
 
-@query("join_self_theta", _PAIRS_SQL.format(3), families=True)
+@query("join_self_theta", _PAIRS_SQL.format(2))
 def pairs_joined(data: Data):
+    orders = data("mrt_fct_commandes").select("id_client", "id_produit")
+    return affinity_pairs(orders, "id_client", "id_produit", min_support=2)
+
+
+@query("join_self_theta_familles", _PAIRS_SQL.format(3), families=True)
+def family_pairs_joined(data: Data):
     orders = data("mrt_fct_commandes").select("id_client", "id_produit")
     return affinity_pairs(orders, "id_client", "id_produit", min_support=3)
 
