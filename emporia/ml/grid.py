@@ -8,15 +8,19 @@ fits one depth, rate and fold; as boosting adds tree after tree, the shorter for
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BINS = 32
+# The functions that run in Spark's tasks travel with the job, so executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def cells(train: DataFrame, features: tuple[str, str], target: str, key: str, folds: int, bins: int = BINS) -> DataFrame:

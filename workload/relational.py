@@ -43,13 +43,46 @@ def _row_counts_sql(names) -> str:
 # --- sources and sinks ---------------------------------------------------------------------------------------
 
 
-@query("source_load_tables", _row_counts_sql((n, f"raw_{n}") for n in SQL))
+# Per column its present values and a measure of their content that both engines take alike.
+_MEASURES = {
+    "string": ("length(CAST({0} AS {1}))", "CAST(sum({0}) AS BIGINT)"),
+    "double": ("round(CAST({0} AS DOUBLE) * 100)", "CAST(sum({0}) AS BIGINT)"),
+    "date": ("datediff(CAST({0} AS DATE), DATE '1990-01-01')", "CAST(sum({0}) AS BIGINT)"),
+}
+
+
+def _columns_of(name: str) -> list[tuple[str, str]]:
+    return [tuple(c.split()) for c in SCHEMAS[name].split(", ")]
+
+
+def _content_sql(name: str) -> str:
+    parts = []
+    for column, kind in _columns_of(name):
+        value = "date_diff('day', DATE '1990-01-01', CAST({0} AS DATE))" if kind == "date" else _MEASURES[kind][0]
+        total_of = _MEASURES[kind][1].format(value.format(column, "VARCHAR"))
+        parts.append(
+            f"SELECT '{name}' AS table_name, '{column}' AS colonne, count({column}) AS presents, {total_of} AS mesure FROM raw_{name}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _content(name: str, df: DataFrame) -> DataFrame:
+    columns = _columns_of(name)
+    figures = []
+    for i, (column, kind) in enumerate(columns):
+        value, total_of = _MEASURES[kind]
+        figures += [f"count(`{column}`) AS p{i}", total_of.format(value.format(column, "STRING")) + f" AS m{i}"]
+    listed = ", ".join(f"named_struct('colonne', '{c}', 'presents', p{i}, 'mesure', m{i})" for i, (c, _) in enumerate(columns))
+    return df.selectExpr(*figures).selectExpr(f"'{name}' AS table_name", f"inline(array({listed}))")
+
+
+@query("source_load_tables", " UNION ALL ".join(_content_sql(n) for n in SQL))
 def load_written_tables(data: Data):
-    """All ten source tables written to one folder, found there by name and counted."""
+    """All ten source tables written to one folder and found there by name: content of every declared column."""
     folder = new_path(data.spark, "sources")
     for name in SQL:
         replace_table(data.raw[name], f"{folder}/{name}")
-    return _row_counts(load_tables(data.spark, folder))
+    return reduce(DataFrame.unionByName, [_content(n, df) for n, df in load_tables(data.spark, folder).items()])
 
 
 _FEEDBACK_SQL = """SELECT CAST(id_satisfaction AS VARCHAR) AS id_satisfaction, CAST(id_commande AS VARCHAR) AS id_commande,
