@@ -69,9 +69,12 @@ class Model:
 def count_grams(docs: DataFrame, per_language: int) -> DataFrame:
     """``lang, gram, n`` (n-grams by their hash) over a bounded sample of labelled documents, drawn by a hash of the id."""
     known = docs.filter(F.col("lang").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    # one figure per language; the model has a bit for each of them anyway
+    sizes = {r["lang"]: r["docs"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()}
+    rates = [x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(per_language / n))]
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    drawn = known.join(sizes, "lang").filter(part * F.col("docs") < per_language).select("lang", "text")
+    rate = F.element_at(F.create_map(*rates), F.col("lang")) if rates else F.lit(0.0)
+    drawn = known.filter(part < rate).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: dict[str, Counter] = {}

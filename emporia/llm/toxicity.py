@@ -149,7 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other:
     for label, most in ((1, toxic), (0, other)):
         keep = keep | ((F.col("toxic") == label) & (part < most / max(sizes.get(label, 0), 1)))
     drawn = marks.filter(keep)
-    texts = pick(docs, "doc_id", "text").join(drawn, "doc_id").select("doc_id", "toxic", "text")
+    # the draw is bounded by its parameters, so the texts of all other documents need not be shuffled
+    texts = pick(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")
     room = {0: SAMPLE_CHARS, 1: SAMPLE_CHARS}
     chosen = []
     for row in texts.orderBy("doc_id", "text").toLocalIterator():
