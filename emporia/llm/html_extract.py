@@ -155,9 +155,6 @@ def text_of(page: Page, chosen: list[int]) -> str:
     return "\n\n".join(page.texts[r] for r in sorted(r for i in chosen for r in page.blocks[i].runs))
 
 
-# --- training layouts -----------------------------------------------------------------------------------------------
-
-
 def _wrap(tag: str, names: str, inside: str, part: str = "") -> str:
     attribute = f' class="{names}"' if names else ""
     return f"<{tag}{attribute}{f' data-part={part}' if part else ''}>{inside}</{tag}>"
