@@ -27,6 +27,7 @@ SELECT l_orderkey AS id_commande, %s AS id_produit,
        l_linenumber, l_partkey, l_suppkey, l_extendedprice
 FROM lineitem"""
 
+# The comments in "satisfaction" are fixed values, as in emporia/functions/labels.py.
 SQL: dict[str, str] = {
     "clients": """
 SELECT c_custkey AS id_client,

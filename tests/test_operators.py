@@ -27,9 +27,6 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# --- cleaning ---
-
-
 def test_dedup_keeps_first_and_is_idempotent(spark):
     df = spark.createDataFrame(
         [(1, 2, "b"), (1, 1, "z"), (1, 1, "a"), (2, None, "c"), (None, 0, "d")], "k int, o int, v string"
@@ -51,9 +48,6 @@ def test_invalid_first_line_drops_the_order(spark):
     assert rows_of(kept) == Counter([(4, "q", 0)])
 
 
-# --- joins ---
-
-
 def skewed(spark, n=3000):
     """A third of the rows have key 1, a tenth none, the rest are spread; key 7 has no match."""
     key = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 500)
@@ -99,9 +93,6 @@ def test_following_days(spark):
     assert "NestedLoop" not in plan_of(counted) and "Cartesian" not in plan_of(counted)
 
 
-# --- ranks and medians ---
-
-
 def values(spark, seed, rows=2000):
     """Groups of very different size, many ties, a value that fills a third of the rows, some NULLs."""
     rng = random.Random(seed)
@@ -153,9 +144,6 @@ def test_zscore_of_a_single_value(spark):
     assert rows_of(scored) == Counter([(None, "no")] * 3)
 
 
-# --- product pairs ---
-
-
 def brute_pairs(purchases, min_support):
     items = defaultdict(set)
     for group, entity, item in purchases:

@@ -65,6 +65,25 @@ def simple(data: Data):
     return _rounded(fitted, "intercept", "slope", "mae", "rmse", "r2")
 
 
+_X1, _X2 = BREAKDOWNS
+_TWO_SQL = f"""WITH m AS (SELECT avg({_X1}) AS m1, avg({_X2}) AS m2, avg({VOLUME}) AS my, var_pop({_X1}) AS v1,
+        var_pop({_X2}) AS v2, covar_pop({_X1}, {_X2}) AS c12, covar_pop({_X1}, {VOLUME}) AS c1,
+        covar_pop({_X2}, {VOLUME}) AS c2 FROM {_MACHINES}),
+    b AS (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2
+          FROM m)
+    SELECT '{_X1}' AS feature, {near('b1', 4)} AS coefficient FROM b
+    UNION ALL SELECT '{_X2}', {near('b2', 4)} FROM b
+    UNION ALL SELECT 'const', {near('my - b1 * m1 - b2 * m2', 4)} FROM b"""
+
+
+@query("ml_two_feature_regression", _TWO_SQL)
+def two_features(data: Data):
+    """Multiple regression through the ML estimator, against its normal equations."""
+    table = models.feature_table(data("impacts_pannes_machines_par_mois"), BREAKDOWNS, VOLUME)
+    fitted = models.coefficient_table(models.linear_model(table, VOLUME), BREAKDOWNS, table)
+    return _rounded(fitted, "coefficient", digits=4).select("feature", "coefficient")
+
+
 def _satisfaction(data: Data):
     """Numeric feature table of the satisfaction study: flags as 0/1, the amount cut to whole units."""
     base = data("performance_retard_satisfaction").select(

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+from emporia.functions import labels
 from emporia.sources.projections import SQL, table_sql
 
 # Amounts as whole units, of which a cent has so many, rounded half away from zero in whole numbers.
@@ -35,14 +36,13 @@ def _copy(name: str) -> str:
     return f"SELECT * FROM {name}"
 
 
-BAND = (
-    "CASE WHEN age >= 61 OR age IS NULL THEN 'Plus de 60 ans' WHEN age >= 41 THEN '41–60 ans' "
-    "WHEN age >= 25 THEN '25–40 ans' ELSE 'Moins de 25 ans' END"
-)
-CODE = (
-    "CASE WHEN age >= 61 OR age IS NULL THEN 'plus_60' WHEN age >= 41 THEN 'entre_41_60' "
-    "WHEN age >= 25 THEN 'entre_25_40' ELSE 'moins_25' END"
-)
+def _band(names: tuple[str, ...]) -> str:
+    """Up to and including each limit; older or unknown ages are in the last band."""
+    cases = " ".join(f"WHEN age <= {limit} THEN '{name}'" for limit, name in zip(labels.AGE_LIMITS, names))
+    return f"CASE {cases} ELSE '{names[-1]}' END"
+
+
+BAND, CODE = _band(labels.AGE_LABELS), _band(labels.AGE_CODES)
 
 PARTS: dict[str, str] = {
     "stg_campagnes": f"""SELECT id_campagne, date, {_flag('evenement_oui_non', 'Yes', 'No')}, evenement_type, canal,
@@ -126,7 +126,7 @@ def _sales(keys: str, source: str = "ventes_clients") -> str:
         {total('coalesce(montant_commande_apres_promotion, 0)')} AS chiffre_affaires FROM {source} GROUP BY ALL"""
 
 
-def _segments(keys: str, by: str, labels: tuple[str, ...] | None, column: str, source: str = "ventes_clients",
+def _segments(keys: str, by: str, names: tuple[str, ...] | None, column: str, source: str = "ventes_clients",
               mid: tuple[str, str] = ("mediane_volume", "mediane_ca")) -> str:
     part = f"PARTITION BY {by}" if by else ""
     text = f"""SELECT *, rank() OVER ({part} ORDER BY quantite_totale DESC) AS rang_volume,
@@ -135,14 +135,15 @@ def _segments(keys: str, by: str, labels: tuple[str, ...] | None, column: str, s
         quantile_disc(chiffre_affaires, 0.5) OVER ({part}) AS {mid[1]} FROM ({_sales(keys, source)})"""
     if by:
         text += f" WHERE {by} IS NOT NULL"
-    if labels:
-        a, b, c, d = labels
-        text = f"""SELECT *, CASE (quantite_totale >= {mid[0]})::INT * 2 + (chiffre_affaires >= {mid[1]})::INT
-            WHEN 3 THEN '{a}' WHEN 2 THEN '{b}' WHEN 1 THEN '{c}' ELSE '{d}' END AS {column} FROM ({text})"""
+    if names:
+        sold, paid = f"quantite_totale >= {mid[0]}", f"chiffre_affaires >= {mid[1]}"
+        both, volume, value, neither = names
+        text = f"""SELECT *, CASE WHEN {sold} AND {paid} THEN '{both}' WHEN {sold} THEN '{volume}'
+            WHEN {paid} THEN '{value}' ELSE '{neither}' END AS {column} FROM ({text})"""
     return text
 
 
-FOUR = ("Star", "Populaire peu rentable", "Premium discret", "Faible")
+FOUR = labels.CATEGORY_SEGMENTS
 CATEGORY = _segments("categorie", "", FOUR, "segment_categorie")
 
 
@@ -194,19 +195,14 @@ def _sentiment_sums(source: str, key: str) -> str:
 _AFTER = """(SELECT count(*) FROM mrt_fct_commandes c
         WHERE c.date_commande >= d.jour AND c.date_commande <= d.jour + 7)"""
 
-_WORDS = """(VALUES (1, 'better', 'passable'), (2, 'excellent product', 'excellent'), (3, 'fast delivery', 'efficient'),
-    (4, 'good product', 'satisfying'), (5, 'average product', 'average'), (6, 'below average', 'poor'),
-    (7, 'delivery took too long', 'slow'), (8, 'not satisfied', 'unsatisfied'), (9, 'terrible experience', 'terrible'),
-    (10, 'great quality', 'great'), (11, 'okay', 'bof'), (12, 'product arrived damaged', 'damaged'),
-    (13, 'perfect experience', 'perfect'), (14, 'satisfied with the experience', 'satisfied')) AS w(i, texte, mot)"""
-_SENTENCES = """(VALUES ('could be better.', 'mediocre'), ('excellent product highly recommend!', 'excellent'),
-    ('fast delivery and good service.', 'efficient'), ('good product, happy with the purchase', 'satisfying'),
-    ('average product, nothing special', 'average'), ('below average quality.', 'poor'),
-    ('delivery took too long.', 'slow'), ('not satisfied with the service.', 'unsatisfied'),
-    ('terrible experience, will not buy again.', 'terrible'), ('great quality and service!', 'great'),
-    ('it was okay, not great.', 'bof'), ('the product arrived damaged.', 'damaged'),
-    ('perfect experience, very happy!', 'perfect'), ('satisfied with the experience.', 'satisfied')) AS w(texte, mot)"""
-_MOOD = "CASE WHEN note_client IS NULL THEN 'neutre' WHEN note_client < 3 THEN 'negatif' ELSE 'positif' END"
+# Fixed values, listed once in emporia/functions/labels.py.
+_WORDS = "(VALUES {}) AS w(i, texte, mot)".format(
+    ", ".join(f"({i}, '{text}', '{word}')" for i, (text, word) in enumerate(labels.COMMENT_PHRASES))
+)
+_SENTENCES = "(VALUES {}) AS w(texte, mot)".format(
+    ", ".join(f"('{text}', '{word}')" for text, word in labels.COMMENT_SENTENCES)
+)
+_MOOD = "CASE WHEN note_client >= 3 THEN 'positif' WHEN note_client <= 2 THEN 'negatif' ELSE 'neutre' END"
 COMMENTS = f"""SELECT id_commande, note_client, commentaire, {_MOOD} AS sentiment,
         ifnull((SELECT arg_min(mot, i) FROM {_WORDS} WHERE contains(lower(commentaire), texte)), 'bad') AS mots_cles
         FROM mrt_fct_satisfaction WHERE commentaire IS NOT NULL"""
@@ -218,10 +214,10 @@ MODEL_SQL: dict[str, str] = {
     "capacites_par_entrepot": "SELECT * FROM stg_entrepots",
     "referentiel_dates": "SELECT * FROM mrt_dim_dates",
     "v_segmentation_produits": _segments(
-        "id_produit, produit", "", ("Star", "Populaire peu rentable", "Premium peu vendu", "Flop"), "segment_produit",
+        "id_produit, produit", "", labels.PRODUCT_SEGMENTS, "segment_produit",
         "ventes JOIN mrt_dim_produits USING (id_produit)", ("mediane_quantite", "mediane_chiffre_affaires")),
     "v_segmentation_categories": CATEGORY,
-    "tests_analyse_ventes": f"""SELECT * REPLACE (CASE WHEN rang_global < 4 THEN 'Vraie Star' ELSE segment_categorie END
+    "tests_analyse_ventes": f"""SELECT * REPLACE (CASE WHEN rang_global <= 3 THEN 'Vraie Star' ELSE segment_categorie END
         AS segment_categorie) FROM (SELECT *, rank() OVER (ORDER BY quantite_totale + chiffre_affaires DESC)
         AS rang_global FROM ({CATEGORY}))""",
     "v_produits_plebiscites_par_genre": _segments("genre, id_produit, produit", "genre", FOUR, "segment_produit"),
@@ -235,7 +231,7 @@ MODEL_SQL: dict[str, str] = {
         FROM (SELECT {BAND} AS tranche_age, id_produit, p.produit, CAST(sum(quantite) AS BIGINT) AS total_achete,
                   CAST(sum(CAST(quantite * p.prix AS DECIMAL(18,4))) AS DOUBLE) AS "total_CA"
               FROM mrt_fct_commandes f JOIN mrt_dim_clients USING (id_client) JOIN mrt_dim_produits p USING (id_produit)
-              GROUP BY ALL) QUALIFY least(rang_volume, rang_valeur) <= 5""",
+              GROUP BY ALL) QUALIFY rang_volume <= 5 OR rang_valeur <= 5""",
     "v_indicateurs_synthese": f"""WITH f AS (SELECT *, statut_commande <> 'Annulée' AS ok, statut_commande = 'Annulée' AS ko,
             CAST(montant_commande_apres_promotion AS DECIMAL(18,4)) AS net_d,
             CAST(montant_commande_avant_promotion AS DECIMAL(18,4)) AS brut_d FROM mrt_fct_commandes)
@@ -311,7 +307,7 @@ MODEL_SQL: dict[str, str] = {
         z AS (SELECT *, {_SCORES} FROM d)
         SELECT annee, semaine, semaine_affichee, {total('ca')} AS ca_total_semaine,
             count(*) FILTER (zm >= 1.5 OR zj >= 1.5) AS nb_jours_lucratifs,
-            CASE WHEN count(*) FILTER (zm >= 1.5 OR zj >= 1.5) > 2 THEN 'Semaine lucrative' ELSE 'Semaine normale' END
+            CASE WHEN count(*) FILTER (zm >= 1.5 OR zj >= 1.5) >= 3 THEN 'Semaine lucrative' ELSE 'Semaine normale' END
                 AS statut_lucratif_semaine FROM z GROUP BY annee, semaine, semaine_affichee""",
     "impacts_pannes_machines_par_mois": """SELECT m.*, localisation, moyen AS delai_moyen_livraison_entrepot_mois
         FROM (SELECT id_machine, id_entrepot, type_machine, annee_mois,

@@ -40,9 +40,6 @@ def _row_counts_sql(names) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS lignes FROM {s}" for n, s in names)
 
 
-# --- sources and sinks ---------------------------------------------------------------------------------------
-
-
 # Per column its present values and a measure of their content that both engines take alike.
 _MEASURES = {
     "string": ("length(CAST({0} AS {1}))", "CAST(sum({0}) AS BIGINT)"),
@@ -206,9 +203,6 @@ def daily_fact(data: Data):
     return read_table(data.spark, f"{store}/mrt_fct_commandes").drop(cleaning.POSITION)
 
 
-# --- cleaning operators --------------------------------------------------------------------------------------
-
-
 @query(
     "ingest_clean_column_names",
     "SELECT id, id_machine, id_entrepot, temps_darret, volume_traite, mois AS etat_a_lete FROM raw_entrepots_machines",
@@ -271,8 +265,6 @@ def recipes(data: Data):
     return _row_counts({name: cleaning.clean_table(name, data.raw[name]) for name in SQL})
 
 
-# --- patterns ------------------------------------------------------------------------------------------------
-
 _PRODUCT_SALES = f"""(SELECT genre, id_produit, CAST(sum(quantite) AS BIGINT) AS quantite_totale,
     {total('coalesce(montant_commande_apres_promotion, 0)')} AS chiffre_affaires FROM ventes_clients GROUP BY ALL)"""
 
@@ -398,9 +390,6 @@ def keyword_rules(data: Data):
     return data("mrt_fct_satisfaction").where(text.isNotNull()).select("id_commande", word.alias("mots_cles"))
 
 
-# --- projections and filters ---------------------------------------------------------------------------------
-
-
 @query("select_columns", "SELECT *, quantite AS q FROM (SELECT id_commande, id_produit AS produit, quantite FROM mrt_fct_commandes)")
 def columns(data: Data):
     kept = data("mrt_fct_commandes").select("id_commande", F.col("id_produit").alias("produit"), "quantite")
@@ -477,9 +466,6 @@ def scalar_subqueries(data: Data):
     return orders.crossJoin(F.broadcast(clients)).crossJoin(F.broadcast(machines))  # one row each
 
 
-# --- joins ---------------------------------------------------------------------------------------------------
-
-
 @query(
     "join_inner_one_key",
     "SELECT id_commande, id_produit, categorie FROM mrt_fct_commandes JOIN mrt_dim_produits USING (id_produit)",
@@ -580,9 +566,6 @@ def inline_table(data: Data):
     return per_name.join(F.broadcast(names), "en").select("jour_fr", "commandes")
 
 
-# --- aggregations --------------------------------------------------------------------------------------------
-
-
 @query(
     "agg_group",
     """SELECT canal, year(date) AS annee, CAST(sum(budget) AS BIGINT) AS budget, count(*) AS n, count(evenement_oui_non) AS connus,
@@ -711,9 +694,6 @@ def two_level(data: Data):
     )
 
 
-# --- windows -------------------------------------------------------------------------------------------------
-
-
 @query(
     "window_rank_partition",
     "SELECT id_produit, categorie, prix, rank() OVER (PARTITION BY categorie ORDER BY prix DESC) AS rang FROM stg_produits",
@@ -784,8 +764,6 @@ def append(data: Data):
     return orders.unionByName(posts)
 
 
-# --- data checks ---------------------------------------------------------------------------------------------
-
 _RAW_CHECKS = [
     Check("satisfaction", "note_client", NOT_NULL),
     Check("satisfaction", "plainte", NOT_NULL),
