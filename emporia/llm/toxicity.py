@@ -66,9 +66,13 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Buckets of n-grams and their shares in each document's average."""
     table = WordTable(1, 1 << 62)
     met = [np.unique(table.numbers(words_of(t)), return_counts=True) for t in texts]
-    word, bucket = subwords(list(table))
-    order = np.argsort(word, kind="stable")
-    bucket, sizes = bucket[order], np.bincount(word, minlength=len(table))
+    words, buckets, sizes = list(table), [], []
+    for at in range(0, len(words), 20_000):
+        word, bucket = subwords(words[at : at + 20_000])
+        buckets.append(bucket[np.argsort(word, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(word, minlength=len(words[at : at + 20_000])))
+    bucket = np.concatenate(buckets) if buckets else np.zeros(0, np.int32)
+    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
     starts = np.cumsum(sizes) - sizes
     bags = []
     for at, times in met:
