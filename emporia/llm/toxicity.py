@@ -62,39 +62,51 @@ class Model:
         return float(self.bias[1] - self.bias[0])
 
 
-def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets of n-grams and their shares in each document's average."""
-    table = WordTable(1, 1 << 62)
-    met = [np.unique(table.numbers(words_of(t)), return_counts=True) for t in texts]
-    words, buckets, sizes = list(table), [], []
-    for at in range(0, len(words), 20_000):
-        word, bucket = subwords(words[at : at + 20_000])
-        buckets.append(bucket[np.argsort(word, kind="stable")].astype(np.int32))
-        sizes.append(np.bincount(word, minlength=len(words[at : at + 20_000])))
-    bucket = np.concatenate(buckets) if buckets else np.zeros(0, np.int32)
-    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-    starts = np.cumsum(sizes) - sizes
-    bags = []
-    for at, times in met:
-        n = sizes[at]
-        place = np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)
-        share = np.repeat(times / max(times.sum(), 1) / np.maximum(n, 1), n)
-        unique, where = np.unique(bucket[place], return_inverse=True)
-        bags.append((unique.astype(np.int32), np.bincount(where, share, len(unique)).astype(np.float32)))
-    return bags
-
-
-def _telling(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
-    """Buckets whose document frequencies differ between the classes beyond chance."""
-    found, total = [], []
-    for label in (0, 1):
-        held = [b for (b, _), y in zip(bags, labels, strict=True) if y == label]
-        found.append(np.bincount(np.concatenate(held), minlength=BUCKETS) + 0.5)
-        total.append(len(held) + 1.0)
-    odds = [np.log(f / (n - f)) for f, n in zip(found, total, strict=True)]
-    error = np.sqrt(sum(1 / f + 1 / (n - f) for f, n in zip(found, total, strict=True)))
-    apart = np.abs(odds[1] - odds[0])
-    return (apart >= LEAST_ODDS) & (apart >= LEAST_ERRORS * error)
+class _Corpus:
+    """The words of training texts by number, and the buckets of every word one after the other."""
+
+    def __init__(self, texts: list[str]) -> None:
+        table = WordTable(1, 1 << 62)
+        self.met = [np.unique(table.numbers(words_of(t)).astype(np.int32), return_counts=True) for t in texts]
+        words, buckets, sizes = list(table), [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            word, bucket = subwords(part)
+            buckets.append(bucket[np.argsort(word, kind="stable")].astype(np.int32))
+            sizes.append(np.bincount(word, minlength=len(part)))
+        self.buckets, self.sizes = np.concatenate(buckets), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def subwords_of(self, doc: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of a document's words and the share of each in its average."""
+        at, times = self.met[doc]
+        n = self.sizes[at]
+        place = np.arange(n.sum()) + np.repeat(self.starts[at] - (np.cumsum(n) - n), n)
+        return self.buckets[place], np.repeat(times / max(times.sum(), 1) / np.maximum(n, 1), n)
+
+    def telling(self, labels: np.ndarray) -> np.ndarray:
+        """Buckets whose document frequencies differ between the classes beyond chance."""
+        found = np.full((2, BUCKETS), 0.5)
+        for doc, label in enumerate(labels):
+            held = np.zeros(BUCKETS, bool)
+            held[self.subwords_of(doc)[0]] = True
+            found[label] += held
+        total = np.bincount(labels, minlength=2)[:, None] + 1.0
+        odds = np.log(found / (total - found))
+        error = np.sqrt((1 / found + 1 / (total - found)).sum(axis=0))
+        apart = np.abs(odds[1] - odds[0])
+        return (apart >= LEAST_ODDS) & (apart >= LEAST_ERRORS * error)
+
+    def bags(self, telling: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each document its telling buckets, numbered among these, and their shares."""
+        number = np.cumsum(telling) - 1
+        out = []
+        for doc in range(len(self.met)):
+            bucket, share = self.subwords_of(doc)
+            kept = telling[bucket]
+            unique, where = np.unique(bucket[kept], return_inverse=True)
+            out.append((number[unique], np.bincount(where, share[kept], len(unique)).astype(np.float32)))
+        return out
 
 
 def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
@@ -105,10 +117,9 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     bias = np.zeros(2, np.float32)
     if len(set(labels.tolist())) < 2:
         return Model(vectors, weights, bias)
-    bags = _bags(texts)
-    telling = _telling(bags, labels)
-    number = np.cumsum(telling) - 1
-    bags = [(number[b[telling[b]]], s[telling[b]]) for b, s in bags]
+    corpus = _Corpus(texts)
+    telling = corpus.telling(labels)
+    bags = corpus.bags(telling)
     kept = rng.normal(0, 0.01, (int(telling.sum()), DIMENSIONS)).astype(np.float32)
     params = [kept, weights, bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
