@@ -163,7 +163,8 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     ``min_chars`` code points) is found in at least ``min_docs`` documents. A document is a ``doc_id``; rows with
     the same id, or with none, count once. ``version`` is the 64-bit hash of the text. Null text is one empty line.
     """
-    rows = line_rows(versions(docs), min_chars)
+    # written, since finding the ranges reads the rows once more
+    rows = written(line_rows(versions(docs), min_chars), "line-hashes")
     dealt = rows.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions(
         "h1", "h2", "doc_id", "version", "position"
     )
