@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emporia.llm import decontaminate, langid, line_dedup, mixing, simhash
 from emporia.sources.shared import written
 
 
+def document_key(doc_id: Column, version: Column) -> Column:
+    """The id and the 64-bit hash of the text as one value."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), version)
+
+
 class _Rows:
     """All columns of a table under names that cannot clash, with those that a stage works on by position."""
 
@@ -19,11 +24,9 @@ class _Rows:
     def name(self, column: str) -> str:
         return f"_c{self.names.index(column)}"
 
-    def versioned(self) -> DataFrame:
-        """The rows with ``doc_id`` and the hash of the text beside them."""
-        return self.held.select(
-            "*", F.col(self.name("doc_id")).alias("_id"), F.xxhash64(self.name("text")).alias("_version")
-        )
+    def keyed(self) -> DataFrame:
+        """The rows with ``_key`` beside them, which tells different documents apart and is never null."""
+        return self.held.withColumn("_key", document_key(F.col(self.name("doc_id")), F.xxhash64(self.name("text"))))
 
     def back(self, rows: DataFrame) -> DataFrame:
         """The table's own columns under their own names."""
@@ -46,21 +49,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that at least ten documents share."""
     rows = _Rows(docs)
-    bitmaps = line_dedup.line_bitmaps(docs, min_docs=10, min_chars=1).toDF("_b_id", "_b_version", "_bits")
-    same = F.col("_id").eqNullSafe(F.col("_b_id")) & (F.col("_version") == F.col("_b_version"))
+    bitmaps = line_dedup.line_bitmaps(docs, min_docs=10, min_chars=1)
+    bitmaps = bitmaps.select(document_key(F.col("doc_id"), F.col("version")).alias("_key"), F.col("keep_bits").alias("_bits"))
     text = rows.name("text")
-    joined = rows.versioned().join(bitmaps, same, "left")
+    joined = rows.keyed().join(bitmaps, "_key", "left")
     return rows.with_text(joined.withColumn(text, line_dedup.apply_bitmap(text, "_bits")["kept"]))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
     rows = _Rows(docs)
-    stay = simhash.representatives(docs, shingle_words=3, distance=2).toDF("_r_id", "_r_version")
-    same = F.col("_id").eqNullSafe(F.col("_r_id")) & (F.col("_version") == F.col("_r_version"))
-    joined = rows.versioned().join(stay, same, "left_semi")
-    once = Window.partitionBy("_id", "_version").orderBy(F.lit(1))
-    return rows.back(joined.withColumn("_copy", F.row_number().over(once)).filter(F.col("_copy") == 1))
+    stay = simhash.representatives(docs, shingle_words=3, distance=2)
+    stay = stay.select(document_key(F.col("doc_id"), F.col("version")).alias("_key"))
+    once = Window.partitionBy("_key").orderBy(F.lit(1))
+    joined = rows.keyed().join(stay, "_key", "left_semi").withColumn("_copy", F.row_number().over(once))
+    return rows.back(joined.filter(F.col("_copy") == 1))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,23 +78,23 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with their words, their source's target and the words taken of each."""
     rows = _Rows(docs)
-    taken = mixing.mix(docs, weights=(1, 2, 3), repeats=3).filter(F.col("taken") > 0)
-    copy = F.row_number().over(Window.partitionBy("doc_id", "version", "source").orderBy(F.col("taken").desc()))
-    taken = taken.withColumn("_m_copy", copy).toDF(
-        "_m_id", "_m_source", "_m_version", "_size", "_source_size", "_target", "_taken", "_m_copy"
-    )
     source = F.col(rows.name("source"))
-    own = F.row_number().over(Window.partitionBy("_id", "_version", source).orderBy(F.lit(1)))
-    held = rows.versioned().withColumn("_copy", own)
-    same = (
-        F.col("_id").eqNullSafe(F.col("_m_id"))
-        & (F.col("_version") == F.col("_m_version"))
-        & source.eqNullSafe(F.col("_m_source"))
-        & (F.col("_copy") == F.col("_m_copy"))
+    key = F.concat_ws(":", "_key", F.coalesce(F.concat(F.lit("s"), source), F.lit("-")))
+    mixed = mixing.mix(docs, weights=(1, 2, 3), repeats=3).filter(F.col("taken") > 0)
+    of = document_key(F.col("doc_id"), F.col("version"))
+    mixed = mixed.withColumn("_key", F.concat_ws(":", of, F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))))
+    # rows that repeat are alike, so the first of them gets the first of their shares, and so on
+    shares = mixed.groupBy("_key").agg(
+        F.sort_array(F.collect_list("taken"), asc=False).alias("_shares"),
+        F.first("size").alias("_size"),
+        F.first("source_size").alias("_source_size"),
+        F.first("target").alias("_target"),
     )
-    joined = held.join(taken, same)
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
+    joined = rows.keyed().withColumn("_key", key).join(shares, "_key").withColumn("_nth", nth)
+    served = joined.filter(F.col("_nth") <= F.size("_shares")).withColumn("_taken", F.element_at("_shares", F.col("_nth")))
     more = ["_size", "_source_size", "_target", "_taken"]
-    return joined.select(*rows.held.columns, *more).toDF(*rows.names, "size", "source_size", "target", "taken")
+    return served.select(*rows.held.columns, *more).toDF(*rows.names, "size", "source_size", "target", "taken")
 
 
 STAGES = [
