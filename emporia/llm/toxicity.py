@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from emporia.llm.common import held_out, pick
 from emporia.llm.subwords import WordTable, gram_hashes
+from emporia.sources.shared import written
 
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 #: Labelled documents of the toxic class and of the other that are trained on, in expectation.
 SAMPLE_TOXIC, SAMPLE_OTHER = 1500, 4500
-#: Size of the training texts of a class, in characters; documents beyond it are not drawn.
+#: Size of the training texts of a class, in characters; longer texts are drawn at a lower rate.
 SAMPLE_CHARS = 16_000_000
 #: N-grams get a vector when the log-odds of finding them in a document of either class differ by this much, and by
 #: this many standard errors; all others would only let single documents be learned by heart.
@@ -34,6 +35,8 @@ THRESHOLD = 0.3
 #: The document vector is scaled by this, so that a few words in a hundred can decide.
 SCALE = 50.0
 _CACHED_WORDS, _ROWS = 400_000, 1000
+#: Bits of the hash that decides which texts fit, and how many of them are looked at in one pass.
+_PLACE_BITS, _STEP_BITS = 60, 10
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -149,11 +152,52 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     return Model(vectors, weights, bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other: int = SAMPLE_OTHER) -> Model:
+def _fitting(texts: DataFrame, chars: int) -> DataFrame:
+    """The rows of ``toxic, place, size`` below the largest place of each class up to which sizes add to ``chars``.
+
+    Sizes are summed on Spark by the leading bits of the place, and again by more bits inside the part that overflows,
+    so the driver sees at most 1,024 sums of a class at a time. No single size is above ``chars``.
+    """
+    ends: dict[int, int] = {}
+    open_at = {0: (0, chars), 1: (0, chars)}
+    for shift in range(_PLACE_BITS - _STEP_BITS, -1, -_STEP_BITS):
+        inside = F.lit(False)
+        for label, (start, _) in open_at.items():
+            upto = start + (1 << (shift + _STEP_BITS))
+            inside = inside | ((F.col("toxic") == label) & (F.col("place") >= start) & (F.col("place") < upto))
+        part = F.shiftright("place", shift).alias("part")
+        sums = texts.filter(inside).groupBy("toxic", part).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        found = sorted((r["toxic"], r["part"], r["size"], r["n"]) for r in sums.collect())
+        again = {}
+        for label, (_, room) in open_at.items():
+            for _, at, size, n in (x for x in found if x[0] == label):
+                if size > room:
+                    ends[label] = at << shift
+                    if n > 1:
+                        again[label] = (at << shift, room)
+                    break
+                room -= size
+        open_at = again
+        if not open_at:
+            break
+    for label, end in ends.items():
+        texts = texts.filter((F.col("toxic") != label) | (F.col("place") < end))
+    return texts
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    toxic: int = SAMPLE_TOXIC,
+    other: int = SAMPLE_OTHER,
+    chars: int = SAMPLE_CHARS,
+) -> Model:
     """A model from labelled documents that are not held out, a bounded number of each class in expectation.
 
-    The draw is by a hash of the id, so it does not depend on the order or layout of the tables. Ids with two
-    different labels, or with none, teach nothing.
+    The draw is by a hash of the id, so it does not depend on the order or layout of the tables. Where the texts drawn
+    of a class have more than ``chars`` characters, its rate is lowered, by a hash of id and text, until they fit. A
+    single text above ``chars`` is left out and counts for nothing. Rows with the same id and text teach once; ids with
+    two different labels, or with none, teach nothing.
     """
     marks = pick(labels, "doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
@@ -165,13 +209,13 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, other:
         keep = keep | ((F.col("toxic") == label) & (part < most / max(sizes.get(label, 0), 1)))
     drawn = marks.filter(keep)
     # the draw is bounded by its parameters, so the texts of all other documents need not be shuffled
-    texts = pick(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")
-    room = {0: SAMPLE_CHARS, 1: SAMPLE_CHARS}
-    chosen = []
-    for row in texts.orderBy("doc_id", "text").toLocalIterator():
-        room[row["toxic"]] -= len(row["text"] or "")
-        if room[row["toxic"]] >= 0:
-            chosen.append((row["text"] or "", row["toxic"]))
+    texts = pick(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    texts = texts.select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"), F.length("text").alias("size"))
+    texts = texts.filter(F.coalesce("size", F.lit(0)) <= chars).dropDuplicates(["doc_id", "text"])
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("room"), "doc_id", "text"), 64 - _PLACE_BITS)
+    sized = written(texts.withColumn("size", F.length("text").cast("long")).withColumn("place", place), "training-texts")
+    rows = _fitting(sized, chars).select("doc_id", "text", "toxic").orderBy("doc_id", "text")
+    chosen = [(row["text"], row["toxic"]) for row in rows.toLocalIterator()]
     return fit([t for t, _ in chosen], np.array([y for _, y in chosen], np.int64))
 
 

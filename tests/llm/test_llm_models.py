@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from html import unescape
 
 import numpy as np
 import pytest
 from cases import SCHEMA, documents, with_clashes
+from pyspark.sql import functions as F
 
 from emporia.llm import html_extract, langid, toxicity, url_filter
 from emporia.llm.dom import parse
@@ -118,6 +120,33 @@ def test_toxicity_of_odd_texts(spark, toxic_model):
     assert toxicity.toxicity(spark.createDataFrame([], SCHEMA), none).count() == 0
 
 
+def _taught(monkeypatch, docs, labels, **bounds):
+    """The texts and labels that training would learn from."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks: seen.extend(zip(texts, marks.tolist(), strict=True)))
+    toxicity.train(docs, labels, **bounds)
+    return seen
+
+
+def test_training_texts_that_do_not_fit(spark, monkeypatch):
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2][:1000]
+    giant, marks = ids[0], {i: int(n % 2 == 0) for n, i in enumerate(ids)}
+    texts = {i: f"{i} ".ljust(10 if marks[i] else 100, "x") for i in ids} | {giant: "y" * 20_001}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame(list(marks.items()), "doc_id long, toxic int")
+    seen = _taught(monkeypatch, docs, labels, toxic=5000, other=5000, chars=20_000)
+    # the giant text is left out and charges nothing; all others of its class fit
+    assert sorted(t for t, y in seen if y) == sorted(t for i, t in texts.items() if marks[i] and i != giant)
+    # 500 texts of 100 characters are thinned to 200, from all over the ids
+    drawn = sorted(int(t.split()[0]) for t, y in seen if not y)
+    assert len(drawn) == 200 and all(sum(a <= i < a + 250 for i in drawn) > 10 for a in range(0, ids[-1] - 250, 250))
+    again = _taught(monkeypatch, docs.repartition(7), labels, toxic=5000, other=5000, chars=20_000)
+    assert again == seen
+    # a repeated row teaches once, so it cannot use up the room
+    many = docs.filter(F.col("doc_id") == ids[1]).crossJoin(spark.range(500)).select("doc_id", "text").union(docs)
+    assert _taught(monkeypatch, many, labels, toxic=5000, other=5000, chars=20_000) == seen
+
+
 # --- main text ---
 
 
