@@ -53,7 +53,7 @@ MORE = (
     Rule("forge_token", r"\bgh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{3,64}@"),
+    Rule("url_login", r"://[^\x00-\x20/:@]{1,}:[^\x00-\x20/:@]{3,}@"),
 )
 
 Query = list[list[frozenset[bytes]]]

@@ -120,6 +120,13 @@ def test_secrets(spark, docs, pairs):
     assert secret_scan.secrets(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_long_logins_in_urls(spark):
+    texts = [f"git clone https://{'u' * n}:{'p' * m}@host/x" for n, m in ((4, 93), (100, 5), (3, 20_000), (4, 2))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = [r.spans for r in secret_scan.secrets(rows).orderBy("doc_id").collect()]
+    assert spans == [f"url_login:15:{t.index('@') + 1}" for t in texts[:3]] + [""]
+
+
 def test_mixing(spark, docs):
     rows = mixing.mix(with_clashes(docs)).collect()
     sizes = {}
