@@ -1,9 +1,10 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source is a queue of its documents in shuffled order, up to ``repeats`` times over. A copy's virtual finish
-time is its source's words up to its end divided by the source's target. The copies of all sources are sorted by
-that time and the schedule is truncated at the total budget. At virtual time 1 every source has had its target;
-the one copy per source that is in service then is cut to the words its source still has to get.
+time is its source's words up to its end divided by the source's target. At virtual time 1 every source has had its
+target and the total budget is used up: each source is cut there by its own running sum, at its target, and the one
+copy per source that is in service then keeps the words its source still has to get. That cut alone decides what the
+mix takes; the schedule sorts the copies of all sources by finish time and only gives their order.
 
 Queues are long (one source may have a third of all rows), so no task holds one: the shuffle order is a hash, rows
 are dealt out by ranges of it, and running sums are those within a range plus the total of the ranges before.
@@ -79,8 +80,8 @@ def queues(docs: DataFrame, seed: str = "mix") -> DataFrame:
 def schedule(queue: DataFrame, aims: DataFrame, repeats: int = 3) -> DataFrame:
     """The served copies: ``source, place, copy, finish, words, mix_start``, in the order of their finish times.
 
-    ``words`` is the copy's size, or what its source still had to get when the budget was used up; ``mix_start`` is
-    the number of words before it in the mix. Nothing follows once the total budget is reached.
+    ``words`` is the copy's size, or what its source still had to get at its target; ``mix_start`` is the number of
+    words before it in the mix. The cuts at the targets add up to the budget at most, so the order drops no copy.
     """
     aims = aims.toDF("_source", "source_size", "target")
     queued = queue.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -97,8 +98,7 @@ def schedule(queue: DataFrame, aims: DataFrame, repeats: int = 3) -> DataFrame:
     parts = parts_for(queue, served.count(), ROWS_PER_RANGE)
     dealt = served.withColumn("part", F.least(F.floor(F.col("finish") * parts), F.lit(parts)).cast("int"))
     order = ["finish", F.col("source").asc_nulls_last(), "copy", "place"]
-    budget = queue.agg(F.sum("size")).first()[0] or 0
-    return _running(dealt, [], order, "words", "mix_start").filter(F.col("mix_start") + F.col("words") <= budget).drop("part")
+    return _running(dealt, [], order, "words", "mix_start").drop("part")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3) -> DataFrame:
