@@ -30,7 +30,8 @@ BLOCK_WORDS = 1_000_000
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
-_WORD = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_WORD_CLASS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_WORD = regex.compile(_WORD_CLASS)
 FOUND = "n_words long, spans array<struct<begin:long,end:long>>, items array<long>"
 
 
@@ -154,7 +155,7 @@ def searcher(phrases: Phrases):
 def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[DataFrame]:
     """The benchmark in parts of about ``block_words`` words, by a hash of the item."""
     items = pick(benchmark, "item_id", "text")
-    words = items.agg(F.sum(F.size(F.split("text", " ")).cast("long"))).first()[0] or 0
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(_WORD_CLASS)).cast("long"))).first()[0] or 0
     count = max(1, -(-words // block_words))
     if count == 1:
         return [items]
@@ -266,13 +267,14 @@ def remove_contamination(rows: DataFrame, benchmark: DataFrame, block_words: int
 
         return clean
 
-    blocks = [phrases_of([tuple(r) for r in block.collect()]) for block in blocks_of(benchmark, block_words)]
+    blocks = blocks_of(benchmark, block_words)
     if len(blocks) == 1:
-        return rows.withColumn("text", cleaner(blocks[0])("text"))
+        return rows.withColumn("text", cleaner(phrases_of([tuple(r) for r in blocks[0].collect()]))("text"))
     while True:  # what one block cuts may let words meet that another block searches for
         before = rows
-        for phrases in blocks:
-            rows = written(rows.withColumn("text", cleaner(phrases)("text")), "cleaned")
+        for block in blocks:
+            clean = cleaner(phrases_of([tuple(r) for r in block.collect()]))
+            rows = written(rows.withColumn("text", clean("text")), "cleaned")
         total = [x.agg(F.sum(F.length("text"))).first()[0] for x in (before, rows)]
         if total[0] == total[1]:
             return rows

@@ -81,6 +81,20 @@ def test_decontamination_of_empty_tables(spark, docs):
     assert {r.n_hit for r in decontaminate.find_contamination(docs, no_items).collect()} == {0}
 
 
+def test_benchmark_passes_the_driver_block_by_block(spark, monkeypatch):
+    text = "\n".join(f"a{i}\tb{i},c{i}" for i in range(40))
+    items = spark.createDataFrame([(i, text.replace("a", f"x{i}")) for i in range(12)], "item_id long, text string")
+    # separators other than blanks count: 120 words an item
+    assert len(decontaminate.blocks_of(items, 120)) == 12
+    steps, build, write = [], decontaminate.phrases_of, decontaminate.written
+    monkeypatch.setattr(decontaminate, "phrases_of", lambda *a: (steps.append("build"), build(*a))[1])
+    monkeypatch.setattr(decontaminate, "written", lambda *a: (steps.append("write"), write(*a))[1])
+    docs = spark.createDataFrame([(1, "nothing of it"), (2, text.replace("a", "x3"))], "doc_id long, text string")
+    rows = decontaminate.remove_contamination(docs, items, 480).collect()
+    assert {r.doc_id: r.text.strip() for r in rows} == {1: "nothing of it", 2: ""}
+    assert len(steps) >= 4 and steps == ["build", "write"] * (len(steps) // 2)
+
+
 def test_trigram_queries():
     assert secret_scan.trigram_query(r"[0-9a-f]+") == []
     assert secret_scan.trigram_query(r"AKIA[A-Z0-9]+") == [[frozenset([b"aki", b"kia"])]]
