@@ -61,9 +61,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows = _Rows(docs)
     stay = simhash.representatives(docs, shingle_words=3, distance=2)
     stay = stay.select(document_key(F.col("doc_id"), F.col("version")).alias("_key"))
-    once = Window.partitionBy("_key").orderBy(F.lit(1))
-    joined = rows.keyed().join(stay, "_key", "left_semi").withColumn("_copy", F.row_number().over(once))
-    return rows.back(joined.filter(F.col("_copy") == 1))
+    # repeats go before the shuffle of the join, so one row with many copies is no hot key
+    return rows.back(rows.keyed().dropDuplicates(["_key"]).join(stay, "_key", "left_semi"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,3 +75,11 @@ def test_stages_with_clashing_columns_and_empty_tables(spark):
         assert stage(spark, empty, FOLDER).count() == 0
     last = corpus_pipeline.STAGES[-1][1]
     assert last(spark, docs, FOLDER).count() > 0 and last(spark, empty, FOLDER).count() == 0
+
+
+def test_repeats_of_one_row_meet_before_they_are_shuffled(spark):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("cast(null as long) AS doc_id", "'one text of some words' AS text", "'s' AS source")
+    near = corpus_pipeline.simhash_near_dedup(spark, rows, FOLDER)
+    assert [tuple(r) for r in near.collect()] == [(None, "one text of some words", "s")]
+    plan = near._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition(_key" not in plan and "Deduplicate [_key" in plan.split("LeftSemi")[1]
