@@ -26,28 +26,44 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3) -> DataFrame:
+def targets(
+    sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3, per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """``source, source_size, target`` from ``source, source_size``, one row per source.
 
     Sources by code point, null last, get the weights in turn. They share the total by weight; a target stops at
-    ``repeats`` times its source's size and the excess is shared again by weight until none is above. The windows
-    here run over one row per source.
+    ``repeats`` times its source's size and the excess is shared again by weight until none is above. More sources
+    than ``per_range`` are put in order in ranges.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(by_name) - 1) % len(weights) + 1
-    weighed = sizes.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]), turn))
+    sizes = written(sizes.withColumn("one", F.lit(1)), "source-sizes")
+    count, words = sizes.agg(F.count(F.lit(1)), F.sum("source_size")).first()
+    by_name = [F.col("source").asc_nulls_last()]
+    turn = F.col("turn") % len(weights) + 1
+    weighed = _sums_before(sizes, by_name, {"one": "turn"}, count, per_range)
+    weighed = weighed.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]), turn.cast("int")))
     # in the order in which sources reach their limit, all before the first that does not are at their limit
-    ranked = Window.orderBy(F.col("source_size") * repeats / F.col("weight"), F.col("source").asc_nulls_last())
-    upto, on = ranked.rowsBetween(Window.unboundedPreceding, -1), ranked.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    level = (
-        F.sum("source_size").over(whole) - F.coalesce(F.sum(F.col("source_size") * repeats).over(upto), F.lit(0))
-    ) / F.sum("weight").over(on)
-    tried = weighed.withColumn("level", level).withColumn("limit", F.col("source_size") * repeats)
+    weighed = weighed.withColumn("limit", F.col("source_size") * repeats)
+    ranked = [F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last()]
+    tried = _sums_before(weighed, ranked, {"limit": "limits", "weight": "weights"}, count, per_range)
+    whole = count // len(weights) * sum(weights) + sum(weights[: count % len(weights)])
+    level = (F.lit(words) - F.col("limits")) / (F.lit(whole) - F.col("weights"))
+    tried = written(tried.withColumn("level", level), "levels")
     fits = F.col("level") * F.col("weight") <= F.col("limit")
-    chosen = tried.withColumn("share", F.max(F.when(fits, F.col("level"))).over(whole))
-    target = F.least(F.col("limit").cast("double"), F.col("share") * F.col("weight"))
-    return chosen.select("source", "source_size", target.alias("target"))
+    share = F.lit(tried.agg(F.max(F.when(fits, F.col("level")))).first()[0]).cast("double")
+    target = F.least(F.col("limit").cast("double"), share * F.col("weight"))
+    return tried.select("source", "source_size", target.alias("target"))
+
+
+def _sums_before(rows: DataFrame, order: list, values: dict[str, str], count: int, per_range: int) -> DataFrame:
+    """``rows``, counted, with the sums of ``values`` over the rows before; no task orders more than a range."""
+    if count <= per_range:
+        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns({into: F.coalesce(F.sum(v).over(before), F.lit(0)) for v, into in values.items()})
+    dealt = rows.repartitionByRange(-(-count // per_range), *order).withColumn("part", F.spark_partition_id())
+    dealt = written(dealt, "source-ranges")
+    for value, into in values.items():
+        dealt = _running(dealt, [], order, value, into)
+    return dealt.drop("part")
 
 
 def _running(rows: DataFrame, keys: list[str], order: list, value: str, into: str) -> DataFrame:

@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import pytest
 from cases import LONG, SCHEMA, documents, plain, with_clashes
+from pyspark.sql import functions as F
 
 from emporia.llm import decontaminate, mixing, secret_scan
 from emporia.llm.fm_index import FmIndex, suffix_order
@@ -170,6 +171,21 @@ def test_mixing_schedule_follows_finish_times(spark, docs):
     assert at <= queue.agg({"size": "sum"}).first()[0]
 
 
+def test_targets_of_many_sources_in_ranges(spark):
+    rng = random.Random(3)
+    sizes = {f"s{i}": rng.choice((0, 1, 7, rng.randint(1, 5000))) for i in range(300)} | {None: 40, "": 3, "é": 12}
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    want = brute.targets(sizes)
+    for per_range in (20, 1000):
+        aims = mixing.targets(table, per_range=per_range)
+        found = {r.source: r.target for r in aims.collect()}
+        assert found.keys() == want.keys() and all(found[s] == pytest.approx(want[s], abs=1e-6) for s in want)
+    dealt = mixing._sums_before(table, [F.col("source").asc_nulls_last()], {"source_size": "before"}, len(sizes), 20)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition" in line and "_sum" not in line]
+    assert windows and all("windowspecdefinition(part" in line for line in windows)
+
+
 def test_mixing_without_words(spark):
     nothing = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r.target, r.taken) for r in mixing.mix(nothing).collect()} == {(0.0, 0)}
