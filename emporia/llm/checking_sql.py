@@ -63,6 +63,24 @@ SELECT doc_id, size, source_size, target,
 FROM queued
 """
 
+NEGATIVES = r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+                  CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+           FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+positive AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+             QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+                AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 
 def _kind(number: int, kind: str, pattern: str, group: int, least: int) -> str:
     """Matches of one kind with their places, from the text between them."""

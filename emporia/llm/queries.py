@@ -11,6 +11,7 @@ from emporia.llm import (
     checking_sql,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_extract,
     langid,
     line_dedup,
@@ -20,6 +21,7 @@ from emporia.llm import (
     toxicity,
     url_filter,
 )
+from emporia.llm.common import pick
 
 # Verdict, host and path of each rule.
 URL_RULES = [
@@ -81,6 +83,13 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pick(_table(spark, folder, "embeddings"), "vec_id", "embedding", "label")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [
         op1_exact_dedup,
@@ -93,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_filter,
         op9_secrets,
         op10_line_dedup,
+        op12_hard_negatives,
     ]
     return {f.__name__: f for f in made}
 
@@ -105,4 +115,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": checking_sql.DECONTAMINATION,
         "op9_secrets": checking_sql.secrets(),
         "op10_line_dedup": checking_sql.LINES,
+        "op12_hard_negatives": checking_sql.NEGATIVES,
     }
