@@ -25,9 +25,9 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def held_out(doc_id: Column) -> Column:
-    """The quarter of the documents that no model learns from; a missing id is held out too."""
-    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(True))
+def held_out(doc_id: Column, parts: int = 4) -> Column:
+    """The part of the documents that no model learns from; a missing id is held out too."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % parts == 2, F.lit(True))
 
 
 def shuffle_partitions(df: DataFrame) -> int:

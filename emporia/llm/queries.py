@@ -15,9 +15,11 @@ from emporia.llm import (
     html_extract,
     langid,
     line_dedup,
+    lm_score,
     mixing,
     secret_scan,
     simhash,
+    spelling,
     toxicity,
     url_filter,
 )
@@ -83,6 +85,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.variants(_table(spark, folder, "documents"), min_chars=7, min_count=2, every=31, times=10)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = pick(_table(spark, folder, "embeddings"), "vec_id", "embedding", "label")
     label = F.col("label").cast("long")
@@ -90,6 +97,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.lm_scores(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [
         op1_exact_dedup,
@@ -102,7 +113,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_filter,
         op9_secrets,
         op10_line_dedup,
+        op11_spelling,
         op12_hard_negatives,
+        op13_lm_score,
     ]
     return {f.__name__: f for f in made}
 
