@@ -45,8 +45,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 MIXING = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-                  md5('mix:' || CAST(doc_id AS VARCHAR)) AS turn FROM documents),
+WITH d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  row_number() OVER (PARTITION BY doc_id, source, text) AS nth FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
 levels AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (capped ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -54,13 +54,52 @@ levels AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) O
            FROM weighed WINDOW capped AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
 target AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE),
                   max(CASE WHEN level * weight <= 3 * source_size THEN level END) OVER () * weight) AS target FROM levels),
-queued AS (SELECT d.*, source_size, target,
-                  coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-           FROM d JOIN target ON d.source IS NOT DISTINCT FROM target.source)
-SELECT doc_id, size, source_size, target,
-       CAST(least(greatest(floor(target) - start, 0), size) + least(greatest(floor(target) - start - source_size, 0), size)
-            + least(greatest(floor(target) - start - 2 * source_size, 0), size) AS BIGINT) AS taken
-FROM queued
+queued AS (SELECT doc_id, d.source, size, source_size, target,
+                  sum(size) OVER turn AS up_to, row_number() OVER turn AS place
+           FROM d JOIN target ON d.source IS NOT DISTINCT FROM target.source
+           WINDOW turn AS (PARTITION BY d.source ORDER BY md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '') || ':' || nth))),
+copies AS (SELECT source, place, copy, size, (copy * source_size + up_to) / target AS finish
+           FROM queued, unnest([0, 1, 2]) AS t(copy) WHERE size > 0),
+served AS (SELECT source, place, size, (SELECT sum(size) FROM d) - coalesce(sum(size) OVER (ORDER BY finish, source NULLS LAST, copy, place
+                                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM copies),
+taken AS (SELECT source, place, CAST(sum(least(size, room)) AS BIGINT) AS taken FROM served WHERE room > 0 GROUP BY source, place)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+FROM queued LEFT JOIN taken ON queued.source IS NOT DISTINCT FROM taken.source AND queued.place = taken.place
+"""
+
+SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS found FROM documents) AS r(doc_id, found),
+       LATERAL (SELECT translate(found, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run)
+  WHERE length(found) >= 7 GROUP BY ALL),
+crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END, b)) AS t),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+           flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + unicode(c)::BIGINT // 64, 128 + unicode(c)::BIGINT % 64] END)),
+           lambda r, b: xor(r // 256, t[xor(r % 256, b) + 1]), 4294967295)) AS h
+  FROM runs, crc),
+vocabulary AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+shorter AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM vocabulary, unnest(range(1, length(word) + 1)) AS t(i)),
+near AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT s.word, v.word FROM shorter s JOIN vocabulary v ON s.rest = v.word
+  UNION SELECT v.word, s.word FROM shorter s JOIN vocabulary v ON s.rest = v.word),
+best AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+  FROM near JOIN vocabulary o ON other = o.word),
+forms AS (SELECT b.word, other AS form, other_n AS form_n FROM best b JOIN vocabulary v ON b.word = v.word WHERE place = 1 AND other_n >= 10 * v.n),
+chain AS (
+  SELECT word, word AS root, 0 AS step FROM vocabulary
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN forms f ON c.root = f.word),
+roots AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT v.word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM vocabulary v JOIN roots ON v.word = roots.word LEFT JOIN forms f ON v.word = f.word
+     LEFT JOIN (SELECT word, n_near FROM best WHERE place = 1) b ON v.word = b.word
 """
 
 NEGATIVES = r"""
@@ -83,10 +122,18 @@ QUALIFY rank <= 5
 
 
 def _kind(number: int, kind: str, pattern: str, group: int, least: int) -> str:
-    """Matches of one kind with their places, from the text between them."""
+    """Matches of one kind with their places, from the text between them.
+
+    The database knows no look-behind: such a rule matches the character before as well, and the place moves past it.
+    """
+    before = pattern.startswith("(?<![")
+    if before:
+        held, rest = pattern[4:].split(")", 1)
+        pattern, group = f"(?:^|[^{held[1:]})({rest})", 1
     held = pattern.replace("'", "''")
+    moved = " + length(whole) - length(part)" if before else ""
     return rf"""
-SELECT doc_id, {number} AS kind, '{kind}' AS name, start, start + length(whole) AS stop FROM (
+SELECT doc_id, {number} AS kind, '{kind}' AS name, start{moved} AS start, start + length(whole) AS stop FROM (
   SELECT doc_id, whole, part, CAST(sum(gap) OVER same + coalesce(sum(length(whole)) OVER (same ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM (SELECT doc_id, n, unnest(wholes) AS whole, unnest(parts) AS part, unnest(gaps) AS gap, generate_subscripts(wholes, 1) AS i
         FROM (SELECT doc_id, row_number() OVER () AS n, regexp_extract_all(text, '{held}') AS wholes,

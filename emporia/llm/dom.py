@@ -6,15 +6,18 @@ import re
 from dataclasses import dataclass, field
 from html import unescape
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
-    re.S,
-)
+# Quotes count after an equals sign only, as in browsers; one that never closes is a character like any other.
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_ZEROS = re.compile(r"&#([xX]?)0+(?=[0-9a-fA-F])")
+_TOO_LARGE = re.compile(r"&#(?:[xX][0-9a-fA-F]{7,}+|[0-9]{8,}+);?")
 _ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden|data-part)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Never text of a page: code, styles, embedded documents and the head's title.
-SILENT = frozenset("script style noscript template iframe object svg math canvas audio video title textarea select".split())
+#: Raw text up to the end tag, or to the end of the page where there is none.
+RAW = frozenset("script style textarea title iframe".split())
+#: Never text of a page: code, styles, embedded documents and the head's title. Those that are not raw and never
+#: closed are as if they had no content.
+SILENT = RAW | frozenset("noscript template object svg math canvas audio video select".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var button".split()
@@ -64,12 +67,102 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
 
 
+_TEXT, _OPEN, _CLOSE = 0, 1, 2
+
+
+def _decoded(text: str) -> str:
+    """Character references as characters; numbers beyond Unicode become the replacement character."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _TOO_LARGE.sub("\ufffd", _ZEROS.sub(r"&#\1", text))
+    return unescape(text)
+
+
+def _tokens(body: str) -> list[tuple[int, str, str]]:
+    """Texts, start tags and end tags in order, without comments and raw text, in time linear in the page."""
+    out: list[tuple[int, str, str]] = []
+    at, end, last, quoted = 0, len(body), body.rfind(">"), True
+    raw_end = {}
+    while at < end:
+        mark = body.find("<", at)
+        if mark < 0:
+            mark = end
+        if mark > at:
+            out.append((_TEXT, "", body[at:mark]))
+        if mark == end:
+            break
+        at = mark
+        ahead = body[at + 1 : at + 2]
+        if ahead in ("!", "?"):
+            if body.startswith("<!--", at) or body.startswith("<![CDATA[", at):
+                close = "-->" if body[at + 2] == "-" else "]]>"
+                stop = body.find(close, at + 4)
+                at = end if stop < 0 else stop + 3
+            elif at < last:
+                at = body.index(">", at) + 1
+            else:
+                out.append((_TEXT, "", "<"))
+                at += 1
+            continue
+        name = _NAME.match(body, at)
+        if name is None:
+            out.append((_TEXT, "", "<"))
+            at += 1
+            continue
+        if at > last:  # a tag that never ends
+            break
+        tag = _TAG.match(body, at) if quoted else None
+        if tag is None:
+            # its quotes reach the end of the page: from here on a tag ends with the next bracket
+            quoted = False
+            stop = body.index(">", at)
+            slash, word, rest = name[1], name[2], body[name.end() : stop]
+        else:
+            stop = tag.end() - 1
+            slash, word, rest = tag[1], tag[2], tag[3]
+        at, word = stop + 1, word.lower()
+        out.append((_CLOSE if slash else _OPEN, word, rest))
+        if word in RAW and not slash and not rest.endswith("/"):
+            if word not in raw_end:
+                raw_end[word] = re.compile(rf"</{word}\s*+>", re.I)
+            gone = raw_end[word].search(body, at)
+            at = gone.end() if gone else end
+    return out
+
+
+def _silent_ends(tokens: list[tuple[int, str, str]]) -> dict[int, int]:
+    """For each closed silent element the place of its start tag and that of its end tag; nested ones close inside out."""
+    ends: dict[int, int] = {}
+    opened: list[tuple[str, int]] = []
+    counts: dict[str, int] = {}
+    for i, (kind, name, rest) in enumerate(tokens):
+        if kind == _TEXT or name not in SILENT or name in RAW:
+            continue
+        if kind == _OPEN:
+            if not rest.endswith("/"):
+                opened.append((name, i))
+                counts[name] = counts.get(name, 0) + 1
+        elif counts.get(name):
+            while True:
+                held, at = opened.pop()
+                counts[held] -= 1
+                if held == name:
+                    ends[at] = i
+                    break
+    return ends
+
+
 def parse(html: str | None) -> Page:
-    """Lenient reading of a page: unclosed and stray tags, comments and broken markup never fail."""
-    body = html or ""
+    """Lenient reading of a page: unclosed and stray tags, comments and broken markup never fail.
+
+    The time is linear in the page, whatever it holds. A tag that never ends, a comment and raw text without an end
+    run to the end of the page.
+    """
     blocks = [Block("#root", -1, 0)]
     texts: list[str] = []
-    open_blocks, open_links, pieces, link_chars, inline = [0], 0, [], 0, 0
+    open_blocks, open_links, pieces, link_chars = [0], 0, [], 0
+    open_names: dict[str, int] = {}
 
     def close_run() -> None:
         nonlocal pieces, link_chars
@@ -87,41 +180,37 @@ def parse(html: str | None) -> Page:
                 texts.append(text)
             pieces, link_chars = [], 0
 
-    at, end, scan = 0, len(body), _TOKEN.match
-    while at < end:
-        token = scan(body, at)
-        if token is None:  # a tag that never ends
-            break
-        at = token.end()
-        text = token[4]
-        if text is not None:
-            held = unescape(text) if "&" in text else text
+    def close_block() -> str:
+        name = blocks[open_blocks.pop()].tag
+        open_names[name] -= 1
+        return name
+
+    tokens = _tokens(html or "")
+    ends = _silent_ends(tokens)
+    place = -1
+    while place + 1 < len(tokens):
+        place += 1
+        kind, name, rest = tokens[place]
+        if kind == _TEXT:
+            held = _decoded(rest)
             pieces.append(held)
             if open_links:
                 link_chars += len(held.strip())
             continue
-        name = token[2]
-        if name is None:
-            continue
-        name = name.lower()
         blocks[open_blocks[-1]].tags += 1
-        if token[1]:
+        if kind == _CLOSE:
             if name == "a":
                 open_links = max(0, open_links - 1)
-            elif name not in INLINE and name not in VOID:
-                for i in range(len(open_blocks) - 1, 0, -1):
-                    if blocks[open_blocks[i]].tag == name:
-                        close_run()
-                        del open_blocks[i:]
-                        open_links = 0
-                        break
+            elif name not in INLINE and name not in VOID and open_names.get(name):
+                close_run()
+                while close_block() != name:
+                    pass
+                open_links = 0
             continue
         if name in CONTROLS:
             blocks[open_blocks[-1]].controls += 1
         if name in SILENT:
-            if not token[3].endswith("/"):
-                gone = re.compile(rf"</{name}\s*>", re.I).search(body, at)
-                at = gone.end() if gone else end
+            place = ends.get(place, place)
             continue
         if name == "br":
             pieces.append("\n")
@@ -131,14 +220,15 @@ def parse(html: str | None) -> Page:
             close_run()
             open_links = 0
             while len(open_blocks) > 1 and name in _CLOSED_BY.get(blocks[open_blocks[-1]].tag, ()):
-                open_blocks.pop()
+                close_block()
             if name in VOID:
                 continue
             parent = open_blocks[-1]
-            blocks.append(Block(name, parent, len(open_blocks), token[3]))
+            blocks.append(Block(name, parent, len(open_blocks), rest))
             blocks[parent].children.append(len(blocks) - 1)
-            if not token[3].endswith("/"):
+            if not rest.endswith("/"):
                 open_blocks.append(len(blocks) - 1)
+                open_names[name] = open_names.get(name, 0) + 1
     close_run()
     return _with_text_blocks(Page(blocks, texts))
 

@@ -29,6 +29,8 @@ SAMPLE_PER_LANGUAGE = 3000
 MIN_SHARE = 2e-5
 #: Part of the largest share in any language that an n-gram must reach to be typical of a language too.
 PART_OF_MOST = 0.25
+#: Languages that a model may have: their sample rates and filters are held by every task.
+MAX_LANGUAGES = 4096
 HASHES = 3
 ROWS_PER_GRAM = 8
 UNKNOWN = "und"
@@ -69,12 +71,12 @@ class Model:
 def count_grams(docs: DataFrame, per_language: int) -> DataFrame:
     """``lang, gram, n`` (n-grams by their hash) over a bounded sample of labelled documents, drawn by a hash of the id."""
     known = docs.filter(F.col("lang").isNotNull())
-    # one figure per language; the model has a bit for each of them anyway
-    sizes = {r["lang"]: r["docs"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()}
-    rates = [x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(per_language / n))]
+    sizes = written(known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "language-sizes")
+    if sizes.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values of lang to learn")
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    rate = F.element_at(F.create_map(*rates), F.col("lang")) if rates else F.lit(0.0)
-    drawn = known.filter(part < rate).select("lang", "text")
+    rated = known.join(F.broadcast(sizes), "lang")  # at most MAX_LANGUAGES rows
+    drawn = rated.filter(part < F.lit(per_language) / F.col("docs")).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: dict[str, Counter] = {}
@@ -140,12 +142,13 @@ def predict_texts(model: Model, texts, words: WordTable) -> list[tuple[str, floa
     words.fill(model.counts)
     out = []
     for text, at in zip(texts, met, strict=True):
-        if not model.languages:
+        # digits of other scripts, fractions and enclosed numbers stand in words too, but only letters tell a language
+        if not model.languages or not has_letter(text):
             out.append((UNKNOWN, 0.0))
             continue
         if not len(at):
             # a letter may still stand in a word that the pattern does not know
-            out.append((model.languages[model.prior] if _has_letter(text) else UNKNOWN, 0.0))
+            out.append((model.languages[model.prior], 0.0))
             continue
         sums = words.table[at].sum(axis=0)
         real = np.maximum((sums[1:] - sums[0] * model.false_positive) / np.maximum(1 - model.false_positive, 1e-9), 0)
@@ -155,7 +158,7 @@ def predict_texts(model: Model, texts, words: WordTable) -> list[tuple[str, floa
     return out
 
 
-def _has_letter(text: str | None) -> bool:
+def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
 
@@ -180,7 +183,8 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     ``score`` is the corrected share of the n-grams that the language's filter contains. Null texts and texts
     without a letter are ``und``; with no labelled row to learn from, all are. Texts whose n-grams no filter
     contains get the language with the most training text and a score of 0. Equal scores go to the first language
-    by name. Repeated rows each appear, and an empty table gives no rows.
+    by name. Repeated rows each appear, and an empty table gives no rows. A text may be of any length: its words are
+    held at once, and their n-grams are counted once per distinct word. More than ``MAX_LANGUAGES`` labels are an error.
     """
     model = model or train(docs)
     scored = pick(docs, "doc_id", "text").select(

@@ -1,10 +1,12 @@
 """Line deduplication by range-partitioned hashes, returned as a keep bitmap per document.
 
 Each line becomes a row of two 64-bit hashes of its key, the document and the position. The rows are dealt out in
-ranges of (hash, document) and sorted by document and position within a hash, so a very common line spreads over as
-many tasks as it needs. One pass streams over every task's rows and keeps only the run of equal hashes in hand.
-A run is decided where it lies, unless it touches the border of its task with too few documents of its own; such
-rows, fewer than the threshold's documents per border, are decided from the counts of all tasks that hold the hash.
+ranges of (hash, document, text, position) and sorted in that order, so a very common line spreads over as many tasks
+as it needs. One pass streams over every task's rows and counts first occurrences in documents; of the run of equal
+hashes at hand it keeps at most ``HELD_ROWS`` rows. A run that reaches the threshold passes its rows on. What one task
+cannot decide are runs that touch its border and runs of more rows than are kept from too few documents: of them it
+only tells the first documents, fewer than the threshold, or that the threshold was reached. The hashes that these
+reports decide are few, two for each task and one for each ``HELD_ROWS`` rows, and a second pass reads their rows.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from emporia.llm.common import lower_ascii, pick
 from emporia.sources.shared import written
 
 STRIPPED = " \t\n\x0b\x0c\r"
-ROWS = "kind int, h1 long, h2 long, doc_id long, version long, position int, docs long"
-DROP, PENDING, COUNT = 0, 1, 2
+ROWS = "kind int, h1 long, h2 long, doc_id long, version long, position int"
+DROP, DOCUMENT, COMMON = 0, 1, 2
+#: Rows of one hash that a task keeps while it does not know whether the line is common.
+HELD_ROWS = 50_000
 
 
 def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -45,27 +49,45 @@ class _Runs:
     def __init__(self, threshold: int) -> None:
         self.threshold = threshold
         self.key: tuple[int, int] | None = None
-        self.docs, self.last, self.first_run = 0, None, True
+        self.first_run = True
+        self.start()
+
+    def start(self) -> None:
+        self.docs, self.last, self.late = 0, None, False
         self.held: list[pd.DataFrame] = []
+        self.held_rows = 0
+        self.firsts: list[int | None] = []
 
     def close(self, last_run: bool) -> list[pd.DataFrame]:
-        """End the run: what stays in hand is either below the threshold for good, or pending at a border."""
+        """End the run and report on it where this task alone cannot decide it."""
         out = []
-        if self.key is not None and (self.first_run or last_run):
-            out += [x.assign(kind=PENDING, docs=0) for x in self.held]
-            out.append(pd.DataFrame({"kind": [COUNT], "h1": [self.key[0]], "h2": [self.key[1]], "docs": [self.docs]}))
-        self.key, self.docs, self.last, self.held, self.first_run = None, 0, None, [], False
+        border = self.first_run or last_run
+        if self.key is not None:
+            told = {"h1": self.key[0], "h2": self.key[1]}
+            if self.docs >= self.threshold and (border or self.late):
+                out.append(pd.DataFrame({"kind": [COMMON], **{k: [v] for k, v in told.items()}}))
+            elif self.docs < self.threshold and border:
+                ids = pd.Series(self.firsts, dtype=object)
+                out.append(pd.DataFrame({"kind": DOCUMENT, "doc_id": ids, **told}))
+        self.key, self.first_run = None, False
+        self.start()
         return out
 
-    def add(self, rows: pd.DataFrame, new_docs: int, key: tuple[int, int]) -> list[pd.DataFrame]:
-        """Rows that all carry ``key`` and continue the run in hand or start it."""
+    def add(self, rows: pd.DataFrame, firsts: list, new_docs: int, key: tuple[int, int]) -> list[pd.DataFrame]:
+        """Rows that all carry ``key`` and continue the run in hand or start it; ``firsts`` are its new documents."""
         self.key = key
         self.docs += new_docs
-        self.held.append(rows)
-        if self.docs < self.threshold:
+        self.firsts += firsts[: self.threshold - len(self.firsts)]
+        if self.late:
             return []
-        ready, self.held = [x.assign(kind=DROP, docs=0) for x in self.held], []
-        return ready
+        self.held.append(rows)
+        self.held_rows += len(rows)
+        if self.docs >= self.threshold:
+            ready, self.held, self.held_rows = [x.assign(kind=DROP) for x in self.held], [], 0
+            return ready
+        if self.held_rows > HELD_ROWS:
+            self.late, self.held = True, []
+        return []
 
 
 def _stream(threshold: int):
@@ -87,20 +109,28 @@ def _stream(threshold: int):
             fresh[1:] |= (ids[1:] != ids[:-1]) | (missing[1:] != missing[:-1])
             begin = np.nonzero(starts)[0]
             end = np.append(begin[1:], len(rows))
+
+            def firsts(a: int, b: int) -> list:
+                at = a + np.nonzero(fresh[a:b])[0][:threshold]
+                return [None if missing[i] else int(ids[i]) for i in at]
+
             docs = np.add.reduceat(fresh.astype(np.int64), begin)
             key, who = (int(h1[0]), int(h2[0])), (int(ids[0]), bool(missing[0]))
             if state.key is not None and state.key != key:
                 out += state.close(last_run=False)
-            again = state.key == key and state.last == who
-            out += state.add(rows.iloc[: end[0]], int(docs[0]) - again, key)
+            if state.key == key and state.last == who:
+                fresh[0] = False
+                docs[0] -= 1
+            out += state.add(rows.iloc[: end[0]], firsts(0, end[0]), int(docs[0]), key)
             if len(begin) > 1:
                 out += state.close(last_run=False)
                 common = np.zeros(len(rows), bool)
                 for i in np.nonzero(docs[1:-1] >= threshold)[0] + 1:
                     common[begin[i] : end[i]] = True
                 if common.any():
-                    out.append(rows[common].assign(kind=DROP, docs=0))
-                out += state.add(rows.iloc[begin[-1] :], int(docs[-1]), (int(h1[-1]), int(h2[-1])))
+                    out.append(rows[common].assign(kind=DROP))
+                at = begin[-1]
+                out += state.add(rows.iloc[at:], firsts(at, len(rows)), int(docs[-1]), (int(h1[-1]), int(h2[-1])))
             state.last = (int(ids[-1]), bool(missing[-1]))
             if out:
                 yield _batch(out)
@@ -118,7 +148,6 @@ def _batch(frames: list[pd.DataFrame]) -> pa.RecordBatch:
         "doc_id": pa.int64(),
         "version": pa.int64(),
         "position": pa.int32(),
-        "docs": pa.int64(),
     }
     made = {}
     for name, kind in columns.items():
@@ -159,23 +188,22 @@ def versions(docs: DataFrame) -> DataFrame:
 def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:
     """Keep bitmaps (``doc_id, version, keep_bits``) of the documents that lose a line.
 
-    A line goes, in every document (with ``keep_first`` in all places but the first by id and position), when its key (stripped of white space at both ends, A-Z lower-cased, at least
-    ``min_chars`` code points) is found in at least ``min_docs`` documents. A document is a ``doc_id``; rows with
-    the same id, or with none, count once. ``version`` is the 64-bit hash of the text. Null text is one empty line.
+    A line goes, in every document (with ``keep_first`` in all places but the first by id and position), when its key
+    (stripped of white space at both ends, A-Z lower-cased, at least ``min_chars`` code points) is found in at least
+    ``min_docs`` documents. A document is a ``doc_id``; rows with the same id, or with none, count once, and rows that
+    repeat lose the same lines. ``version`` is the 64-bit hash of the text. Null text is one empty line. A text may
+    have any number of lines: only its bitmap and the positions that it loses are ever held together.
     """
     # written, since finding the ranges reads the rows once more
     rows = written(line_rows(versions(docs), min_chars), "line-hashes")
-    dealt = rows.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions(
-        "h1", "h2", "doc_id", "version", "position"
-    )
+    at = ["h1", "h2", "doc_id", "version", "position"]
+    dealt = rows.repartitionByRange(*at).sortWithinPartitions(*at)
     decided = written(dealt.mapInArrow(_stream(min_docs), ROWS), "line-runs")
     kind = F.col("kind")
-    common = (
-        decided.filter(kind == COUNT).groupBy("h1", "h2").agg(F.sum("docs").alias("total")).filter(F.col("total") >= min_docs)
-    )
-    at = ["h1", "h2", "doc_id", "version", "position"]
-    late = decided.filter(kind == PENDING).join(common, ["h1", "h2"], "left_semi").select(*at)
-    dropped = decided.filter(kind == DROP).select(*at).union(late)
+    holders = F.count_distinct(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    few = decided.filter(kind == DOCUMENT).groupBy("h1", "h2").agg(holders.alias("docs")).filter(F.col("docs") >= min_docs)
+    late = few.select("h1", "h2").union(decided.filter(kind == COMMON).select("h1", "h2")).distinct()
+    dropped = decided.filter(kind == DROP).select(*at).union(rows.join(late, ["h1", "h2"], "left_semi").select(*at))
     if keep_first:
         place = F.struct("doc_id", "version", "position")
         first = dropped.groupBy("h1", "h2").agg(F.min(place).alias("place"))
@@ -217,6 +245,11 @@ def with_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:
-    """``doc_id, n_lines, n_dropped, kept_text, keep_bits`` for every row; an empty table gives no rows."""
+    """``doc_id, n_lines, n_dropped, kept_text, keep_bits`` for every row; an empty table gives no rows.
+
+    Null and empty texts are one empty line, which counts as a line only with ``min_chars`` of 0. Rows without an id
+    count as one document together, rows that repeat each get their result, and columns beside ``doc_id`` and ``text``
+    may have any name. A very long text is held once, with its lines, while its bitmap is applied.
+    """
     applied = with_bitmaps(docs, min_docs, min_chars, keep_first).withColumn("made", apply_bitmap("text", "keep_bits"))
     return applied.select("doc_id", "made.n_lines", "made.n_dropped", F.col("made.kept").alias("kept_text"), "keep_bits")

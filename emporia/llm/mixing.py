@@ -1,13 +1,14 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source is a queue of its documents in shuffled order, up to ``repeats`` times over. A copy's virtual finish
-time is its source's words up to its end divided by the source's target. At virtual time 1 every source has had its
-target and the total budget is used up: each source is cut there by its own running sum, at its target, and the one
-copy per source that is in service then keeps the words its source still has to get. That cut alone decides what the
-mix takes; the schedule sorts the copies of all sources by finish time and only gives their order.
-
-Queues are long (one source may have a third of all rows), so no task holds one: the shuffle order is a hash, rows
-are dealt out by ranges of it, and running sums are those within a range plus the total of the ranges before.
+time is its source's words up to its end divided by the source's target, which is the source's weight in the queue.
+The copies of all sources are sorted by finish time in ranges and served until the budget, the words of all documents,
+is used up; the copy in service then is cut there. Nothing else bounds a source: that each ends within a document of
+its target follows from the order alone.
+
+Queues are long (one source may have a third of all rows), so no task holds one: the shuffle order is a hash of id,
+text and a number that tells equal rows apart, rows are dealt out by ranges of it, and running sums are those within
+a range plus the total of the ranges before.
 """
 
 from __future__ import annotations
@@ -79,56 +80,65 @@ def _running(rows: DataFrame, keys: list[str], order: list, value: str, into: st
 
 
 def queues(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """Every row with its words and its place in its source's shuffled queue: ``size, start, place``, written once."""
-    text_hash = F.xxhash64("text")
-    shuffled = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    """Every row with its words and its place in its source's shuffled queue: ``size, start, place``, written once.
+
+    Rows that repeat are counted before they are shuffled and numbered from their count, so they spread like others.
+    """
+    text = F.col("text")
     slim = pick(docs, "doc_id", "text", "source").select(
-        "doc_id", "source", words_of(F.col("text")).alias("size"), text_hash.alias("version"), shuffled.alias("key")
+        "doc_id", "source", words_of(text).alias("size"), F.xxhash64("text").alias("version"), F.md5(text).alias("digest")
     )
-    slim = written(slim, "sizes")
-    parts = parts_for(docs, slim.count(), ROWS_PER_RANGE)
+    alike = slim.groupBy("doc_id", "source", "size", "version", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    told = [F.lit(seed), *(F.coalesce(c, F.lit("")) for c in (F.col("doc_id").cast("string"), F.col("digest")))]
+    each = alike.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    key = F.md5(F.concat_ws(":", *told, F.col("nth").cast("string")))
+    each = written(each.select("doc_id", "source", "size", "version", key.alias("key")), "sizes")
+    parts = parts_for(docs, each.count(), ROWS_PER_RANGE)
     at = F.conv(F.substring("key", 1, _DIGITS), 16, 10).cast("long") / _SPACE
-    dealt = slim.withColumn("part", F.floor(at * parts).cast("int")).withColumn("one", F.lit(1))
-    order = ["key", "doc_id", "version", "size"]
-    return written(_running(_running(dealt, ["source"], order, "size", "start"), ["source"], order, "one", "place"), "queues")
+    dealt = each.withColumn("part", F.floor(at * parts).cast("int")).withColumn("one", F.lit(1))
+    summed = _running(dealt, ["source"], ["key"], "size", "start")
+    return written(_running(summed, ["source"], ["key"], "one", "place"), "queues")
+
+
+def copies(queue: DataFrame, aims: DataFrame, repeats: int = 3) -> DataFrame:
+    """``source, place, copy, size, finish`` of the copies of all documents that have words."""
+    aims = aims.toDF("_source", "source_size", "target")
+    queued = queue.filter(F.col("size") > 0).join(aims, F.col("source").eqNullSafe(F.col("_source")))
+    made = queued.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    ends = F.col("copy") * F.col("source_size") + F.col("start") + F.col("size")
+    return made.select("source", "place", "copy", "size", (ends / F.col("target")).alias("finish"))
 
 
-def schedule(queue: DataFrame, aims: DataFrame, repeats: int = 3) -> DataFrame:
+def schedule(made: DataFrame, budget: int) -> DataFrame:
     """The served copies: ``source, place, copy, finish, words, mix_start``, in the order of their finish times.
 
-    ``words`` is the copy's size, or what its source still had to get at its target; ``mix_start`` is the number of
-    words before it in the mix. The cuts at the targets add up to the budget at most, so the order drops no copy.
+    ``mix_start`` is the number of words before a copy in the mix, ``words`` its size or, where the budget ends in it,
+    what is left of the budget. Ties in time go by source (null last), copy and place.
     """
-    aims = aims.toDF("_source", "source_size", "target")
-    queued = queue.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    begins = F.col("copy") * F.col("source_size") + F.col("start")
-    left = F.floor("target") - begins
-    served = (
-        copies.withColumn("words", F.least("size", left))
-        .filter(F.col("words") > 0)
-        .withColumn("finish", (begins + F.col("size")) / F.col("target"))
-        .select("source", "place", "copy", "finish", "words")
-    )
-    served = written(served, "served")
-    parts = parts_for(queue, served.count(), ROWS_PER_RANGE)
-    dealt = served.withColumn("part", F.least(F.floor(F.col("finish") * parts), F.lit(parts)).cast("int"))
-    order = ["finish", F.col("source").asc_nulls_last(), "copy", "place"]
-    return _running(dealt, [], order, "words", "mix_start").drop("part")
+    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("copy"), F.col("place")]
+    made = written(made, "copies")
+    dealt = made.repartitionByRange(parts_for(made, made.count(), ROWS_PER_RANGE), *order)
+    dealt = written(dealt.withColumn("part", F.spark_partition_id()), "finish-ranges")
+    left = F.lit(budget) - F.col("mix_start")
+    served = _running(dealt, [], order, "size", "mix_start").filter(left > 0)
+    return served.withColumn("words", F.least(F.col("size"), left)).drop("part", "size")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3) -> DataFrame:
     """``doc_id, source, version, size, source_size, target, taken`` for every row; ``version`` hashes the text.
 
     ``size`` counts the words (null text: none); ``target`` is the number of words asked of the row's source, and
-    ``taken`` the words that the mix takes of the row, repeats counted, at most ``repeats`` times its size. Rows
-    that repeat are queued one after the other; a null source is a source. With nothing but empty texts all targets
-    are zero, and an empty table gives no rows. The same rows give the same mix in every run.
+    ``taken`` the words that the mix takes of the row, repeats counted, at most ``repeats`` times its size. All taken
+    words together are the words of the table, and each source's are within a document of its target. Rows that repeat
+    are separate documents; a null source is a source. With nothing but empty texts all targets are zero, and an empty
+    table gives no rows. A very long text is one document, so its source may be that far from its target. The same
+    rows give the same mix in every run.
     """
     queue = queues(docs)
     sizes = queue.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims = written(targets(sizes, weights, repeats), "targets")
-    plan = schedule(queue, aims, repeats).groupBy("source", "place").agg(F.sum("words").alias("taken"))
+    budget = aims.agg(F.sum("source_size")).first()[0] or 0
+    plan = schedule(copies(queue, aims, repeats), budget).groupBy("source", "place").agg(F.sum("words").alias("taken"))
     plan = plan.toDF("_p_source", "_p_place", "taken")
     named = aims.toDF("_source", "source_size", "target")
     same = F.col("source").eqNullSafe(F.col("_p_source")) & (F.col("place") == F.col("_p_place"))

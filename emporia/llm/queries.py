@@ -128,5 +128,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": checking_sql.DECONTAMINATION,
         "op9_secrets": checking_sql.secrets(),
         "op10_line_dedup": checking_sql.LINES,
+        "op11_spelling": checking_sql.SPELLING,
         "op12_hard_negatives": checking_sql.NEGATIVES,
     }

@@ -52,7 +52,8 @@ MORE = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("forge_token", r"\bgh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # no start inside a run of its characters, so that a long run is read once
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"://[^\x00-\x20/:@]{1,}:[^\x00-\x20/:@]{3,}@"),
 )
 

@@ -9,6 +9,7 @@ linked to the smallest, which is exact and makes a number of rows in proportion
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -25,25 +26,40 @@ BITS = 64
 #: Distinct fingerprints that a key may have to be paired directly.
 PAIRED = 16
 _CHUNK = 1 << 16
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(text: str | None, shingle_words: int = 3) -> int:
-    """SimHash of the word shingles, repeats included; zero for a text without words."""
-    words = (text or "").encode().lower().split()  # bytes.lower and split know ASCII letters and white space only
-    if not words:
-        return 0
+def _bits(words: list[bytes], reach: int) -> tuple[np.ndarray, int]:
+    """How many shingles of ``reach`` words have each bit, and how many shingles there are."""
     body = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(lengths) - 1
     starts = (ends - lengths + 1).tolist()
-    reach = min(shingle_words, len(words))
-    digest, counts = xxhash.xxh64_digest, np.zeros(BITS, np.int64)
-    spans = list(zip(starts[: len(words) - reach + 1], ends[reach - 1 :].tolist(), strict=True))
-    for at in range(0, len(spans), _CHUNK):
-        hashes = b"".join([digest(body[s:e], 42) for s, e in spans[at : at + _CHUNK]])
-        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(spans)).tobytes(), "big", signed=True)
+    digest, spans = xxhash.xxh64_digest, list(zip(starts[: len(words) - reach + 1], ends[reach - 1 :].tolist(), strict=True))
+    hashes = b"".join([digest(body[s:e], 42) for s, e in spans])
+    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
+    return bits.sum(axis=0, dtype=np.int64), len(spans)
+
+
+def fingerprint(text: str | None, shingle_words: int = 3) -> int:
+    """SimHash of the word shingles, repeats included; zero for a text without words.
+
+    The words are split and hashed ``_CHUNK`` bytes at a time, so beside the text itself little is held.
+    """
+    body = (text or "").encode().lower()  # bytes.lower and split know ASCII letters and white space only
+    counts, shingles, words, at = np.zeros(BITS, np.int64), 0, [], 0
+    while at < len(body):
+        cut = _SPACE.search(body, at + _CHUNK)
+        stop = cut.start() if cut else len(body)
+        words += body[at:stop].split()
+        at = stop
+        if len(words) >= shingle_words:
+            more, n = _bits(words, shingle_words)
+            counts, shingles = counts + more, shingles + n
+            words = words[len(words) - shingle_words + 1 :]
+    if not shingles and words:
+        counts, shingles = _bits(words, len(words))
+    return int.from_bytes(np.packbits(counts * 2 > shingles).tobytes(), "big", signed=True)
 
 
 def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -164,7 +180,8 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 3, distance: int = 2) -
     Words are runs of characters other than ASCII white space, A-Z lower-cased. Texts without words, null ones too,
     have fingerprint zero and are linked like any other. ``component_id`` is the smallest id reachable by links of
     at most ``distance`` bits (null ids are passed over; null when a component has no other) and ``copies`` the
-    number of rows with the same fingerprint. Repeated rows each appear. An empty table gives no rows.
+    number of rows with the same fingerprint. Repeated rows each appear. An empty table gives no rows. A very long
+    text is hashed in pieces.
     """
     prints = written(fingerprints(docs, shingle_words), "fingerprints")
     return prints.join(classes(prints, distance), "fp").select("doc_id", "fp", "component_id", "copies")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -132,3 +134,75 @@ def targets(sizes, weights=(1, 2, 3), repeats=3):
         if not above:
             return fixed | share
         fixed |= {s: repeats * sizes[s] for s in above}
+
+
+def spelling(docs, every=31, times=10, min_chars=7, min_count=2):
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = run.translate(UPPER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= min_chars:
+                counts[run] += 1
+    counts = {w: n for w, n in counts.items() if n >= min_count}
+    replaced, near = defaultdict(set), defaultdict(set)
+    for w in counts:
+        for i in range(len(w)):
+            replaced[w[:i], w[i + 1 :]].add(w)
+            if w[:i] + w[i + 1 :] in counts:
+                near[w].add(w[:i] + w[i + 1 :])
+                near[w[:i] + w[i + 1 :]].add(w)
+    for same in replaced.values():
+        for w in same:
+            near[w] |= same - {w}
+    form = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        if best is not None and counts[best] >= times * n:
+            form[w] = best
+    out = []
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), counts.get(form.get(w))))
+    return out
+
+
+def negatives(rows, is_anchor, first=5, least=80):
+    """``rows``: id, label, vector. Rows with missing or non-finite values take no part; lengths never mix."""
+    usable = [
+        (i, label, [math.floor(256 * x) for x in v])
+        for i, label, v in rows
+        if label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for at, (anchor, label, q) in enumerate(usable):
+        if anchor is None or not is_anchor(anchor):
+            continue
+        met = [(sum(a * b for a, b in zip(q, v)), i, other) for k, (i, other, v) in enumerate(usable) if k != at and len(v) == len(q)]
+        met.sort(key=lambda x: (-x[0], x[1] is None, x[1]))
+        for score, i, _ in [x for x in met if x[2] == label][:first]:
+            inside = [x for x in met if x[2] != label and least * score <= 100 * x[0] <= 100 * score][:first]
+            out += [(anchor, i, rank, x[1], score, x[0]) for rank, x in enumerate(inside, 1)]
+    return out
+
+
+def base_scores(docs):
+    def tokens(text):
+        return [*(text or "").encode().lower().split(), None]
+
+    learned = Counter()
+    for doc_id, text in docs:
+        if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 != 2:
+            learned.update(tokens(text))
+    total, distinct = sum(learned.values()), len(learned)
+    out = []
+    for doc_id, text in docs:
+        held = doc_id is None or zlib.crc32(str(doc_id).encode()) % 7 == 2
+        found = tokens(text)
+        score = sum(math.log10((learned[x] + 1) / (total + distinct + 1)) for x in found)
+        out.append((doc_id, held, len(found), sum(learned[x] > 0 for x in found), total, round(score, 6)))
+    return out

@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import SCHEMA, documents, plain, with_clashes
 from pyspark.sql import functions as F
@@ -68,6 +69,66 @@ def test_common_line_over_many_tasks(spark):
     assert plain(found) == plain(brute.lines(rows, 5))
 
 
+def _streamed(rows, threshold, sizes):
+    """Kinds and rows that the tasks report, each given its sorted rows in batches."""
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("position", pa.int32())])
+    out, at = [], 0
+    for size in sizes:
+        part = pa.Table.from_pylist(rows[at : at + size], schema=schema)
+        at += size
+        for batch in line_dedup._stream(threshold)(iter(part.to_batches(max_chunksize=7))):
+            out += batch.to_pylist()
+    return out
+
+
+@pytest.mark.parametrize("held", [5, 50_000])
+def test_runs_over_borders_and_of_few_documents(monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "HELD_ROWS", held)
+    rng = random.Random(held)
+    for turn in range(60):
+        rows = []
+        for h in range(rng.randint(1, 12)):
+            for _ in range(rng.choice([1, 2, 30])):
+                doc = rng.choice([None, *range(rng.choice([1, 4, 9]))])
+                rows.append({"h1": h // 2, "h2": h % 2, "doc_id": doc, "version": rng.randrange(3), "position": rng.randrange(99)})
+        rows.sort(key=lambda r: (r["h1"], r["h2"], r["doc_id"] is not None, r["doc_id"], r["version"], r["position"]) if r["doc_id"] is not None else (r["h1"], r["h2"], False, 0, r["version"], r["position"]))
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(3))
+        sizes = np.diff([0, *cuts, len(rows)]).tolist()
+        found = _streamed(rows, 3, sizes)
+        docs = {}
+        for r in rows:
+            docs.setdefault((r["h1"], r["h2"]), set()).add(r["doc_id"])
+        common = {k for k, v in docs.items() if len(v) >= 3}
+        few = {}
+        for r in found:
+            if r["kind"] == line_dedup.DOCUMENT:
+                few.setdefault((r["h1"], r["h2"]), set()).add(r["doc_id"])
+        late = {k for k, v in few.items() if len(v) >= 3} | {(r["h1"], r["h2"]) for r in found if r["kind"] == line_dedup.COMMON}
+        names = ("h1", "h2", "doc_id", "version", "position")
+        dropped = {tuple(r[n] for n in names) for r in found if r["kind"] == line_dedup.DROP}
+        dropped |= {tuple(r[n] for n in names) for r in rows if (r["h1"], r["h2"]) in late}
+        assert late <= common
+        assert dropped == {tuple(r[n] for n in names) for r in rows if (r["h1"], r["h2"]) in common}
+
+
+def test_a_hot_line_without_ids_takes_constant_memory():
+    import tracemalloc
+
+    n, batches = 10_000, 1000  # ten million rows of one line in documents without an id
+
+    def rows():
+        for i in range(batches):
+            columns = [pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.int64()),
+                       pa.array(np.full(n, i)), pa.array(np.arange(n, dtype=np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc_id", "version", "position"])
+
+    tracemalloc.start()
+    out = [r for b in line_dedup._stream(10)(rows()) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["kind"], r["doc_id"]) for r in out] == [(line_dedup.DOCUMENT, None)] and peak < 50e6
+
+
 def test_line_dedup_may_keep_the_first_place(spark):
     rows = [(i, f"shared\nown {i}\nSHARED") for i in range(40)]
     found = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), 2, keep_first=True)
@@ -83,6 +144,17 @@ def test_bitmaps_round_trip():
         assert np.nonzero(~bits)[0].tolist() == dropped and len(bits) == max(dropped) + 1
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 40, 1 << 16])
+def test_fingerprints_of_texts_in_pieces(monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "_CHUNK", chunk)
+    rng = random.Random(chunk)
+    texts = [None, "", " ", "a", "A b", "a b c", "  a  b\tc\nd ", "x" * 200]
+    texts += ["".join(rng.choice("aB \n") for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    for words in (1, 2, 3, 5):
+        want = [x for _, x, _ in brute.simhash(list(enumerate(texts)), words, -1)]
+        assert [f"{simhash.fingerprint(t, words) % 2**64:016x}" for t in texts] == want
+
+
 def test_simhash(docs, pairs):
     found = simhash.simhash_groups(with_clashes(docs)).select("doc_id", simhash.hex_print(F.col("fp")), "component_id")
     assert plain(found.collect()) == plain(brute.simhash(pairs))

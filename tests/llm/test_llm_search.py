@@ -154,21 +154,57 @@ def test_mixing(spark, docs):
         assert 0 <= r.taken <= 3 * r["size"]
         taken[r.source] += r.taken
     assert len(rows) == docs.count()
-    assert all(aims[s] - 1 < taken[s] <= aims[s] for s in sizes)
+    longest = {s: max(r["size"] for r in rows if r.source == s) for s in sizes}
+    assert all(abs(taken[s] - aims[s]) <= longest[s] for s in sizes)
+    assert sum(taken.values()) == sum(sizes.values())
     again = mixing.mix(docs.repartition(5)).collect()
     assert plain(r[:7] for r in rows) == plain(r[:7] for r in again)
 
 
-def test_mixing_schedule_follows_finish_times(spark, docs):
+def _plan(docs):
     queue = mixing.queues(docs)
     sizes = queue.groupBy("source").sum("size").toDF("source", "source_size")
-    plan = mixing.schedule(queue, mixing.targets(sizes)).orderBy("mix_start").collect()
+    aims = mixing.targets(sizes)
+    budget = sizes.agg({"source_size": "sum"}).first()[0]
+    return mixing.copies(queue, aims), {r.source: r.target for r in aims.collect()}, budget
+
+
+def test_mixing_schedule_follows_finish_times(spark, docs):
+    made, _, budget = _plan(docs)
+    plan = mixing.schedule(made, budget).orderBy("mix_start").collect()
     assert [r.finish for r in plan] == sorted(r.finish for r in plan)
     at = 0
     for r in plan:
         assert r.mix_start == at
         at += r.words
-    assert at <= queue.agg({"size": "sum"}).first()[0]
+    assert at == budget
+
+
+def test_finish_times_alone_hold_sources_at_their_targets(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 60)), rng.choice("aaaaabbc")) for i in range(1500)]
+    made, aims, budget = _plan(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+
+    def off(copies):
+        taken = dict(mixing.schedule(copies, budget).groupBy("source").sum("words").collect())
+        return max(abs(taken.get(s, 0) - aims[s]) for s in aims)
+
+    assert off(made) <= 60
+    assert off(made.withColumn("finish", F.xxhash64("finish", "source", "place").cast("double"))) > 600
+
+
+def test_rows_without_ids_and_repeats_spread_over_the_queue(spark, monkeypatch):
+    seen = []
+    running = mixing._running
+    monkeypatch.setattr(mixing, "_running", lambda rows, *a: seen.append(rows) or running(rows, *a))
+    lone = spark.range(1000).selectExpr("cast(null as long) AS doc_id", "concat('text ', id) AS text", "'s' AS source")
+    same = spark.range(1000).selectExpr("7L AS doc_id", "'one text' AS text", "'s' AS source")
+    for rows in (lone, same):
+        seen.clear()
+        found = mixing.mix(rows).collect()
+        assert len(found) == 1000 and sum(r.taken for r in found) == 2000
+        parts = [r["count"] for r in seen[0].groupBy("part").count().collect()]
+        assert len(parts) > 4 and max(parts) < 300
 
 
 def test_targets_of_many_sources_in_ranges(spark):
