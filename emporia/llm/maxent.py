@@ -20,7 +20,7 @@ HEAD_CLASSES, SLOTS, OPEN_CLASSES = 24, 32, 8
 CLASSES = HEAD_CLASSES + OPEN_CLASSES
 ROW_BITS = 15
 #: Tokens of a gradient step.
-BATCH = 4_096
+BATCH = 8_192
 RATE = 0.3
 _START = np.uint64(0x165667B19E3779F9)
 _SALTS = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
@@ -143,11 +143,14 @@ def _step(table: np.ndarray, moved: np.ndarray, rows: np.ndarray, gradient: np.n
     flat = rows.reshape(-1).astype(np.uint16)
     order = np.argsort(flat, kind="stable")  # radix sort
     held = flat[order]
-    last = np.append(np.nonzero(held[1:] != held[:-1])[0], len(held) - 1)
-    which = held[last].astype(np.int64)
-    sums = np.cumsum(gradient.take(order % len(gradient), axis=0), axis=0, dtype=np.float64)[last]
-    sums[1:] -= sums[:-1].copy()
-    sums = sums.astype(np.float32)
+    new = np.append(True, held[1:] != held[:-1])
+    which = held[new].astype(np.int64)
+    group = np.empty(len(held), np.int64)
+    group[order] = np.cumsum(new) - 1
+    sums = np.empty((gradient.shape[1], len(which)), np.float32)
+    for into, column in zip(sums, gradient.T.astype(np.float64, order="C"), strict=True):
+        into[:] = np.bincount(group, np.tile(column, len(rows)), len(which))
+    sums = sums.T.copy()
     moved[which] += np.einsum("ij,ij->i", sums, sums)
     sums *= (RATE / np.sqrt(moved[which]))[:, None]
     table[which] -= sums
