@@ -25,7 +25,7 @@ from emporia.llm.common import held_out, pick
 from emporia.sources.shared import written
 
 #: Tokens of a shard, unless a single text has more.
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 #: Rounds of training; each sees a part of the training documents once.
 ROUNDS = 3
 #: Rows of weights that travel together.
@@ -79,8 +79,8 @@ def _shard(number: int, ids: list, held: list, parts: list[token_hash.Tokens]) -
     trained = np.repeat(~np.array(held, bool), lengths)
     counts = np.bincount(codes, minlength=len(first))
     order = np.argsort(-counts, kind="stable")
-    place = np.empty(len(first), np.int64)
-    place[order] = np.arange(len(first))
+    place = np.empty(len(first), np.int32)
+    place[order] = np.arange(len(first), dtype=np.int32)
     known = np.bincount(codes[trained], minlength=len(first))
     first, known = first[order], known[order]
     yield _record(
