@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 NOT_NULL, UNIQUE = "not_null", "unique"
 
 
+class FailedChecks(ValueError):
+    """Data that a check found wrong; another attempt would find the same."""
+
+
 class Check(NamedTuple):
     model: str
     column: str
@@ -99,4 +103,4 @@ def require_clean(report: DataFrame) -> None:
     failed = report.where(F.col("failures") > 0).collect()
     if failed:
         listed = ", ".join(f"{r['model']}.{r['column']} {r['test']}: {r['failures']}" for r in failed)
-        raise ValueError(f"data checks failed: {listed}")
+        raise FailedChecks(f"data checks failed: {listed}")

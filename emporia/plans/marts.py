@@ -16,13 +16,21 @@ from emporia.functions.semantics import (
     round_money,
 )
 from emporia.operators.joins import lookup
-from emporia.plans.warehouse import CALENDAR_SPAN, model
+from emporia.plans.warehouse import CALENDAR_SPAN, ORDER_MONTH, model
 
 
 def _copy(df: DataFrame) -> DataFrame:
     return df
 
 
+def orders_between(fact: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Orders from ``first_day`` to ``last_day``; where the fact lies in months, only their folders are read."""
+    first, last = F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))
+    if ORDER_MONTH in fact.columns:
+        fact = fact.where(F.col(ORDER_MONTH).between(first_day[:7], last_day[:7])).drop(ORDER_MONTH)
+    return fact.where(F.col("date_commande").between(first, last))
+
+
 for _name, _staged in {
     "mrt_dim_clients": "stg_clients",
     "mrt_dim_entrepots": "stg_entrepots",

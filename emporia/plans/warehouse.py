@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.operators.cleaning import clean_table
-from emporia.sources.tables import SCHEMAS, replace_table
+from emporia.sources.store import Layout, Version
+from emporia.sources.tables import SCHEMAS
 
+#: Column by which a large order fact lies in folders; it is the month of the order.
+ORDER_MONTH = "mois_commande"
 CALENDAR = ("2019-01-01", "2025-12-30")  # fixed value: 2,556 days, the last day of 2025 is not among them
 CALENDAR_SPAN = "calendar_span"
 
@@ -68,8 +71,8 @@ class Warehouse:
 
     Most models are lazy plans. Those that rank, take medians or pair products (segmentations, product pairs,
     sensitivity to promotions, delays) write intermediate tables while they are built, so asking for them runs
-    jobs. With ``store`` set, the cleaned sources and the models declared as tables are written there once and
-    read back, which is how the shared fact and dimensions are meant to be used on large data.
+    jobs. With ``version`` set, the cleaned sources and the models declared as tables are written to it once, in the
+    named ``layouts``, and read back, which is how the shared fact and dimensions are meant to be used on large data.
     """
 
     def __init__(
@@ -77,17 +80,33 @@ class Warehouse:
         spark: SparkSession,
         sources: Mapping[str, DataFrame],
         *,
-        store: str | None = None,
+        version: Version | None = None,
         calendar: tuple[str, str] | None = CALENDAR,
+        layouts: Mapping[str, Layout] | None = None,
     ) -> None:
         """``calendar`` is the first and last day of the date dimension; ``None`` takes those of the orders."""
         _load_models()
         self._calendar = calendar
         self.spark = spark
         self._sources = sources
-        self._store = store.rstrip("/") if store else None
+        self._version = version
+        self._layouts = layouts or {}
         self._built: dict[str, DataFrame] = {}
 
+    @classmethod
+    def of(cls, version: Version, calendar: tuple[str, str] | None = CALENDAR) -> Warehouse:
+        """A warehouse that reads the cleaned sources and table models of a written version."""
+        made = cls(version.store.spark, {}, calendar=calendar)
+        for name in version.tables:
+            known = name.removeprefix("sources/")
+            if known in SCHEMAS or known in MODELS:
+                made._built[known] = made._plain(version.table(name))
+        return made
+
+    @staticmethod
+    def _plain(frame: DataFrame) -> DataFrame:
+        return frame.drop(ORDER_MONTH)
+
     def source(self, name: str) -> DataFrame:
         """A raw table after the ingest cleaning of its recipe."""
         if name not in self._sources:
@@ -95,21 +114,13 @@ class Warehouse:
         return self._stored(clean_table(name, self._sources[name]), f"sources/{name}")
 
     def _stored(self, frame: DataFrame, name: str) -> DataFrame:
-        """Written below the store and read back; unchanged without a store."""
-        if not self._store:
+        """Written to the version and read back; unchanged without one."""
+        if self._version is None:
             return frame
-        path = f"{self._store}/{name}"
-        replace_table(frame, path)
-        return self.spark.read.schema(frame.schema).parquet(path)
-
-    def moved(self, old: str, new: str) -> Warehouse:
-        """A warehouse that reads the tables of this one, which were moved from below ``old`` to below ``new``."""
-        other = Warehouse(self.spark, self._sources, calendar=self._calendar)
-        for name, frame in self._built.items():
-            place = f"sources/{name}" if name in SCHEMAS else name if MODELS[name].table else None
-            if place is not None and self._store == old:
-                other._built[name] = self.spark.read.schema(frame.schema).parquet(f"{new}/{place}")
-        return other
+        layout = self._layouts.get(name, Layout())
+        if ORDER_MONTH in layout.partition_by:
+            frame = frame.withColumn(ORDER_MONTH, F.date_format("date_commande", "yyyy-MM"))
+        return self._plain(self._version.write(name, frame, layout))
 
     def _calendar_span(self) -> DataFrame:
         if self._calendar is None:

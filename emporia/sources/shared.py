@@ -11,11 +11,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
-_job_folders: list[str] = []
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path that nothing else uses, in the folder of the job at hand or else of the application."""
-    top = _job_folders[-1] if _job_folders else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    top = _job_folder.get() or f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
     return f"{top}/{label}-{uuid.uuid4().hex}"
 
 
@@ -53,39 +54,51 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put the folder ``source`` where ``target`` is. What stood there goes only after the new one is in place."""
-    files, here = _file_system(spark, source)
-    _, there = _file_system(spark, target)
-    _, aside = _file_system(spark, f"{target.rstrip('/')}-old-{uuid.uuid4().hex}")
-    files.mkdirs(there.getParent())
-    had = files.exists(there)
-    if had and not files.rename(there, aside):
-        raise OSError(f"cannot move {target} aside")
-    if not files.rename(here, there):
-        if had:
-            files.rename(aside, there)
-        raise OSError(f"cannot move {source} to {target}")
-    if had:
-        files.delete(aside, True)
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    files, place = _file_system(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(place)] if files.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, place = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return str(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; one that is there already is an error."""
+    files, place = _file_system(spark, path)
+    stream = files.create(place, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 @contextmanager
 def job_folder(spark: SparkSession) -> Iterator[str]:
-    """Tables written inside go to a folder of the job, which is removed at the end, also after an error."""
+    """Tables written inside go to a folder of the job, which is removed at the end, also after an error.
+
+    The folder belongs to the calling context, so jobs at the same time have folders of their own; threads that work
+    for a job run in a copy of its context.
+    """
     path = new_path(spark, "job")
-    _job_folders.append(path)
+    token = _job_folder.set(path)
     try:
         yield path
     finally:
-        _job_folders.remove(path)
+        _job_folder.reset(token)
         remove(spark, path)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet and return a scan of it."""
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet and return a scan of it; ``path`` may name a place outside the job's folder."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = path or new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

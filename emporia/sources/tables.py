@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.operators.cleaning import ACCENTED, PLAIN, POSITION, clean_column_names
-from emporia.sources.shared import move, remove
+from emporia.sources.store import Layout, Store, is_store
 
 # Declared raw schemas, after column names were cleaned. Dates may still be text.
 SCHEMAS: dict[str, str] = {
@@ -38,6 +38,10 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+#: Name of the only table in the store that a replaced table is.
+CONTENT = "content"
+
+
 def schema_of(name: str) -> T.StructType:
     return T._parse_datatype_string(SCHEMAS[name])  # type: ignore[return-value]
 
@@ -64,25 +68,97 @@ def _clean_key(name: Column) -> Column:
     return F.regexp_replace(words, "[^a-z0-9_]", "")
 
 
+_BROKEN = "_broken_record"
+_FAULT, _TEXT = "_fault", "_text"
+
+
+def _odd_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """``_file`` of the CSV files with an odd number of quotes: one of them never closes, or stands alone."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    lines = spark.read.text(path).select("_metadata.file_path", quotes.alias("quotes"))
+    counted = lines.groupBy(F.col("file_path").alias("_file")).agg(F.sum("quotes").alias("quotes"))
+    return counted.where(F.col("quotes") % 2 == 1).select("_file")
+
+
 def _csv_texts(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, Column], list[str]]:
-    df = _positioned(spark.read.csv(path, header=True, enforceSchema=False))
-    names = clean_column_names(df.drop(POSITION)).columns
-    df = df.toDF(*names, POSITION)
-    return df, {name: F.col(name) for name in names}, names
+    """Every record as text columns, with what is wrong with it in ``_fault`` and its text in ``_text``.
+
+    Records may run over several lines, so a file is read by one task. A record is wrong when it has fewer or more
+    values than the header, when a value begins with a quote that the record does not close, and when it runs over
+    several lines in a file where some quote never closes: there it may have swallowed others.
+    """
+    options = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False}
+    header = spark.read.csv(path, **options).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _BROKEN]])
+    # with column pruning the number of values would not be compared
+    whole = spark.read.schema(schema).option("columnPruning", False).option("columnNameOfCorruptRecord", _BROKEN)
+    df = _positioned(whole.csv(path, mode="PERMISSIVE", **options))
+    names = clean_column_names(df.select(*[f"`{c}`" for c in header])).columns
+    df = df.toDF(*names, _BROKEN, POSITION)
+    quote, no = F.lit('"'), F.lit(False)
+    values = [F.col(c) for c in names]
+    single = [
+        F.coalesce(v.startswith('"') & (~v.endswith('"') | ((F.length(v) - F.length(F.replace(v, quote))) % 2 == 1)), no)
+        for v in values
+    ]
+    broken_lines = reduce(Column.__or__, [F.coalesce(v.rlike("[\\r\\n]"), no) for v in values])
+    open_quotes = _odd_quotes(spark, path)
+    df = df.join(open_quotes, df[POSITION]["file_path"] == open_quotes["_file"], "left")
+    fault = (
+        F.when(F.col(_BROKEN).isNotNull(), F.lit("the number of values is not that of the header"))
+        .when(reduce(Column.__or__, single), F.lit("a quote inside a value"))
+        .when(F.col("_file").isNotNull() & broken_lines, F.lit("several lines in a file with an open quote"))
+    )
+    text = F.coalesce(_BROKEN, F.concat_ws(",", *[F.coalesce(v, F.lit("")) for v in values]))
+    return df.withColumns({_FAULT: fault, _TEXT: text}), {name: F.col(name) for name in names}, names
 
 
 def _json_texts(
     spark: SparkSession, path: str, wanted: list[str]
 ) -> tuple[DataFrame, dict[str, Column], list[str]]:
-    """Every record as a map from cleaned names to text; one pass finds which of the wanted names occur."""
+    """Every line as a map from cleaned names to text; one pass finds which of the wanted names occur.
+
+    A line that is no JSON object is wrong.
+    """
     lines = _positioned(spark.read.text(path)).where(F.trim("value") != "")
-    fields = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
-    df = lines.select(F.transform_keys(fields, lambda k, _: _clean_key(k)).alias("fields"), POSITION)
-    met = df.agg(F.count(F.lit(1)), *[F.max(F.map_contains_key("fields", c)) for c in wanted]).first()
+    # as the only element of a list, because what follows a whole object would be passed over
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    one = F.schema_of_variant(listed).startswith("ARRAY<OBJECT") & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    whole = F.coalesce(one, F.lit(False))
+    fields = F.when(whole, F.from_json("value", "map<string,string>"))
+    keyed = F.transform_keys(fields, lambda k, _: _clean_key(k))
+    fault = F.when(~whole, F.lit("no whole JSON object"))
+    df = lines.select(keyed.alias("fields"), POSITION, fault.alias(_FAULT), F.col("value").alias(_TEXT))
+    met = df.agg(F.count("fields"), *[F.max(F.map_contains_key("fields", c)) for c in wanted]).first()
     found = [c for c, seen in zip(wanted, met[1:]) if seen or not met[0]]
     return df, {c: F.element_at("fields", F.lit(c)) for c in wanted}, found
 
 
+def _records(spark: SparkSession, path: str, fmt: str, schema: str | None, optional: Iterable[str]):
+    """Rows of text with their faults, and a typed column for each declared one."""
+    if schema is None:
+        raise ValueError(f"{fmt} source {path} needs a declared schema")
+    path = _content(spark, path)
+    declared = T._parse_datatype_string(schema)
+    wanted = [f.name for f in declared]
+    df, texts, found = _csv_texts(spark, path) if fmt == "csv" else _json_texts(spark, path, wanted)
+    missing = [c for c in wanted if c not in found and c not in set(optional)]
+    if missing:
+        raise ValueError(f"{fmt} source {path} has no column {', '.join(missing)}")
+    nothing = F.lit(None).cast("string")
+    return df, [(f, texts[f.name] if f.name in found else nothing) for f in declared]
+
+
+def _content(spark: SparkSession, path: str) -> str:
+    """Where the rows of the table at ``path`` are now: a replaced table keeps them in a version."""
+    if not is_store(spark, path):
+        return path
+    version = Store(spark, path).current()
+    if version is None:
+        raise ValueError(f"no complete table at {path}")
+    return version.path(CONTENT)
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, optional: Iterable[str] = ()
 ) -> DataFrame:
@@ -90,33 +166,54 @@ def read_table(
 
     Text formats need a declared schema of cleaned names. Their columns are read as text under whatever names the
     files have, the names are cleaned, and the declared columns are cast. A declared column that no row has is an
-    error unless it is ``optional``, and so are a value that does not parse and a broken JSON record.
+    error unless it is ``optional``; so are, as soon as their rows are read, a value that does not parse and a broken
+    record. :func:`read_records` sets such rows aside instead.
     """
     if fmt not in ("csv", "json"):
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        return _positioned(reader.format(fmt).load(path))
-    if schema is None:
-        raise ValueError(f"{fmt} source {path} needs a declared schema")
-    declared = T._parse_datatype_string(schema)
-    wanted = [f.name for f in declared]
-    df, texts, found = _csv_texts(spark, path) if fmt == "csv" else _json_texts(spark, path, wanted)
-    missing = [c for c in wanted if c not in found and c not in set(optional)]
-    if missing:
-        raise ValueError(f"{fmt} source {path} has no column {', '.join(missing)}")
-    nothing = F.lit(None).cast("string")
-    typed = [_typed(texts[f.name] if f.name in found else nothing, f.name, f.dataType).alias(f.name) for f in declared]
-    return df.select(*typed, POSITION)
+        return _positioned(reader.format(fmt).load(_content(spark, path)))
+    df, columns = _records(spark, path, fmt, schema, optional)
+    told = F.concat(F.lit("broken record, "), F.col(_FAULT), F.lit(": "), F.col(_TEXT))
+    # a filter, because a column that nobody selects would not be computed
+    sound = df.where(F.when(F.col(_FAULT).isNotNull(), F.raise_error(told)).otherwise(F.lit(True)))
+    typed = [_typed(text, f.name, f.dataType).alias(f.name) for f, text in columns]
+    return sound.select(*typed, POSITION)
+
+
+def read_records(
+    spark: SparkSession, path: str, fmt: str, schema: str, optional: Iterable[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """The typed rows that can be read, and those that cannot: ``file, fault, text``. Together they are all records.
+
+    A record is set aside when it is broken (see :func:`read_table`) or when a value of it does not parse.
+    """
+    df, columns = _records(spark, path, fmt, schema, optional)
+    faults = [F.col(_FAULT)]
+    for f, text in columns:
+        if not isinstance(f.dataType, T.StringType):
+            held = F.nullif(F.trim(text), F.lit(""))
+            wrong = held.isNotNull() & held.try_cast(f.dataType).isNull()
+            faults.append(F.when(wrong, F.lit(f"{f.name} is not a {f.dataType.simpleString()}")))
+    df = df.withColumn(_FAULT, F.coalesce(*faults))
+    typed = [_typed(text, f.name, f.dataType).alias(f.name) for f, text in columns]
+    sound = df.where(F.col(_FAULT).isNull()).select(*typed, POSITION)
+    rejected = df.where(F.col(_FAULT).isNotNull())
+    return sound, rejected.select(F.col(f"{POSITION}.file_path").alias("file"), F.col(_FAULT).alias("fault"), F.col(_TEXT).alias("text"))
 
 
 def load_tables(
     spark: SparkSession, folder: str, names: list[str] | None = None, fmt: str = "parquet", suffix: str = ""
 ) -> dict[str, DataFrame]:
-    """Scans for all named source tables below ``folder``; a missing one fails before anything is planned."""
+    """Scans for all named source tables below ``folder``; a missing one fails before anything is planned.
+
+    Where the folder is a store, all scans are of its current version.
+    """
     names = list(names or SCHEMAS)
+    version = Store(spark, folder).current() if is_store(spark, folder) else None
     found: dict[str, DataFrame] = {}
     missing = []
     for name in names:
-        path = f"{folder.rstrip('/')}/{name}{suffix}"
+        path = version.path(name) if version is not None else f"{folder.rstrip('/')}/{name}{suffix}"
         try:
             found[name] = read_table(spark, path, fmt, SCHEMAS.get(name) if fmt in ("csv", "json") else None)
         except AnalysisException as error:
@@ -131,18 +228,10 @@ def load_tables(
 def replace_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Write ``df`` as the whole new content of the table at ``path``, without the place of its rows.
 
-    The new table is written beside the old one and takes its place when it is complete, so a job that fails
-    leaves the old one as it was.
+    The table is a store of its own (:mod:`emporia.sources.store`): the new content counts when it is complete, a job
+    that fails leaves the old one as it was, and readers at work keep theirs. :func:`read_table` reads it.
     """
-    spark, beside = df.sparkSession, f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
-    writer = df.drop(POSITION).write.format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    try:
-        writer.save(beside)
-        move(spark, beside, path)
-    except BaseException:
-        remove(spark, beside)
-        raise
+    store = Store(df.sparkSession, path)
+    with store.new_version() as version:
+        version.write(CONTENT, df.drop(POSITION), Layout(tuple(partition_by or ())), fmt)
+    store.clean()

@@ -19,10 +19,12 @@ from emporia.plans.checks import NOT_NULL, UNIQUE, Check, run_checks
 from emporia.plans.daily import run_daily
 from emporia.plans.logistics import delivery_days, with_late_flag
 from emporia.plans.sales import PAID, not_cancelled
-from emporia.plans.warehouse import MODELS, Warehouse, build_order
+from emporia.plans.marts import orders_between
+from emporia.plans.warehouse import Warehouse
 from emporia.sources.projections import SQL
 from emporia.sources.shared import new_path
-from emporia.sources.tables import SCHEMAS, load_tables, read_table, replace_table
+from emporia.sources.store import Store
+from emporia.sources.tables import SCHEMAS, load_tables, read_records, read_table, replace_table
 from workload.oracle import BAND, CODE, COMMENTS, FOUR, MODEL_SQL, _segments, near, total
 from workload.registry import Data, query
 
@@ -45,6 +47,8 @@ _MEASURES = {
     "string": ("length(CAST({0} AS {1}))", "CAST(sum({0}) AS BIGINT)"),
     "double": ("round(CAST({0} AS DOUBLE) * 100)", "CAST(sum({0}) AS BIGINT)"),
     "date": ("datediff(CAST({0} AS DATE), DATE '1990-01-01')", "CAST(sum({0}) AS BIGINT)"),
+    "bigint": ("CAST({0} AS BIGINT)", "CAST(sum({0}) AS BIGINT)"),
+    "boolean": ("CAST({0} AS INT)", "CAST(sum({0}) AS BIGINT)"),
 }
 
 
@@ -52,19 +56,19 @@ def _columns_of(name: str) -> list[tuple[str, str]]:
     return [tuple(c.split()) for c in SCHEMAS[name].split(", ")]
 
 
-def _content_sql(name: str) -> str:
+def _content_sql(name: str, columns: list[tuple[str, str]] | None = None, table: str | None = None) -> str:
     parts = []
-    for column, kind in _columns_of(name):
+    for column, kind in columns or _columns_of(name):
         value = "date_diff('day', DATE '1990-01-01', CAST({0} AS DATE))" if kind == "date" else _MEASURES[kind][0]
         total_of = _MEASURES[kind][1].format(value.format(column, "VARCHAR"))
         parts.append(
-            f"SELECT '{name}' AS table_name, '{column}' AS colonne, count({column}) AS presents, {total_of} AS mesure FROM raw_{name}"
+            f"SELECT '{name}' AS table_name, '{column}' AS colonne, count({column}) AS presents, {total_of} AS mesure FROM {table or 'raw_' + name}"
         )
     return " UNION ALL ".join(parts)
 
 
-def _content(name: str, df: DataFrame) -> DataFrame:
-    columns = _columns_of(name)
+def _content(name: str, df: DataFrame, columns: list[tuple[str, str]] | None = None) -> DataFrame:
+    columns = columns or _columns_of(name)
     figures = []
     for i, (column, kind) in enumerate(columns):
         value, total_of = _MEASURES[kind]
@@ -124,6 +128,68 @@ def json_raw_headers(data: Data):
     return _feedback_through(data, "json", _TYPED_HEADERS)
 
 
+_NOTE_LINES = """SELECT id_satisfaction, id_commande, note_client, commentaire, id_satisfaction % 40 AS sorte
+    FROM raw_satisfaction"""
+_REJECTED_SQL = f"""SELECT 'lue' AS etat, NULL AS motif, CASE WHEN sorte = 4 THEN 'deux' || chr(10) || 'lignes, "dites"' END AS texte,
+        count(*) AS lignes, CAST(sum(id_satisfaction) AS BIGINT) AS somme FROM ({_NOTE_LINES}) WHERE sorte NOT IN (1, 2, 3, 5) GROUP BY ALL
+    UNION ALL SELECT 'rejetee', {{0}}, NULL, count(*), NULL FROM ({_NOTE_LINES}) WHERE sorte IN (1, 2, 3, 5) GROUP BY ALL"""
+_NOTE_SCHEMA = "id bigint, commande bigint, note double, texte string"
+
+
+def _told(data: Data, lines: str, fmt: str, header: str | None) -> DataFrame:
+    """Files of the given lines, read with the broken records apart: rows read by text, rejected ones by fault."""
+    path = new_path(data.spark, fmt)
+    notes = data.raw["satisfaction"].selectExpr("*", "id_satisfaction % 40 AS sorte")
+    made = notes.select(F.expr(lines).alias("value"))
+    if header is not None:  # every file begins with the header, as each comes from a system of its own
+        made = made.mapInPandas(lambda parts: _with_header(header, parts), "value string")
+    made.write.text(path)
+    sound, rejected = read_records(data.spark, path, fmt, _NOTE_SCHEMA)
+    none = F.lit(None)
+    read = sound.groupBy("texte").agg(rows().alias("lignes"), F.sum("id").alias("somme"))
+    read = read.select(F.lit("lue").alias("etat"), none.cast("string").alias("motif"), "texte", "lignes", "somme")
+    faults = rejected.groupBy(F.col("fault").alias("motif")).agg(rows().alias("lignes"))
+    faults = faults.select(F.lit("rejetee").alias("etat"), "motif", none.cast("string").alias("texte"), "lignes", none.cast("bigint").alias("somme"))
+    return read.unionByName(faults)
+
+
+def _with_header(header: str, parts):
+    import pandas as pd
+
+    yield pd.DataFrame({"value": [header]})
+    yield from parts
+
+
+@query(
+    "source_csv_rejects",
+    _REJECTED_SQL.format(
+        "CASE WHEN sorte IN (1, 2) THEN 'the number of values is not that of the header' "
+        "WHEN sorte = 3 THEN 'a quote inside a value' ELSE 'note is not a double' END"
+    ),
+)
+def csv_rejects(data: Data):
+    """CSV records that are too short, too long, broken by a quote, of a wrong type, or whole over two lines."""
+    start = "concat_ws(',', id_satisfaction, id_commande"
+    two_lines = '''"deux\\nlignes, ""dites"""'''
+    lines = f"""CASE sorte WHEN 1 THEN {start}) WHEN 2 THEN {start}, '3', 'trop', 'long')
+        WHEN 3 THEN {start}, '3', '"faux"x') WHEN 4 THEN {start}, '3', '{two_lines}')
+        WHEN 5 THEN {start}, 'trois', '') ELSE {start}, '4', '') END"""
+    return _told(data, lines, "csv", "Id,Commande,Note,Texte")
+
+
+@query(
+    "source_json_rejects",
+    _REJECTED_SQL.format("CASE WHEN sorte IN (1, 2, 3) THEN 'no whole JSON object' ELSE 'note is not a double' END"),
+)
+def json_rejects(data: Data):
+    """JSON lines that break off, are no object, or hold a value of a wrong type."""
+    start = "concat('{ \"Id\": ', id_satisfaction, ', \"Commande\": ', id_commande"
+    two_lines = "to_json(named_struct('Id', id_satisfaction, 'Commande', id_commande, 'Texte', 'deux\\nlignes, \"dites\"'))"
+    lines = f"""CASE sorte WHEN 1 THEN {start}) WHEN 2 THEN '[1, 2]' WHEN 3 THEN {start}, ', "No') WHEN 4 THEN {two_lines}
+        WHEN 5 THEN {start}, ', "Note": "trois" }}') ELSE {start}, ', "Note": 4, "Texte": null }}') END"""
+    return _told(data, lines, "json", None)
+
+
 _LINES = """SELECT CAST(l_orderkey AS VARCHAR) AS id_commande,
     CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE 'P' || l_partkey END AS id_produit,
     CASE WHEN l_suppkey % 7 = 0 THEN NULL WHEN l_suppkey % 5 = 0 THEN -l_quantity ELSE l_quantity END AS quantite,
@@ -184,15 +250,42 @@ def default_calendar(data: Data):
     return days.join(orders, "date_jour", "left").fillna(0, ["commandes"])
 
 
-_TABLES = [n for n in build_order() if MODELS[n].table]
+# Columns of the table models, as their models declare them.
+_TABLES = {
+    "mrt_dim_dates": "date_jour date, annee bigint, mois bigint, jour bigint, jour_semaine string, annee_mois string",
+    "mrt_fct_satisfaction": "id_satisfaction bigint, id_commande bigint, note_client bigint, commentaire string, "
+    "plainte boolean, temps_reponse_support bigint, type_plainte string, employe_support string",
+    "mrt_dim_promotions": "id_promotion string, id_produit string, type_promotion string, valeur_promotion double, "
+    "date_debut date, date_fin date, responsable_promotion string",
+    "mrt_fct_campagnes": "id_campagne bigint, date date, evenement_oui_non boolean, evenement_type string, canal string, "
+    "budget bigint, impressions bigint, clics bigint, conversions bigint, ctr double",
+    "mrt_dim_produits": "id_produit string, produit string, marque string, categorie string, sous_categorie string, "
+    "variation string, prix double",
+    "mrt_rel_produits_favoris": "id_client bigint, id_produit_favori string, nom_produit_favori string",
+    "mrt_dim_clients": "id_client bigint, age bigint, genre string, frequence_visites bigint, date_inscription date, "
+    "favoris string",
+    "mrt_fct_machines": "id_entrepot_machine bigint, id_machine bigint, id_entrepot bigint, type_machine string, "
+    "etat_machine string, temps_arret bigint, volume_traite bigint, annee_mois string",
+    "mrt_dim_entrepots": "id_entrepot bigint, localisation string, capacite_max bigint, volume_stocke bigint, "
+    "taux_remplissage double, temperature_moyenne_entrepot double",
+    "mrt_fct_posts": "id_post bigint, date_post date, canal_social string, volume_mentions bigint, "
+    "sentiment_global string, contenu_post string",
+    "mrt_fct_commandes": "id_commande bigint, id_client bigint, id_entrepot_depart bigint, date_commande date, "
+    "statut_commande string, mode_de_paiement string, numero_tracking string, date_livraison_estimee date, "
+    "emballage_special boolean, id_produit string, quantite bigint, prix_unitaire_avant_promotion double, "
+    "montant_commande_avant_promotion double, id_promotion string, promotion_oui_non boolean, type_promotion string, "
+    "valeur_promotion double, montant_commande_apres_promotion double",
+}
+_TABLE_COLUMNS = {name: [tuple(c.split()) for c in listed.split(", ")] for name, listed in _TABLES.items()}
 
 
-@query("daily_job_tables", _row_counts_sql((n, n) for n in _TABLES))
+@query("daily_job_tables", " UNION ALL ".join(_content_sql(n, columns, n) for n, columns in _TABLE_COLUMNS.items()))
 def daily_job(data: Data):
-    """The daily job writes every table model after its checks; rows per written table."""
+    """The daily job writes every table model after its checks; content of every column of every written table."""
     store = new_path(data.spark, "store")
     run_daily(data.spark, data.raw, store, calendar=None)
-    return _row_counts({name: read_table(data.spark, f"{store}/{name}") for name in _TABLES})
+    tables = Store(data.spark, store).current()
+    return reduce(DataFrame.unionByName, [_content(n, tables.table(n), columns) for n, columns in _TABLE_COLUMNS.items()])
 
 
 @query("daily_job_fact", MODEL_SQL["mrt_fct_commandes"])
@@ -200,7 +293,40 @@ def daily_fact(data: Data):
     """The order fact as the daily job left it in the store."""
     store = new_path(data.spark, "store")
     run_daily(data.spark, data.raw, store, calendar=None)
-    return read_table(data.spark, f"{store}/mrt_fct_commandes").drop(cleaning.POSITION)
+    return Store(data.spark, store).table("mrt_fct_commandes")
+
+
+@query(
+    "daily_job_months",
+    """SELECT c.id_commande, c.date_commande, c.id_produit, c.quantite, s.note_client
+        FROM mrt_fct_commandes c LEFT JOIN mrt_fct_satisfaction s ON c.id_commande = s.id_commande
+        WHERE c.date_commande BETWEEN DATE '1995-02-10' AND DATE '1995-05-20'""",
+)
+def daily_months(data: Data):
+    """Orders of some months with their notes, from a store laid out for large tables: only the months' folders of the
+    fact are read, and orders and notes meet in their buckets."""
+    store = new_path(data.spark, "store")
+    run_daily(data.spark, data.raw, store, calendar=None, layout_bytes=0)
+    tables = Store(data.spark, store).current()
+    orders = orders_between(tables.table("mrt_fct_commandes"), "1995-02-10", "1995-05-20")
+    notes = tables.table("mrt_fct_satisfaction").select("id_commande", "note_client")
+    return orders.select("id_commande", "date_commande", "id_produit", "quantite").join(notes, "id_commande", "left")
+
+
+@query(
+    "daily_job_second_run",
+    """SELECT (SELECT count(*) FROM mrt_fct_commandes) AS commandes, count(*) AS lignes_lues,
+        CAST(sum(l_orderkey) AS BIGINT) AS somme FROM (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 1)""",
+)
+def second_run(data: Data):
+    """A reader keeps the version that it resolved while another run replaces all tables."""
+    store = Store(data.spark, new_path(data.spark, "store"))
+    with store.new_version() as first:
+        first.write("lignes", data.table("lineitem").where("l_linenumber = 1").select("l_orderkey"))
+    reader = store.current().table("lignes")
+    run_daily(data.spark, data.raw, store.root, calendar=None)
+    fact = store.table("mrt_fct_commandes").agg(rows().alias("commandes"))
+    return fact.crossJoin(F.broadcast(reader.agg(rows().alias("lignes_lues"), F.sum("l_orderkey").alias("somme"))))
 
 
 @query(
@@ -271,7 +397,7 @@ _PRODUCT_SALES = f"""(SELECT genre, id_produit, CAST(sum(quantite) AS BIGINT) AS
 
 @query(
     "pattern_median_segmentation",
-    _segments("genre, id_produit", "genre", FOUR, "segment").replace(" AS INT", " AS INT"),
+    _segments("genre, id_produit", "genre", FOUR, "segment"),
 )
 def distributed_segmentation(data: Data):
     """Segmentation by gender with ranks and medians read off value positions, no whole group in a task."""
