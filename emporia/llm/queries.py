@@ -24,6 +24,7 @@ from emporia.llm import (
     url_filter,
 )
 from emporia.llm.common import pick
+from emporia.sources.shared import job_folder, new_path, written
 
 # Verdict, host and path of each rule.
 URL_RULES = [
@@ -101,6 +102,17 @@ def op13_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.lm_scores(_table(spark, folder, "documents"))
 
 
+def _tidy(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with its result as a table, and without what it wrote on the way."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_path(spark, make.__name__)
+        with job_folder(spark):
+            return written(make(spark, folder), make.__name__, path)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [
         op1_exact_dedup,
@@ -117,7 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op12_hard_negatives,
         op13_lm_score,
     ]
-    return {f.__name__: f for f in made}
+    return {f.__name__: _tidy(f) for f in made}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,7 +3,8 @@
 The URLs with a verdict by rule train two smoothed Markov models of variable order, one of accepted and one of
 rejected URLs. A character's chance after a context interpolates its count there with its chance after the context
 that is one character shorter, down to an even chance. A URL's score is the mean log-likelihood difference per
-character; the threshold is the one that errs least on the URLs with a rule, both classes weighing alike.
+character. The models learn from one half of the URLs with a rule, told by a hash; the threshold is the one that errs
+least on the other half, which they never saw, both classes weighing alike.
 
 Everything is DataFrame work: equal URLs are counted before they are cut into characters, n-grams are added up before
 each shuffle, and the models stay tables that are joined on the n-gram.
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import lower_ascii, pick
+from emporia.llm.common import lower_ascii, pick, shuffle_partitions
 from emporia.sources.shared import written
 
 #: Characters of context at most.
@@ -45,7 +46,8 @@ def _fits(host: Column, path: Column, rule: Rule) -> Column:
 def ruled(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """``page_id, host, path, rule, ruling``: the longest rule that fits, null without one.
 
-    A rule is (verdict, host, path); it fits its host and all subdomains when the URL's path starts with its own.
+    A rule is (verdict, host, path); it fits its host and all subdomains when the URL's path starts with its own. Of
+    rules of equal length that fit, the later one in the list wins.
     """
     host, path = split_url(F.col("url"))
     parts = pick(pages, "page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
@@ -66,6 +68,21 @@ def _grams(urls: DataFrame, size: int) -> DataFrame:
     )
 
 
+def learned(urls: DataFrame) -> DataFrame:
+    """``urls`` with the label counts of the half that is learned from; those of the other half are zero."""
+    return _half(urls, 0)
+
+
+def kept_back(urls: DataFrame) -> DataFrame:
+    """``urls`` with the label counts of the half that the models never see."""
+    return _half(urls, 1)
+
+
+def _half(urls: DataFrame, half: int) -> DataFrame:
+    inside = F.pmod(F.xxhash64(F.lit("half"), "key"), F.lit(2)) == half
+    return urls.withColumns({f"n_{c}": F.when(inside, F.col(f"n_{c}")).otherwise(F.lit(0)) for c in CLASSES})
+
+
 def train(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, ratio``: the log-likelihood difference of each n-gram's last character after the others.
 
@@ -109,8 +126,8 @@ def scored(urls: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
 def calibrated(scores: DataFrame) -> DataFrame:
     """``threshold``, one row: URLs that score below it are blocked.
 
-    Of all steps the one with the smallest sum of both classes' error rates, the lowest among equals. Without
-    labelled URLs of both classes it is 0.
+    Of all steps the one with the smallest sum of both classes' error rates, the lowest among equals; ``scores`` has
+    ``score, n_allow, n_block``. Without labelled URLs of both classes it is 0.
     """
     reach = F.least(F.greatest(F.col("score"), F.lit(-REACH)), F.lit(REACH))
     steps = scores.groupBy(F.floor(reach / STEP).alias("step")).agg(*[F.sum(f"n_{c}").alias(f"n_{c}") for c in CLASSES])
@@ -131,17 +148,19 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
 
     The verdict is the rule's, else ``block`` where the score lies below the calibrated threshold and ``allow``
     elsewhere. Models read host and path; null URLs have neither and are scored as an empty URL. Repeated rows each
-    appear, and an empty table gives no rows.
+    appear, and an empty table gives no rows. A URL may be of any length: it makes a row for each character, and only
+    equal n-grams are ever added up together.
     """
     held = ruled(pages, rules)
     key = F.concat("host", "path")
     urls = held.groupBy(key.alias("key")).agg(
         *[F.sum(F.when(F.col("ruling") == c, 1).otherwise(0)).alias(f"n_{c}") for c in CLASSES]
     )
-    urls = written(urls, "urls")
-    scores = written(scored(urls, train(urls)), "url-scores")
+    # dealt out by number, since a small table would come to one task with all its characters
+    urls = written(urls.repartition(shuffle_partitions(urls), "key"), "urls")
+    scores = written(scored(urls, train(learned(urls))), "url-scores")
     with_score = held.withColumn("key", key).join(scores.select("key", "score"), "key")
     method = F.when(F.col("score") < F.col("threshold"), "block").otherwise("allow")
-    return with_score.crossJoin(F.broadcast(calibrated(scores))).select(
+    return with_score.crossJoin(F.broadcast(calibrated(kept_back(scores)))).select(
         "page_id", "host", "path", "rule", F.coalesce("ruling", method).alias("verdict"), "score"
     )

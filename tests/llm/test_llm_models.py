@@ -70,6 +70,58 @@ def test_language_of_odd_texts(spark):
     assert [r.lang_pred != "und" for r in langid.identify(alien, model).orderBy("doc_id").collect()] == [True, True, False]
 
 
+def test_numbers_have_no_language(spark):
+    model = langid.train(_table(spark, "documents"))
+    texts = ["½ ²", "①②③", "Ⅷ Ⅳ", "٣٤", "12", "ⅷ x"]
+    rows = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    assert [r.lang_pred == "und" for r in rows.orderBy("doc_id").collect()] == [True] * 5 + [False]
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    rows = [(i, f"text {i}", f"l{i % 5}") for i in range(40)]
+    with pytest.raises(ValueError, match="more than 3"):
+        langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+
+def _grams_of(word, sizes):
+    held, out = f" {word} ", []
+    for n in sizes:
+        out += [held[i : i + n] for i in range(len(held) - n + 1) if n > 1 or held[i] != " "]
+    return out
+
+
+def _hash_of(gram):
+    """The hash of one n-gram by its definition, with plain whole numbers."""
+    step, mix, mask = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 2**64 - 1
+    h = len(gram)
+    for c in gram:
+        h = (h * step + ord(c)) & mask
+    h = ((h ^ h >> 29) * mix) & mask
+    return h ^ h >> 32
+
+
+def test_languages_by_sets_of_grams(spark):
+    """Every n-gram looked up in plain filters, one Python set of rows for each language."""
+    model = langid.train(_table(spark, "documents"))
+    rows = len(model.rows)
+    full = [{r for r in range(rows) if model.rows[r, i // 64] >> np.uint64(i % 64) & np.uint64(1)} for i in range(len(model.languages))]
+    texts = [r.text for r in _table(spark, "documents").orderBy("doc_id").limit(60).collect()] + ["Straße ½ 数字", "x", "a b"]
+    found = langid.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    for r, text in zip(found.orderBy("doc_id").collect(), texts, strict=True):
+        total, has = 0, [0] * len(full)
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            for gram in _grams_of(word, langid.SIZES):
+                h = _hash_of(gram)
+                places = [((h + i * ((h >> 32) | 1)) & (2**64 - 1)) % rows for i in range(langid.HASHES)]
+                total += 1
+                for i, held in enumerate(full):
+                    has[i] += all(p in held for p in places)
+        real = [max(0.0, (n - total * p) / (1 - p)) for n, p in zip(has, model.false_positive, strict=True)]
+        best = max(range(len(real)), key=lambda i: (real[i], -i)) if max(real) > 0 else model.prior
+        assert r.lang_pred == model.languages[best] and r.score == pytest.approx(min(1.0, real[best] / total), abs=1e-9)
+
+
 def test_languages_without_anything_to_learn(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert langid.identify(empty).count() == 0
@@ -111,6 +163,22 @@ def test_misspelt_words_share_vectors():
     assert score(plain[1] + " disgustingg") > 0.5 > score(plain[1] + " zebra")
 
 
+def test_toxicity_by_plain_averages(spark, toxic_model):
+    """Every word's n-gram vectors averaged, the words averaged, and the softmax, one number at a time."""
+    texts = [r.text for r in _table(spark, "documents").orderBy("doc_id").limit(40).collect()] + ["", "idiot scum", "x_1 ½"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = toxicity.toxicity(rows, spark.createDataFrame([], "doc_id long, toxic int"), toxic_model)
+    for r, text in zip(found.orderBy("doc_id").collect(), texts, strict=True):
+        words = re.findall(r"[^\W_]+", text.lower())
+        document = np.zeros(toxicity.DIMENSIONS)
+        for word in words:
+            grams = [_hash_of(g) % toxicity.BUCKETS for g in _grams_of(word, toxicity.SIZES)]
+            document += np.mean([toxic_model.vectors[b] for b in grams], axis=0) / len(words)
+        logits = toxicity.SCALE * document @ toxic_model.weights + toxic_model.bias
+        chance = 1 / (1 + math.exp(logits[0] - logits[1]))
+        assert r.score == pytest.approx(chance, abs=1e-4) and r.predicted == int(r.score >= 0.3)
+
+
 def test_toxicity_of_odd_texts(spark, toxic_model):
     rows = toxicity.toxicity(with_clashes(documents(spark, FOLDER, 20)), _table(spark, "labels"), toxic_model).collect()
     empty = {r.score for r in rows if r.doc_id in (900001, 900002, 900003)}
@@ -205,6 +273,57 @@ def test_choices_never_contradict():
         assert best >= 0
 
 
+def test_choices_are_the_best_of_all():
+    """On small trees, of all sets of blocks that are closed towards the root none has higher odds."""
+    rng = np.random.default_rng(8)
+    for html in ("<div><p>a</p><div><p>b</p>c</div></div>", "<ul><li>a<li>b<li>c</ul><p>d", "<div><div><div>x</div></div></div>y"):
+        page = parse(html)
+        n = len(page.blocks)
+        for _ in range(30):
+            odds = rng.normal(0, 1, n).tolist()
+            best = max(
+                sum(odds[i] for i in range(1, n) if bits >> i & 1)
+                for bits in range(1, 1 << n, 2)
+                if all(bits >> page.blocks[i].parent & 1 for i in range(1, n) if bits >> i & 1)
+            )
+            chosen = html_extract.choose(page, odds)
+            assert sum(odds[i] for i in chosen if i) == pytest.approx(best)
+
+
+HOSTILE = ['<a "', '<a x="', "<a x='", "<", "<!", "<!--", "</x>", "<div>", "<div></x>", "<svg>", "<svg></math>", "&#9", "<p",
+           "<p class=", '="', '<a b=" "', "&", "<object></video>", "<a b='\"'", "<![CDATA[", '<p id=" class']
+
+
+@pytest.mark.parametrize("part", HOSTILE)
+def test_hostile_pages_take_linear_time(part):
+    import time
+
+    for html in ((part * 1_000_000)[:1_000_000], "<div>" * 100 + (part * 1_000_000)[:1_000_000] + ">\"'-->"):
+        began = time.process_time()
+        page = parse(html)
+        html_extract.choose(page, [1.0] * len(html_extract.features(page)[0]))
+        assert time.process_time() - began < 12  # some seconds at most; a quadratic reader takes hours
+
+
+@pytest.mark.parametrize(
+    ("html", "texts"),
+    [
+        ("<article><p>one</p><video src=x><p>two</p>", ["one", "two"]),
+        ("<object><object>a</object> leak</object><p>b", ["b"]),
+        ("<p>a <svg><text>x</text></svg> b</p>", ["a b"]),
+        ("<svg><math></svg>after</math>", ["after"]),
+        ("<canvas><audio>x</canvas>y", ["y"]),
+        ("<p>a<script>x</p>y", ["a"]),
+        ("<a title='x>y'>t</a>", ["t"]),
+        ('x <a href="q>r', ["x r"]),
+        ("x <b and no end", ["x"]),
+        ("&#000065;&#x41;&#" + "9" * 6000 + ";", ["AA\ufffd"]),
+    ],
+)
+def test_silent_elements_and_broken_tags(html, texts):
+    assert parse(html).texts == texts
+
+
 def _under(page, j, i):
     while j > 0:
         if j == i:
@@ -256,8 +375,14 @@ def _ruling(url):
     return host, path, best and best[1] + best[2], best and best[0]
 
 
-def _scores(urls):
-    """Interpolated Markov models of both classes over host and path, from plain counts."""
+def _halves(spark, urls):
+    keys = sorted({"".join(_ruling(u)[:2]) for u in urls})
+    rows = spark.createDataFrame([(k, 1, 1) for k in keys], "key string, n_allow int, n_block int")
+    return {r.key: r.n_allow for r in url_filter.learned(rows).collect()}
+
+
+def _scores(urls, half):
+    """Interpolated Markov models of both classes over host and path, from plain counts of the half to learn from."""
     order, weight = url_filter.ORDER, url_filter.SMOOTHING
     counts = {c: defaultdict(Counter) for c in url_filter.CLASSES}
     keys = []
@@ -265,7 +390,7 @@ def _scores(urls):
         host, path, _, ruling = _ruling(url)
         key = host + path
         keys.append((key, ruling))
-        if ruling:
+        if ruling and half[key]:
             held = url_filter.BEGIN * order + key + url_filter.END
             for i in range(order, len(held)):
                 for size in range(order + 1):
@@ -285,7 +410,7 @@ def _scores(urls):
         ]
         out[key] = sum(ratios) / len(ratios)
     step = {k: math.floor(round(v, 6) / url_filter.STEP) for k, v in out.items()}
-    allow, block = ([step[k] for k, r in keys if r == c] for c in url_filter.CLASSES)
+    allow, block = ([step[k] for k, r in keys if r == c and not half[k]] for c in url_filter.CLASSES)
     best = 0
     if allow and block:
         tried = {s: sum(x < s for x in allow) / len(allow) + sum(x >= s for x in block) / len(block) for s in set(allow + block + list(step.values()))}
@@ -298,7 +423,7 @@ def test_url_filter(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
     pages = pages.union(spark.createDataFrame([(70000 + i, u) for i, u in enumerate(odd + odd[:3])], "page_id long, url string"))
     given = {r.page_id: r.url for r in pages.collect()}
-    scores, threshold = _scores(list(given.values()))
+    scores, threshold = _scores(list(given.values()), _halves(spark, given.values()))
     rows = url_filter.judge(pages.selectExpr("*", "'x' AS HOST", "'y' AS rule", "'z' AS URL2"), URL_RULES).collect()
     assert len(rows) == len(given)
     for r in rows:
@@ -309,6 +434,30 @@ def test_url_filter(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
 
 
+def test_url_models_on_urls_they_never_saw(spark):
+    """The models learn from a half of the URLs with a rule; on the other half both classes are told apart."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    held = {r.page_id: r.url for r in pages.collect()}
+    half = _halves(spark, held.values())
+    rows = [(r, *_ruling(held[r.page_id])) for r in url_filter.judge(pages, URL_RULES).collect()]
+    seen = {c: [] for c in url_filter.CLASSES}
+    unruled = [r for r, *_, ruling in rows if ruling is None]
+    cut = (max(r.score for r in unruled if r.verdict == "block") + min(r.score for r in unruled if r.verdict == "allow")) / 2
+    for r, host, path, _, ruling in rows:
+        if ruling and not half[host + path]:
+            seen[ruling].append((r.score < cut) == (ruling == "block"))
+    assert min(map(len, seen.values())) > 30
+    assert all(np.mean(x) > 0.8 for x in seen.values()), {c: np.mean(x) for c, x in seen.items()}
+
+
+def test_very_long_urls_and_ties_of_rules(spark):
+    rules = [("allow", "a.org", "/x/"), ("block", "a.org", "/x/"), ("block", "b.org", "/"), ("allow", "b.org", "/")]
+    rows = [(1, "http://a.org/x/1"), (2, "http://b.org/y"), (3, "http://c.org/" + "long/" * 20_000), (4, "http://c.org/z")]
+    found = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules)
+    got = {r.page_id: (r.verdict, len(r.path)) for r in found.collect()}
+    assert got[1][0] == "block" and got[2][0] == "allow" and got[3][1] == 100_001 and len(got) == 4
+
+
 def test_url_filter_stays_in_the_engine(spark):
     plan = url_filter.judge(_table(spark, "pages"), URL_RULES)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

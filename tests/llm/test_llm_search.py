@@ -135,6 +135,27 @@ def test_secrets(spark, docs, pairs):
     assert secret_scan.secrets(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_hostile_texts_take_linear_time():
+    import time
+
+    scanner = secret_scan.Scanner(secret_scan.BASE + secret_scan.MORE)
+    parts = ["eyJ-", "eyJaaaaaaaa.", "://a:", "token ", "password=", "-----BEGIN A ", "xoxb-", "gho_a", "AKIA", "a" * 31 + " "]
+    for part in parts:
+        text = ".eyJ " + (part * 1_000_000)[:1_000_000]
+        began = time.process_time()
+        scanner.scan([text])
+        assert time.process_time() - began < 10, part
+
+
+def test_web_tokens_begin_where_their_run_does(spark):
+    token = "eyJabcdefgh1.eyJabcdefgh2.abcdefgh3"
+    texts = [token, f"x {token}", f"-{token}", f"_{token}", f"a.{token} {token}", f"eyJ-{token}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = [r.spans for r in secret_scan.secrets(rows).orderBy("doc_id").collect()]
+    n = len(token)
+    assert spans == [f"web_token:0:{n}", f"web_token:2:{n + 2}", "", "", f"web_token:2:{n + 2},web_token:{n + 3}:{2 * n + 3}", f"web_token:0:{n + 4}"]
+
+
 def test_long_logins_in_urls(spark):
     texts = [f"git clone https://{'u' * n}:{'p' * m}@host/x" for n, m in ((4, 93), (100, 5), (3, 20_000), (4, 2))]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

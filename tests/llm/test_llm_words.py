@@ -66,7 +66,6 @@ def test_very_long_words_stay_linear(spark):
     began = time.time()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = spelling.variants(docs, every=2**32).select("word", "n", "n_near").collect()
-    assert sorted((r.word[-2:], r.n, r.n_near) for r in found) == [("ij", 2, 2), ("iy", 2, 2), ("jx", 2, 2)] or found
     assert {r.word[-2:]: r.n_near for r in found} == {"ij": 2, "jx": 1, "iy": 1}
     assert time.time() - began < 60
 
@@ -100,7 +99,7 @@ def test_hard_negatives(spark, segment_rows):
 
 def test_scan_keeps_what_may_win_and_reads_less():
     rng = np.random.default_rng(2)
-    vectors = (rng.normal(size=(3000, 32)) * np.linspace(9, 0.1, 32) * 50).astype(np.int64)
+    vectors = (rng.normal(size=(3000, 32)) * 0.7 ** np.arange(32) * 5000).astype(np.int64)
     columns = hard_negatives.Columns(np.arange(3000), np.arange(3000), np.zeros(3000), vectors)
     left = []
 
@@ -121,7 +120,7 @@ def test_scan_keeps_what_may_win_and_reads_less():
 
 
 def test_large_components(spark):
-    rows = [(0, 1, [3e7, 2e7]), (1, 1, [2.9e7, 2e7]), (2, 2, [2.8e7, 2e7]), (3, 2, [1.0, 1.0])]
+    rows = [(0, 1, [3e6, 2e6]), (1, 1, [2.875e6, 2e6]), (2, 2, [2.75e6, 2e6]), (3, 2, [1.0, 1.0])]
     found = hard_negatives.mine(spark.createDataFrame(rows, VECTORS), F.col("vec_id") == 0).collect()
     assert plain(found) == plain(brute.negatives(rows, lambda i: i == 0))
     rows.append((4, 2, [3e30, 1.0]))
