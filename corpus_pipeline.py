@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages, each an operator of ``emporia.llm``, written and read again between them."""
+"""The corpus pipeline: five stages, each an operator of ``emporia.llm``, written and read again between them.
+
+All stages take documents with any columns beside ``doc_id, text, lang, source``, whatever their names, and give back
+those columns. Null texts count as empty, rows may repeat and ids may be missing, and an empty table stays empty. A very
+long text is one row like any other; what each stage holds of it says the docstring of its operator.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emporia.llm import decontaminate, langid, line_dedup, mixing, simhash
-from emporia.sources.shared import written
+from emporia.llm.common import shuffle_partitions
+from emporia.sources.shared import job_folder, new_path, remove, written
+
+#: Languages that stay; ``None`` stands for all that the documents teach.
+LANGUAGES: tuple[str, ...] | None = None
+#: Least share of a text's n-grams that its language's filter has to contain. Texts of the learned languages have 0.5 and
+#: more, texts of other languages or scripts and random letters next to nothing.
+MIN_SCORE = 0.3
+#: Rows that repeat are made from one in parts of so many.
+_REPEATS = 1000
 
 
 def document_key(doc_id: Column, version: Column) -> Column:
@@ -39,15 +53,35 @@ class _Rows:
         return self.back(rows)
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: null texts and those without a letter go."""
+def language_id(
+    spark: SparkSession,
+    docs: DataFrame,
+    sf_dir: str,
+    languages: tuple[str, ...] | None = LANGUAGES,
+    min_score: float = MIN_SCORE,
+) -> DataFrame:
+    """Documents in one of ``languages`` with a score of at least ``min_score``; a missing ``lang`` gets the prediction.
+
+    Null and empty texts and those without a letter go. The filters learn from the documents with a ``lang`` that are
+    not held out. Where there are none nothing tells languages apart, and all texts with a letter stay.
+    """
     rows = _Rows(docs)
-    predict = langid.predictor(langid.train(docs))
-    return rows.back(rows.held.filter(predict(rows.name("text"))["lang_pred"] != langid.UNKNOWN))
+    text, lang = rows.name("text"), rows.name("lang")
+    model = langid.train(docs)
+    if not model.languages:
+        return rows.back(rows.held.filter(F.col(text).rlike("\\p{L}")))
+    told = rows.held.withColumn("_told", langid.predictor(model)(text))
+    wanted = [x for x in model.languages if languages is None or x in languages]
+    kept = told.filter(F.col("_told.lang_pred").isin(wanted) & (F.col("_told.score") >= min_score))
+    return rows.back(kept.withColumn(lang, F.coalesce(lang, "_told.lang_pred")))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that at least ten documents share."""
+    """Documents without the lines that at least ten documents share.
+
+    Empty lines are no lines to count, so a null or empty text stays as it is. Rows without an id count as one document;
+    rows that repeat lose the same lines and all stay. A document may end up empty.
+    """
     rows = _Rows(docs)
     bitmaps = line_dedup.line_bitmaps(docs, min_docs=10, min_chars=1)
     bitmaps = bitmaps.select(document_key(F.col("doc_id"), F.col("version")).alias("_key"), F.col("keep_bits").alias("_bits"))
@@ -57,7 +91,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Texts without words are one group. Of rows that repeat one stays; rows without an id go before those with one only
+    where a group has no other.
+    """
     rows = _Rows(docs)
     stay = simhash.representatives(docs, shingle_words=3, distance=2)
     stay = stay.select(document_key(F.col("doc_id"), F.col("version")).alias("_key"))
@@ -66,7 +104,11 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the passages cut out that they share with the benchmark."""
+    """Documents with the passages cut out that they share with the benchmark.
+
+    Every document stays, a null text as it is; one that is nothing but a passage becomes empty. Rows that repeat are cut
+    alike. With an empty benchmark nothing changes.
+    """
     rows = _Rows(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     text = rows.name("text")
@@ -75,25 +117,34 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their words, their source's target and the words taken of each."""
+    """The documents that the mix takes, with their words, their source's target and the words taken of each.
+
+    Documents without words go, as the mix takes none of them. A null source is a source. Rows that repeat are separate
+    documents of the mix: as many of them stay as it takes, each with its own words taken.
+    """
     rows = _Rows(docs)
     source = F.col(rows.name("source"))
-    key = F.concat_ws(":", "_key", F.coalesce(F.concat(F.lit("s"), source), F.lit("-")))
+    by_source = lambda key, name: F.concat_ws(":", key, F.coalesce(F.concat(F.lit("s"), name), F.lit("-")))
     mixed = mixing.mix(docs, weights=(1, 2, 3), repeats=3).filter(F.col("taken") > 0)
-    of = document_key(F.col("doc_id"), F.col("version"))
-    mixed = mixed.withColumn("_key", F.concat_ws(":", of, F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))))
-    # rows that repeat are alike, so the first of them gets the first of their shares, and so on
-    shares = mixed.groupBy("_key").agg(
-        F.sort_array(F.collect_list("taken"), asc=False).alias("_shares"),
-        F.first("size").alias("_size"),
-        F.first("source_size").alias("_source_size"),
-        F.first("target").alias("_target"),
-    )
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
-    joined = rows.keyed().withColumn("_key", key).join(shares, "_key").withColumn("_nth", nth)
-    served = joined.filter(F.col("_nth") <= F.size("_shares")).withColumn("_taken", F.element_at("_shares", F.col("_nth")))
-    more = ["_size", "_source_size", "_target", "_taken"]
-    return served.select(*rows.held.columns, *more).toDF(*rows.names, "size", "source_size", "target", "taken")
+    key = by_source(document_key(F.col("doc_id"), F.col("version")), F.col("source"))
+    shares = mixed.groupBy(key.alias("_key"), "size", "source_size", "target", "taken").agg(F.count(F.lit(1)).alias("_rows"))
+    # equal rows may be taken differently: a key has a share for each number of copies and one that the budget cut
+    several = Window.partitionBy("_key")
+    shares = written(shares.withColumn("_all", F.sum("_rows").over(several)), "shares")
+    more = ["size", "source_size", "target", "taken"]
+    renamed = {c: f"_{c}" for c in more}
+    keyed = rows.keyed().withColumn("_key", by_source(F.col("_key"), source))
+    once = shares.filter(F.col("_all") == 1).withColumnsRenamed(renamed)
+    made = keyed.join(once, "_key").select(*rows.held.columns, *renamed.values())
+    repeated = shares.filter(F.col("_all") > 1)
+    if not repeated.isEmpty():
+        # one row stands for all that are equal to it and is made again as often as the mix takes it, part by part
+        parts = repeated.withColumn("_first", F.explode(F.sequence(F.lit(0), F.col("_rows") - 1, F.lit(_REPEATS))))
+        parts = parts.withColumn("_n", F.least(F.col("_rows") - F.col("_first"), F.lit(_REPEATS))).withColumnsRenamed(renamed)
+        dealt = keyed.dropDuplicates(["_key"]).join(parts, "_key").repartition(shuffle_partitions(docs), "_key", "_first")
+        again = dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+        made = made.unionByName(again.select(*made.columns))
+    return made.select(*rows.held.columns, *renamed.values()).toDF(*rows.names, *more)
 
 
 STAGES = [
@@ -110,8 +161,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's rows are written and read again as the next one's."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; every stage's rows are written and read again as the next one's.
+
+    What a stage writes on its way goes when its rows are written, and those go when the next stage's are.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with job_folder(spark):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
