@@ -3,8 +3,8 @@
 Every source is a queue of its documents in shuffled order, up to ``repeats`` times over. A copy's virtual finish
 time is its source's words up to its end divided by the source's target, which is the source's weight in the queue.
 The copies of all sources are sorted by finish time in ranges and served until the budget, the words of all documents,
-is used up; the copy in service then is cut there. Nothing else bounds a source: that each ends within a document of
-its target follows from the order alone.
+is used up; the copy in service then is cut there. Nothing else bounds a source: that each ends near its target, no
+further off than the longest document, follows from the order alone.
 
 Queues are long (one source may have a third of all rows), so no task holds one: the shuffle order is a hash of id,
 text and a number that tells equal rows apart, rows are dealt out by ranges of it, and running sums are those within
@@ -129,10 +129,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3)
 
     ``size`` counts the words (null text: none); ``target`` is the number of words asked of the row's source, and
     ``taken`` the words that the mix takes of the row, repeats counted, at most ``repeats`` times its size. All taken
-    words together are the words of the table, and each source's are within a document of its target. Rows that repeat
-    are separate documents; a null source is a source. With nothing but empty texts all targets are zero, and an empty
-    table gives no rows. A very long text is one document, so its source may be that far from its target. The same
-    rows give the same mix in every run.
+    words together are the words of the table, and each source's differ from its target by the longest document at
+    most. Rows that repeat are separate documents; a null source is a source. With nothing but empty texts all targets
+    are zero, and an empty table gives no rows. A very long text is one document, which is served whole or cut where the
+    budget ends. The same rows give the same mix in every run.
     """
     queue = queues(docs)
     sizes = queue.groupBy("source").agg(F.sum("size").alias("source_size"))
