@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporia.operators.joins import lookup
 from emporia.operators.ranking import value_positions
+from emporia.sources.shared import written
 
-MAX_CATEGORIES = 1000
+def dictionary(df: DataFrame, column: str) -> DataFrame:
+    """``value, place`` of the distinct present values, numbered from 0 in sorted order; a written table of any size."""
+    values = df.select(F.col(column).alias("value")).dropna().distinct()
+    return written(value_positions(values, "value").select("value", F.col("_below").cast("long").alias("place")), "dictionary")
 
 
-def categories_of(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values; more than ``limit`` of them is an error, so the list is bounded."""
-    rows = df.select(column).dropna().distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(row[0] for row in rows)
+def one_hot(df: DataFrame, column: str, values: Sequence[str], *, drop_first: bool = False) -> tuple[DataFrame, list[str]]:
+    """0/1 columns ``column_value`` for the given values; a missing value, and any other, is zero in all of them.
 
-
-def one_hot(
-    df: DataFrame, column: str, *, drop_first: bool = False, values: list[str] | None = None
-) -> tuple[DataFrame, list[str]]:
-    """0/1 columns ``column_value`` in sorted value order; a missing value is zero in all of them."""
-    values = categories_of(df, column) if values is None else values
-    kept = values[1:] if drop_first else values
+    For a few values that the caller knows. :func:`one_hot_vectors` takes as many as the data have.
+    """
+    kept = list(values)[1:] if drop_first else list(values)
     names = [f"{column}_{value}" for value in kept]
     coded = {
         name: F.coalesce((F.col(column) == value).cast("int"), F.lit(0)) for name, value in zip(names, kept)
@@ -33,6 +32,25 @@ def one_hot(
     return df.withColumns(coded).drop(column) if coded else df.drop(column), names
 
 
+def one_hot_vectors(
+    df: DataFrame, column: str, output: str, held: DataFrame | None = None, *, drop_first: bool = False
+) -> DataFrame:
+    """A sparse 0/1 vector ``output`` in the order of the dictionary ``held``, which is made where none is given.
+
+    A missing value, and one that the dictionary does not have, is all zeros; with ``drop_first`` so is the first one.
+    """
+    held = dictionary(df, column) if held is None else held
+    size = (held.agg(F.max("place")).first()[0] or 0) + (0 if drop_first else 1) if not held.isEmpty() else 0
+    if drop_first:
+        held = held.where(F.col("place") > 0).withColumn("place", F.col("place") - 1)
+    coded = lookup(df, held.toDF(column, "_place"), column, "left")
+    # the category after the last one is dropped by the encoder, so it stands for no value
+    coded = coded.withColumn("_place", F.coalesce("_place", F.lit(size)).cast("double"))
+    known = df.sparkSession.createDataFrame([(float(size),)], "_place double")
+    encoder = OneHotEncoder(inputCols=["_place"], outputCols=[output], dropLast=True).fit(known)
+    return encoder.transform(coded).select(*df.columns, output)
+
+
 def scaling(train: DataFrame, columns: list[str]) -> DataFrame:
     """One row with the mean and the population standard deviation of each column."""
     return train.agg(

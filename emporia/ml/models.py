@@ -43,6 +43,31 @@ def simple_regression(df: DataFrame, x: str, y: str) -> DataFrame:
     return line.crossJoin(F.broadcast(regression_metrics(fitted, "y")))
 
 
+def independent_columns(df: DataFrame, columns: list[str], least: float = 1e-9) -> tuple[list[str], list[str]]:
+    """The columns in order without those that the ones before them and a constant explain, and these.
+
+    One aggregate makes the covariances of all pairs of columns, a figure for each; they are eliminated column by
+    column, and a column is explained when less than ``least`` of its variance is left.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    figures = numbers.agg(*[F.covar_pop(columns[i], columns[j]).alias(f"c{n}") for n, (i, j) in enumerate(pairs)]).first()
+    held = {pair: figures[n] or 0.0 for n, pair in enumerate(pairs)}
+    left = {(i, j): held[min(i, j), max(i, j)] for i in range(len(columns)) for j in range(len(columns))}
+    kept, dropped = [], []
+    for k, name in enumerate(columns):
+        if left[k, k] <= least * held[k, k] or held[k, k] == 0.0:
+            dropped.append(name)
+            continue
+        kept.append(name)
+        row = [left[k, j] for j in range(len(columns))]
+        for i in range(k + 1, len(columns)):
+            share = left[i, k] / row[k]
+            for j in range(k, len(columns)):
+                left[i, j] -= share * row[j]
+    return kept, dropped
+
+
 def linear_model(train: DataFrame, target: str):
     """Ordinary least squares through the normal equations; features are used as they are."""
     return LinearRegression(
@@ -54,6 +79,7 @@ def coefficient_table(model, names: list[str], train: DataFrame) -> DataFrame:
     """Coefficient and standard error per feature and for the intercept.
 
     Collinear features have no standard errors: the normal equations are singular and the fit is iterative.
+    :func:`least_squares` leaves such features out.
     """
     try:
         errors = list(model.summary.coefficientStandardErrors)
@@ -64,6 +90,23 @@ def coefficient_table(model, names: list[str], train: DataFrame) -> DataFrame:
     return train.sparkSession.createDataFrame(rows, "feature string, coefficient double, std_error double")
 
 
+def least_squares(df: DataFrame, columns: list[str], target: str):
+    """The fit on the independent columns, its features, the table it was fitted on, and the columns that were dropped."""
+    kept, dropped = independent_columns(df.dropna(subset=[*columns, target]), columns)
+    table = feature_table(df, kept, target)
+    return linear_model(table, target), kept, table, dropped
+
+
+def fitted_table(df: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """``feature, coefficient, std_error, dropped``: a dropped column has neither coefficient nor error."""
+    model, kept, table, dropped = least_squares(df, columns, target)
+    found = coefficient_table(model, kept, table).withColumn("dropped", F.lit(False))
+    if not dropped:
+        return found
+    rows = [(name, None, None, True) for name in dropped]
+    return found.unionByName(df.sparkSession.createDataFrame(rows, found.schema))
+
+
 def boosted_trees(train: DataFrame, target: str, *, depth: int = 3, trees: int = 100, rate: float = 0.05):
     return GBTRegressor(
         featuresCol=FEATURES, labelCol=target, maxDepth=depth, maxIter=trees, stepSize=rate, seed=42

@@ -60,7 +60,7 @@ def sample(spark, n=400):
 
 def test_multiple_regression_equals_least_squares(spark):
     df, x, z, y = sample(spark)
-    coded, columns = features.one_hot(df, "z", drop_first=True)
+    coded, columns = features.one_hot(df, "z", ["u", "v", "w"], drop_first=True)
     assert columns == ["z_v", "z_w"]
     names = ["x", *columns]
     table = models.feature_table(coded, names, "y")
@@ -83,12 +83,42 @@ def test_simple_regression_and_metrics(spark):
     assert row["r2"] == pytest.approx(1 - (error**2).sum() / ((y - y.mean()) ** 2).sum())
 
 
-def test_one_hot_missing_value_and_limit(spark):
-    df = spark.createDataFrame([("b",), (None,), ("a",)], "z string")
-    rows = {tuple(r) for r in features.one_hot(df, "z")[0].collect()}
-    assert rows == {(0, 1), (0, 0), (1, 0)}
-    with pytest.raises(ValueError, match="more than 1"):
-        features.categories_of(df, "z", limit=1)
+def test_one_hot_missing_value(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("c",)], "z string")
+    rows = sorted(tuple(r) for r in features.one_hot(df, "z", ["a", "b"])[0].collect())
+    assert rows == [(0, 0), (0, 0), (0, 1), (1, 0)]
+
+
+@pytest.mark.parametrize("drop_first", [False, True])
+def test_one_hot_vectors_of_many_values(spark, drop_first):
+    values = sorted(f"v{i:05}" for i in range(5000))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(5000, None), (5001, "v00007")], "id int, z string")
+    made = features.one_hot_vectors(df, "z", "vector", drop_first=drop_first).collect()
+    assert len(made) == 5002
+    for r in made:
+        place = None if r.z is None else values.index(r.z) - drop_first
+        assert r.vector.size == 5000 - drop_first
+        assert r.vector.indices.tolist() == ([] if place is None or place < 0 else [place])
+    held = features.dictionary(df, "z")
+    assert [tuple(r) for r in held.orderBy("place").limit(2).collect()] == [("v00000", 0), ("v00001", 1)]
+    other = spark.createDataFrame([("unknown",)], "z string")
+    assert features.one_hot_vectors(other, "z", "vector", held).first().vector.numNonzeros() == 0
+    empty = features.one_hot_vectors(df.where("false"), "z", "vector")
+    assert empty.count() == 0
+
+
+def test_collinear_columns_are_named_and_left_out(spark):
+    df, x, z, y = sample(spark)
+    coded, columns = features.one_hot(df, "z", ["u", "v", "w"])
+    coded = coded.selectExpr("*", "3 * x - 1 AS twice", "1.0 AS one", "x + z_v AS sum")
+    names = ["x", *columns, "twice", "one", "sum"]
+    assert models.independent_columns(coded, names) == (["x", "z_u", "z_v"], ["z_w", "twice", "one", "sum"])
+    found = models.fitted_table(coded, names, "y").collect()
+    assert {r["feature"] for r in found if r["dropped"]} == {"z_w", "twice", "one", "sum"}
+    assert all(r["std_error"] > 0 for r in found if not r["dropped"])
+    # large means do not hide what is left of a column's variance
+    shifted = coded.selectExpr("x + 1e6 AS a", "x + 1e6 + z_u * 1e-3 AS b", "y")
+    assert models.independent_columns(shifted, ["a", "b"])[1] == []
 
 
 def test_standardise_uses_train_figures(spark):

@@ -12,6 +12,7 @@ from workload.registry import Data, query
 
 BREAKDOWNS = ["temps_arret_panne", "nb_pannes_machines"]
 VOLUME = "volume_traite"
+COMPLAINTS = ["Delivery", "Price", "Product"]  # fixed values, in the order of their dummies
 _MACHINES = """(SELECT CAST(coalesce(sum(temps_arret) FILTER (etat_machine = 'En panne'), 0) AS BIGINT) AS temps_arret_panne,
     count(*) FILTER (etat_machine = 'En panne') AS nb_pannes_machines, CAST(sum(volume_traite) AS BIGINT) AS volume_traite
     FROM mrt_fct_machines GROUP BY id_machine, id_entrepot, type_machine, annee_mois)"""
@@ -90,10 +91,46 @@ def _satisfaction(data: Data):
         "id_commande", "note_client", "delai_commande", "montant_commande_apres_promotion", "retard_livraison",
         "plainte", "type_plainte",
     )
-    coded, columns = features.one_hot(base, "type_plainte", drop_first=True)
+    coded, columns = features.one_hot(base, "type_plainte", COMPLAINTS, drop_first=True)
     names = ["delai_commande", "montant_commande_apres_promotion", "retard_livraison", "plainte", *columns]
     whole = coded.dropna(subset=["note_client", *names]).withColumns({c: F.col(c).cast("int") for c in names})
-    return whole, names
+    # written, because the rank check, the fit and its summary read it
+    return written(whole, "satisfaction"), names
+
+
+_STUDY = ["delai", "montant", "retard", "plainte", "prix", "produit", "livraison"]
+_STUDY_ROWS = f"""(SELECT * FROM (SELECT CAST(note_client AS DOUBLE) AS y, CAST(delai_commande AS DOUBLE) AS delai,
+    CAST(trunc(montant_commande_apres_promotion) AS DOUBLE) AS montant, CAST(CAST(retard_livraison AS INT) AS DOUBLE) AS retard,
+    CAST(CAST(plainte AS INT) AS DOUBLE) AS plainte, CASE WHEN type_plainte = 'Price' THEN 1.0 ELSE 0.0 END AS prix,
+    CASE WHEN type_plainte = 'Product' THEN 1.0 ELSE 0.0 END AS produit,
+    CASE WHEN type_plainte = 'Delivery' THEN 1.0 ELSE 0.0 END AS livraison
+    FROM ({MODEL_SQL['performance_retard_satisfaction']}))
+    WHERE y IS NOT NULL AND delai IS NOT NULL AND montant IS NOT NULL AND retard IS NOT NULL AND plainte IS NOT NULL)"""
+
+
+def _normal_equations(names: list[str], features_: list[str]) -> str:
+    """Coefficients and standard errors from the centred cross products, eliminated step by step beside the unit matrix."""
+    n = len(names)
+    cross = ", ".join("[" + ", ".join(f"covar_pop({a}, {b})::DOUBLE" for b in names) + "]" for a in names)
+    unit = ", ".join("[" + ", ".join("1.0::DOUBLE" if i == j else "0.0::DOUBLE" for j in range(n)) + "]" for i in range(n))
+    own = ", ".join(f"covar_pop({a}, y)::DOUBLE" for a in names)
+    means = ", ".join(f"avg({a})::DOUBLE" for a in names)
+    listed = ", ".join(f"'{f}'" for f in features_)
+    return f"""WITH RECURSIVE held AS (SELECT * FROM {_STUDY_ROWS}),
+        made AS (SELECT [{cross}] AS c, [{unit}] AS u, [{own}] AS o, [{means}] AS m, avg(y)::DOUBLE AS my, var_pop(y)::DOUBLE AS vy,
+            count(*) AS rows FROM held),
+        steps AS (
+            SELECT 1 AS k, list_transform(list_zip(c, u), lambda r: list_concat(r[1], r[2])) AS a FROM made
+            UNION ALL SELECT k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / a[k][k])
+                ELSE list_transform(list_zip(r, a[k]), lambda p: p[1] - p[2] * r[k] / a[k][k]) END) FROM steps WHERE k <= {n}),
+        inverse AS (SELECT list_transform(a, lambda r: r[{n + 1}:{2 * n}]) AS v FROM steps WHERE k = {n + 1}),
+        fit AS (SELECT *, list_transform(v, lambda r: list_dot_product(r, o)) AS b FROM inverse, made),
+        told AS (SELECT *, (vy - list_dot_product(b, o)) * rows / (rows - {n + 1}) AS s2 FROM fit)
+        SELECT feature, {near('coefficient', 4)} AS coefficient, {near('std_error', 4)} AS std_error FROM (
+            SELECT unnest([{listed}]) AS feature, unnest(b) AS coefficient,
+                unnest(list_transform(v, lambda r, i: sqrt(r[i] * s2 / rows))) AS std_error FROM told
+            UNION ALL SELECT 'const', my - list_dot_product(b, m),
+                sqrt(s2 / rows * (1 + list_dot_product(m, list_transform(v, lambda r: list_dot_product(r, m))))) FROM told)"""
 
 
 _FIT_SQL = f"""WITH l AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, avg(x) AS mx,
@@ -112,19 +149,65 @@ def simple_fit(data: Data):
     return _rounded(models.coefficient_table(fitted, ["delai_commande"], table), "coefficient", "std_error", digits=5)
 
 
-@query("ml_multiple_regression")
+_STUDY_FEATURES = [
+    "delai_commande", "montant_commande_apres_promotion", "retard_livraison", "plainte", "type_plainte_Price",
+    "type_plainte_Product",
+]
+
+
+@query("ml_multiple_regression", f"SELECT * FROM ({_normal_equations(_STUDY[:6], _STUDY_FEATURES)})")
 def multiple(data: Data):
     """Coefficients and standard errors of the satisfaction study."""
     whole, names = _satisfaction(data)
-    table = models.feature_table(whole, names, "note_client")
-    return models.coefficient_table(models.linear_model(table, "note_client"), names, table)
+    fitted = models.fitted_table(whole, names, "note_client").where("NOT dropped").drop("dropped")
+    return _rounded(fitted, "coefficient", "std_error", digits=4)
+
 
+@query(
+    "ml_multiple_regression_collinear",
+    f"""SELECT *, false AS dropped FROM ({_normal_equations(_STUDY[:6], _STUDY_FEATURES)})
+        UNION ALL SELECT unnest(['type_plainte_Delivery', 'deux_delais']), NULL, NULL, true""",
+)
+def multiple_collinear(data: Data):
+    """The study with all dummies, which add up to the complaint flag, and with the delay twice: both are named and left out."""
+    whole, names = _satisfaction(data)
+    whole = whole.withColumns(
+        {
+            "type_plainte_Delivery": F.col("plainte") - F.col("type_plainte_Price") - F.col("type_plainte_Product"),
+            "deux_delais": F.col("delai_commande") * 2 + 1,
+        }
+    )
+    fitted = models.fitted_table(whole, [*names, "type_plainte_Delivery", "deux_delais"], "note_client")
+    return _rounded(fitted, "coefficient", "std_error", digits=4)
 
-@query("ml_multiple_regression_metrics")
+
+@query(
+    "ml_multiple_regression_metrics",
+    f"""WITH b AS (SELECT map_from_entries(list(ROW(feature, coefficient))) AS b FROM ({_normal_equations(_STUDY[:6], _STUDY_FEATURES).replace(', 4)', ', 12)')})),
+        e AS (SELECT y, y - b['const'] - {" - ".join(f"b['{f}'] * {c}" for f, c in zip(_STUDY_FEATURES, _STUDY))} AS e FROM {_STUDY_ROWS}, b)
+        SELECT {near('avg(abs(e))', 4)} AS mae, {near('sqrt(avg(e * e))', 4)} AS rmse,
+            {near('1 - sum(e * e) / (var_pop(y) * count(y))', 4)} AS r2, count(y) AS rows FROM e""",
+)
 def multiple_metrics(data: Data):
     whole, names = _satisfaction(data)
-    table = models.feature_table(whole, names, "note_client")
-    return models.regression_metrics(models.linear_model(table, "note_client").transform(table), "note_client")
+    model, _, table, _ = models.least_squares(whole, names, "note_client")
+    return _rounded(models.regression_metrics(model.transform(table), "note_client"), "mae", "rmse", "r2", digits=4)
+
+
+@query(
+    "ml_one_hot_vectors",
+    """WITH d AS (SELECT l_partkey AS valeur, row_number() OVER (ORDER BY l_partkey) - 1 AS place
+          FROM (SELECT DISTINCT l_partkey FROM lineitem)), t AS (SELECT count(*) AS taille FROM d)
+        SELECT l_orderkey, l_linenumber, CAST(taille - 1 AS INT) AS taille, CASE WHEN place > 0 THEN CAST(place - 1 AS INT) END AS place
+        FROM lineitem JOIN d ON l_partkey = valeur, t""",
+)
+def encoded_products(data: Data):
+    """Every product of the order lines as a sparse vector with a place for each product but the first."""
+    lines = data.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    coded = features.one_hot_vectors(lines, "l_partkey", "vecteur", drop_first=True)
+    told = F.from_json(F.to_json(F.struct("vecteur")), "vecteur struct<size int, indices array<int>, values array<double>>")
+    parts = coded.select("l_orderkey", "l_linenumber", told["vecteur"].alias("v"))
+    return parts.select("l_orderkey", "l_linenumber", F.col("v.size").alias("taille"), F.get("v.indices", F.lit(0)).alias("place"))
 
 
 @query(
@@ -134,7 +217,7 @@ def multiple_metrics(data: Data):
 )
 def encoded(data: Data):
     reviews = data("stg_satisfaction").select("id_satisfaction", "type_plainte")
-    return features.one_hot(reviews, "type_plainte", drop_first=True)[0]
+    return features.one_hot(reviews, "type_plainte", COMPLAINTS, drop_first=True)[0]
 
 
 @query(
@@ -342,7 +425,7 @@ def grid(data: Data):
 def forest(data: Data):
     """Metrics of the forest on the held-out orders."""
     whole, names = _satisfaction(data)
-    train, test = features.split_random(written(whole, "satisfaction"), "id_commande")
+    train, test = features.split_random(whole, "id_commande")
     train, test = (models.feature_table(part, names, "note_client") for part in (train, test))
     return models.regression_metrics(models.random_forest(train, "note_client").transform(test), "note_client")
 
@@ -350,7 +433,7 @@ def forest(data: Data):
 @query("ml_forest_importances")
 def importances(data: Data):
     whole, names = _satisfaction(data)
-    train, _ = features.split_random(written(whole, "satisfaction"), "id_commande")
+    train, _ = features.split_random(whole, "id_commande")
     train = models.feature_table(train, names, "note_client")
     return models.importance_table(models.random_forest(train, "note_client"), names, train)
 
