@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emporia.operators.joins import lookup, null_safe_join
 from emporia.sources.shared import written
@@ -42,6 +43,39 @@ def value_positions(df: DataFrame, value: str, by: Sequence[str] = (), buckets:
     )
 
 
+def shared_positions(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """The positions of several columns in one written table, told apart by ``_measure``, the name of the column.
+
+    Ranks and medians of all these columns read it, so a frame is counted, dealt out and ordered once.
+    """
+    by = list(by)
+    measures = [F.struct(F.lit(c).alias("_measure"), _orderable(df, c).alias("_value")) for c in values]
+    rows = df.select(*by, F.explode(F.array(*measures)).alias("_m")).select(*by, "_m.*")
+    return written(value_positions(rows, "_value", [*by, "_measure"], buckets), "shared")
+
+
+def _orderable(df: DataFrame, column: str) -> Column:
+    """A column as a struct that holds whole numbers and fractions without loss and orders them; NULL for NULL."""
+    kind = df.schema[column].dataType
+    whole = isinstance(kind, T.IntegralType)
+    if not whole and not isinstance(kind, (T.DoubleType, T.FloatType)):
+        raise ValueError(f"{column} is neither a whole number nor a fraction: {kind.simpleString()}")
+    value, none = F.col(column), F.lit(None)
+    held = F.struct(
+        (value if whole else none).cast("bigint").alias("whole"), (none if whole else value).cast("double").alias("real")
+    )
+    return F.when(value.isNotNull(), held)
+
+
+def _positions_of(df: DataFrame, positions: DataFrame | None, value: str, by: list[str]) -> DataFrame:
+    """The positions of one column: read off the shared table, or made for it."""
+    if positions is None:
+        return value_positions(df, value, by)
+    kind = df.schema[value].dataType
+    held = F.col("_value.whole") if isinstance(kind, T.IntegralType) else F.col("_value.real")
+    return positions.where(F.col("_measure") == value).select(*by, held.cast(kind).alias(value), "_n", "_below", "_all")
+
+
 def global_rank(
     df: DataFrame,
     value: str,
@@ -51,19 +85,21 @@ def global_rank(
     rows: int | None = None,
     plain_rows: int = PLAIN_ROWS,
     source: DataFrame | None = None,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Add the descending rank (ties share it, gaps follow) of ``value`` within each group, NULLs last.
 
     With a counted small number of ``rows`` this is the plain window; otherwise ranks are read off the value
     positions, and no task sees a whole group. ``source`` may name a frame with the same groups and values
-    that is cheaper to read again than ``df``, such as the written table that ``df`` was made from.
+    that is cheaper to read again than ``df``, such as the written table that ``df`` was made from, and
+    ``positions`` the shared positions of its columns.
     """
     by = list(by)
     if rows is not None and rows <= plain_rows:
         ordered = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last())
         return df.withColumn(name, F.rank().over(ordered).cast("bigint"))
     known = df if source is None else source
-    ranks = value_positions(known, value, by).select(
+    ranks = _positions_of(known, positions, value, by).select(
         *by, value, (F.col("_all") - F.col("_below") - F.col("_n") + 1).cast("bigint").alias(name)
     )
     missing = known.groupBy(*by).agg(
@@ -81,8 +117,12 @@ def lower_median(
     *,
     rows: int | None = None,
     plain_rows: int = PLAIN_ROWS,
+    positions: DataFrame | None = None,
 ) -> DataFrame:
-    """Lower median of each value column per group, one row per group: ``{column: result name}``."""
+    """Lower median of each value column per group, one row per group: ``{column: result name}``.
+
+    ``positions`` may be the shared positions of the columns.
+    """
     by = list(by)
     if rows is not None and rows <= plain_rows:
         return df.groupBy(*by).agg(
@@ -95,7 +135,7 @@ def lower_median(
     for value, name in values.items():
         middle = F.ceil(F.col("_all") / 2)
         one = (
-            value_positions(df, value, by)
+            _positions_of(df, positions, value, by)
             .where((F.col("_below") < middle) & (middle <= F.col("_below") + F.col("_n")))
             .select(*by, F.col(value).alias(name))
         )

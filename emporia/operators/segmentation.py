@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.operators.joins import lookup
-from emporia.operators.ranking import PLAIN_ROWS, global_rank, lower_median
+from emporia.operators.ranking import PLAIN_ROWS, global_rank, lower_median, shared_positions
 from emporia.sources.shared import written
 
 
@@ -32,20 +32,24 @@ def median_segmentation(
 ) -> DataFrame:
     """Ranks by ``volume`` and ``amount`` within each ``by`` group, the group medians and the quadrant.
 
-    The aggregate is written once: it is read by two ranks and two medians, and its exact row count decides
-    whether one task may order a group. Items without a group have no median and go.
+    The aggregate is written once, and its exact row count decides whether one task may order a group. Beyond that
+    all ranks and medians read one table of positions. Items without a group have no median and go.
     """
     by = list(by)
-    items = written(items.dropna(subset=by) if by else items, "items")
+    held = items.dropna(subset=by) if by else items
+    measures = [volume, amount]
+    if total_rank:
+        held = held.withColumn("_both", F.col(volume) + F.col(amount))
+        measures.append("_both")
+    items = written(held, "items")
     rows = items.count()
     sizes = {"rows": rows, "plain_rows": plain_rows}
-    ranked = global_rank(items, volume, "rang_volume", by, **sizes)
-    ranked = global_rank(ranked, amount, "rang_valeur", by, source=items, **sizes)
-    if total_rank:
-        both = {"_both": F.col(volume) + F.col(amount)}
-        ranked = global_rank(
-            ranked.withColumns(both), "_both", total_rank, by, source=items.withColumns(both), **sizes
-        ).drop("_both")
+    if rows > plain_rows:
+        sizes["positions"] = shared_positions(items, measures, by)
+    ranked = items
+    for value, name in zip(measures, ("rang_volume", "rang_valeur", total_rank)):
+        ranked = global_rank(ranked, value, name, by, source=items, **sizes)
+    ranked = ranked.drop("_both")
     middle = lower_median(items, {volume: medians[0], amount: medians[1]}, by, **sizes)
     if not by:
         result = ranked.crossJoin(F.broadcast(middle))

@@ -10,13 +10,14 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from emporia.operators import affinity
+from emporia.operators import affinity, ranking
 from emporia.operators.affinity import affinity_pairs
 from emporia.operators.cleaning import clean_table, dedup_keep_first, in_order
 from emporia.operators.deviation import add_zscore, deviation_label
 from emporia.operators.joins import following_days_count, heavy_keys, lookup, salted_lookup
 from emporia.operators.ranking import global_rank, interpolated_median, lower_median
 from emporia.operators.segmentation import median_segmentation
+from emporia.sources.shared import written
 
 
 def rows_of(df):
@@ -138,6 +139,24 @@ def test_segmentation_counts(spark):
     assert plain.count() == df.where("g IS NOT NULL").count()
 
 
+def test_one_table_of_positions_for_all_ranks_and_medians(spark, monkeypatch):
+    rng, labels = random.Random(6), []
+    rows = [
+        (i, rng.choice(["a", "b", None]), rng.choice([None, 2**60 + 1, 2**60, -3, i % 7]), rng.choice([None, -0.5, 1e300, i / 3]))
+        for i in range(600)
+    ] + [(900 + i, "c", None, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, g string, v long, w double")
+    plain = median_segmentation(df, "v", "w", ["g"], segments=("A", "B", "C", "D"), total_rank="t")
+    note = lambda frame, label: labels.append(label) or written(frame, label)
+    monkeypatch.setattr(ranking, "written", note)
+    split = median_segmentation(df, "v", "w", ["g"], segments=("A", "B", "C", "D"), total_rank="t", plain_rows=0)
+    assert labels.count("positions") == 1 and labels.count("shared") == 1
+    columns = sorted(set(plain.columns) - {"segment"})  # a group without values has no median to compare with
+    assert rows_of(plain.select(columns)) == rows_of(split.select(columns))
+    with pytest.raises(ValueError, match="neither"):
+        ranking.shared_positions(df, ["g"])
+
+
 def test_zscore_of_a_single_value(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 1.0)], "g string, v double")
     scored = add_zscore(df, "v", "g", "z").select("z", deviation_label(F.col("z"), "hi", "lo", "no").alias("s"))
