@@ -1,15 +1,18 @@
 """Items bought by the same entities: pair support, item support and the median pair support.
 
-The plain self-join on the entity writes n²/2 pairs for an entity with n items. Two exact facts avoid most of
+The plain self-join on the entity writes n²/2 pairs for an entity with n items. Three exact facts avoid most of
 them:
 
-* An item that only one entity has can only be in pairs of support 1. The number of such pairs follows from
-  sums: all pair occurrences (the sum of n(n-1)/2 over the entities) less the occurrences in pairs of support
-  2 or more. So these items leave before the join, and pairs of support 1 are never needed for the median.
-* The few entities with very large baskets never enter the join. Each item gets a bit mask of the large
-  baskets it lies in; for a pair seen in other baskets the common bits are added, and pairs seen only in large
-  baskets are counted from the mask classes (at most 2^8). They are listed only when they reach the wanted
-  support, that is when they are part of the result.
+* Pairs of support 1 are never needed, neither as results nor for the median: their number follows from sums, all
+  pair occurrences (the sum of n(n-1)/2 over the entities) less the occurrences in pairs of support 2 or more. So
+  items that only one entity has leave before the join.
+* Two items with two entities in common share one that is not the largest basket of either. So an item leaves its
+  largest basket before the join, where that is a large one, and the pairs that the others make look up whether the
+  other item is in it.
+* The few entities with the largest baskets never enter the join. Each item gets a bit mask of the ones it lies in;
+  for a pair seen in other baskets the common bits are added, and pairs seen only in these baskets are counted from
+  the mask classes (at most 2^12). They are listed only when they reach the wanted support, that is when they are
+  part of the result. Items with a mask stay in all other baskets.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from emporia.operators.ranking import weighted_lower_median
 from emporia.sources.shared import written
 
 LARGE_BASKET = 2000
-LARGE_BASKETS = 8  # one bit each; further large baskets take the join, split by adaptive execution
+LARGE_BASKETS = 12  # one bit each; items leave the largest of the further ones
+#: A basket of more items than this is left by those items for which it is the largest.
+TRIMMED_BASKET = 200
 
 
 def _pairs(baskets: DataFrame, keys: list[str], item: str) -> DataFrame:
@@ -41,6 +46,7 @@ def affinity_pairs(
     *,
     min_support: int = 3,
     large_basket: int = LARGE_BASKET,
+    trimmed_basket: int = TRIMMED_BASKET,
 ) -> DataFrame:
     """Pairs of items held by at least ``min_support`` common entities, within each ``by`` group.
 
@@ -83,14 +89,12 @@ def affinity_pairs(
             .agg(F.bit_or(F.expr("shiftleft(1, _bit)")).alias("_mask")),
             "masks",
         )
-        joint, histogram = _with_large(light, masks, by, keys, item, min_support)
+        # a pair of items with masks may have one entity in common here and others in the large baskets
+        trimmed = _trimmed(light, keys, item, trimmed_basket, lookup(light, masks, [*by, item], "left_anti"))
+        joint, histogram = _with_large(_supports(light, trimmed, by, entity, item), masks, by, item, min_support)
     else:
-        joint = written(
-            _pairs(baskets, keys, item)
-            .groupBy(*by, "_first", "_second")
-            .agg(F.count(F.lit(1)).alias("support")),
-            "pairs",
-        )
+        trimmed = _trimmed(baskets, keys, item, trimmed_basket, baskets)
+        joint = written(_supports(baskets, trimmed, by, entity, item), "pairs")
         histogram = joint.groupBy(*by, "support").agg(F.count(F.lit(1)).alias("_pairs"))
 
     median = written(_median(histogram, occurrences, by), "median")
@@ -111,12 +115,42 @@ def affinity_pairs(
     return written(result, "affinity")
 
 
+def _trimmed(baskets: DataFrame, keys: list[str], item: str, limit: int, items: DataFrame) -> DataFrame | None:
+    """The basket that each of ``items`` leaves, its largest one above ``limit``; none where no basket is that large."""
+    sizes = baskets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    sizes = written(sizes, "basket-sizes")
+    if sizes.isEmpty():
+        return None
+    *by, entity = keys
+    largest = F.max(F.struct("_n", F.col(entity).alias("_entity"))).alias("_largest")
+    leaving = lookup(items.select(*keys, item), sizes, keys, "inner").groupBy(*by, item).agg(largest)
+    return written(leaving.select(*by, item, F.col("_largest._entity").alias(entity)), "trimmed")
+
+
+def _supports(baskets: DataFrame, trimmed: DataFrame | None, by: list[str], entity: str, item: str) -> DataFrame:
+    """``by, _first, _second, support`` of all pairs with two entities in common, and of some with one."""
+    keys = [*by, entity]
+    counted = lambda held: _pairs(held, keys, item).groupBy(*by, "_first", "_second").agg(F.count(F.lit(1)).alias("support"))
+    if trimmed is None:
+        return counted(baskets)
+    joint = written(counted(baskets.join(trimmed, [*keys, item], "left_anti")), "trimmed-pairs")
+    for side in ("first", "second"):
+        left = trimmed.withColumnRenamed(item, f"_{side}").withColumnRenamed(entity, f"_left_{side}")
+        joint = lookup(joint, left, [*by, f"_{side}"], "left")
+    # the basket that one item left counts when the other is in it; one that both left would count twice
+    for side, other in (("first", "second"), ("second", "first")):
+        there = baskets.select(*by, F.col(entity).alias(f"_left_{side}"), F.col(item).alias(f"_{other}"), F.lit(1).alias(f"_in_{side}"))
+        joint = joint.join(there, [*by, f"_left_{side}", f"_{other}"], "left")
+    both = F.coalesce(F.col("_left_first") == F.col("_left_second"), F.lit(False)).cast("int")
+    more = F.coalesce("_in_first", F.lit(0)) + F.coalesce("_in_second", F.lit(0)) - both
+    return joint.select(*by, "_first", "_second", (F.col("support") + more).cast("bigint").alias("support"))
+
+
 def _with_large(
-    light: DataFrame, masks: DataFrame, by: list[str], keys: list[str], item: str, min_support: int
+    light: DataFrame, masks: DataFrame, by: list[str], item: str, min_support: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Pair support and its histogram when some baskets are represented by masks."""
-    joint = _pairs(light, keys, item).groupBy(*by, "_first", "_second").agg(F.count(F.lit(1)).alias("_light"))
-    joint = light_pairs = written(joint, "light")
+    """Pair support and its histogram when some baskets are represented by masks; ``light`` has that of the others."""
+    joint = light_pairs = written(light.withColumnRenamed("support", "_light"), "light")
     for side in ("_first", "_second"):
         named = masks.withColumnRenamed(item, side).withColumnRenamed("_mask", f"_mask{side}")
         joint = lookup(joint, named, [*by, side], "left", sample=light_pairs)
@@ -156,7 +190,7 @@ def _with_large(
             *by, F.col("_mask2").alias("_mask"), F.col("_mask").alias("_mask2"), "support"
         )
     )
-    # A mask class is a hot key of at most 2^8 values, so its items are dealt out by their hash, and the other
+    # A mask class is a hot key of at most 2^12 values, so its items are dealt out by their hash, and the other
     # side is repeated for every part: the rows that are made are results, and no task makes a whole class's.
     parts = shuffle_tasks(masks)
     first = masks.withColumnRenamed(item, "_first")
@@ -167,7 +201,7 @@ def _with_large(
         F.pmod(F.xxhash64(item), F.lit(parts)).cast("int").alias("_part"),
     )
     only = (
-        first.join(F.broadcast(links), [*by, "_mask"])  # at most 2^16 links: 8 bits for all groups together
+        first.join(links, [*by, "_mask"])
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
         .join(second, [*by, "_mask2", "_part"])
         .where(F.col("_first") < F.col("_second"))

@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -194,17 +195,51 @@ def purchases(seed, groups, large):
 
 
 @pytest.mark.parametrize("groups", [["x"], ["x", "y", "z"]])
-@pytest.mark.parametrize(("large", "limit"), [(0, 1000), (1, 12), (3, 12), (5, 12), (12, 12), (12, 1000)])
-def test_affinity_equals_brute_force(spark, groups, large, limit):
+@pytest.mark.parametrize(
+    ("large", "limit", "trimmed"),
+    [(0, 1000, 1000), (1, 12, 1000), (3, 12, 2), (5, 12, 1000), (16, 12, 0), (16, 1000, 0), (12, 1000, 10), (16, 1000, 1000)],
+)
+def test_affinity_equals_brute_force(spark, groups, large, limit, trimmed):
     data = purchases(large + len(groups), groups, large)
     df = spark.createDataFrame(data, "g string, e int, i string")
-    found = affinity_pairs(df, "e", "i", ["g"], min_support=3, large_basket=limit)
+    limits = {"large_basket": limit, "trimmed_basket": trimmed}
+    found = affinity_pairs(df, "e", "i", ["g"], min_support=3, **limits)
     assert rows_of(found) == brute_pairs(data, 3)
     if len(groups) == 1:
-        plain = affinity_pairs(df, "e", "i", min_support=2, large_basket=limit)
+        plain = affinity_pairs(df, "e", "i", min_support=2, **limits)
         assert rows_of(plain) == Counter({k[1:]: n for k, n in brute_pairs(data, 2).items()})
 
 
+def test_items_leave_their_largest_basket(spark, monkeypatch):
+    """The join makes far fewer rows than the baskets have pairs, and the result is the same."""
+    rng, made = random.Random(3), []
+    rows = [("x", e, f"i{i}") for e in range(12) for i in rng.sample(range(4000), 300)]  # large baskets that meet seldom
+    rows += [("x", 100 + e, f"i{rng.randrange(4000)}") for e in range(1500) for _ in range(4)]
+    pairs = affinity._pairs
+    monkeypatch.setattr(affinity, "_pairs", lambda *a: made.append(pairs(*a)) or made[-1])
+    df = spark.createDataFrame(rows, "g string, e int, i string")
+    found = affinity_pairs(df, "e", "i", ["g"], min_support=2, trimmed_basket=100)
+    assert rows_of(found) == brute_pairs(rows, 2)
+    every = sum(n * (n - 1) // 2 for n in Counter(e for _, e, _ in set(rows)).values())
+    assert made[0].count() < 0.4 * every
+
+
+def test_more_large_baskets_than_eight(spark):
+    rng, n = np.random.default_rng(1), 3000
+    held = np.zeros((9, n), np.int64)
+    for row in held:
+        row[rng.choice(n, 1200, replace=False)] = 1
+    df = spark.createDataFrame([(e, int(i)) for e in range(9) for i in np.nonzero(held[e])[0]], "e int, i int")
+    found = affinity_pairs(df, "e", "i", min_support=7, large_basket=1000)
+    together = np.triu(held.T @ held, 1)
+    supports = np.sort(together[together > 0])
+    assert found.count() == (together >= 7).sum() > 0
+    row = found.orderBy("item_1", "item_2").first()
+    first, second = np.argwhere(together >= 7)[0]
+    assert (row.item_1, row.item_2, row.support) == (first, second, together[first, second])
+    assert row.median_support == supports[(len(supports) + 1) // 2 - 1]
+
+
 def test_affinity_without_pairs(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, None)], "e int, i string")
     assert affinity_pairs(df, "e", "i").count() == 0
