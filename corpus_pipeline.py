@@ -70,7 +70,8 @@ def language_id(
     model = langid.train(docs)
     if not model.languages:
         return rows.back(rows.held.filter(F.col(text).rlike("\\p{L}")))
-    told = rows.held.withColumn("_told", langid.predictor(model)(text))
+    # so marked, Spark predicts once for the filter and the column together
+    told = rows.held.withColumn("_told", langid.predictor(model).asNondeterministic()(text))
     wanted = [x for x in model.languages if languages is None or x in languages]
     kept = told.filter(F.col("_told.lang_pred").isin(wanted) & (F.col("_told.score") >= min_score))
     return rows.back(kept.withColumn(lang, F.coalesce(lang, "_told.lang_pred")))
