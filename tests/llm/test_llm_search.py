@@ -76,6 +76,29 @@ def test_removal_leaves_no_window_and_clean_texts_alone(spark, docs, pairs):
         assert not [x for x in clean if x not in kept]
 
 
+@pytest.mark.parametrize(("shard", "piece"), [(1, 1), (7, 5), (25, 64), (1 << 19, 1 << 20)])
+def test_long_documents_lie_in_several_shards(monkeypatch, shard, piece):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", shard)
+    monkeypatch.setattr(decontaminate, "_PIECE", piece)
+    rng = random.Random(shard)
+    word = lambda: rng.choice(["a", "B", "é", "x1", "数"])
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 3, 10, 14])))) for i in range(12)]
+    texts = ["", None, "--", "a", " ".join(word() for _ in range(300))]
+    texts += ["-".join(word() for _ in range(20)) + ". " + items[k][1] + "\n" + items[k][1] + " end" for k in range(12)]
+    found = decontaminate._search_texts(texts, decontaminate.phrases_of(items))
+    want = brute.decontaminate(list(enumerate(texts)), items)
+    for (n, spans, named), (_, n_words, n_hit, n_items, _, _) in zip(found, want, strict=True):
+        assert (n, sum(e - b for b, e in spans), len(named)) == (n_words, n_hit, n_items)
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_windows_of_one_letter_in_several_blocks(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "q r s"), (3, "z")], "item_id long, text string")
+    rows = spark.createDataFrame([(1, "q a r s"), (2, "q r a s z t"), (3, "clean")], "doc_id long, text string")
+    left = decontaminate.remove_contamination(rows, items, block_words=1).orderBy("doc_id").collect()
+    assert [" ".join(r.text.split()) for r in left] == ["", "t", "clean"]
+
+
 def test_decontamination_of_empty_tables(spark, docs):
     no_items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(spark.createDataFrame([], SCHEMA), no_items).count() == 0
