@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.semantics import cents, from_cents
 from emporia.ml.features import lag_features
-from emporia.ml.models import FEATURES
+from emporia.ml.models import FEATURES, training_rows
 from emporia.plans.sales import PAID, not_cancelled
 from emporia.sources.shared import written
 
@@ -58,9 +58,11 @@ def fit_forecaster(table: DataFrame, *, trees: int = 100, depth: int = 6, rate:
         StringIndexer(inputCol=CATEGORY, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
         OneHotEncoder(inputCols=["_index"], outputCols=["_category"], dropLast=False),
         VectorAssembler(inputCols=[*numbers, "_category"], outputCol=FEATURES),
-        GBTRegressor(featuresCol=FEATURES, labelCol=REVENUE, maxDepth=depth, maxIter=trees, stepSize=rate, seed=42),
     ]
-    return Pipeline(stages=steps).fit(table.withColumns({c: F.col(c).cast("double") for c in [*numbers, REVENUE]}))
+    encoder = Pipeline(stages=steps).fit(typed := table.withColumns({c: F.col(c).cast("double") for c in [*numbers, REVENUE]}))
+    rows = training_rows(encoder.transform(typed), REVENUE)
+    learner = GBTRegressor(featuresCol=FEATURES, labelCol=REVENUE, maxDepth=depth, maxIter=trees, stepSize=rate, seed=42)
+    return PipelineModel([*encoder.stages, learner.fit(rows)])
 
 
 def _value_at(month: Column) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JError
 
+from emporia.sources.shared import written
+
 FEATURES = "features"
 
 
@@ -107,17 +109,27 @@ def fitted_table(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     return found.unionByName(df.sparkSession.createDataFrame(rows, found.schema))
 
 
+#: Rows that a task of a tree learner reads at least: it runs some jobs for every tree.
+ROWS_PER_TASK = 50_000
+
+
+def training_rows(train: DataFrame, target: str) -> DataFrame:
+    """Features and target alone, written once and read in no more parts than their number of rows is worth."""
+    rows = written(train.select(FEATURES, target), "training-rows")
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
 def boosted_trees(train: DataFrame, target: str, *, depth: int = 3, trees: int = 100, rate: float = 0.05):
     return GBTRegressor(
         featuresCol=FEATURES, labelCol=target, maxDepth=depth, maxIter=trees, stepSize=rate, seed=42
-    ).fit(train)
+    ).fit(training_rows(train, target))
 
 
 def random_forest(train: DataFrame, target: str, *, trees: int = 100, depth: int = 10):
     """All features are tried at each split; the depth is bounded, Spark allows 30 at most."""
     return RandomForestRegressor(
         featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=42
-    ).fit(train)
+    ).fit(training_rows(train, target))
 
 
 def importance_table(model: Model, names: list[str], train: DataFrame) -> DataFrame:
