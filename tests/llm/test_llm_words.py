@@ -170,7 +170,8 @@ def test_base_scores_and_held_out_gain(docs, pairs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_model_is_a_distribution():
+def _small_model():
+    """A model trained on random texts, its tokens, their distinct hashes with endings and counts, and the head's places."""
     rng = np.random.default_rng(0)
     texts = pa.array([" ".join(f"w{x}" for x in rng.zipf(1.3, 200) % 3000) for _ in range(40)])
     tokens = token_hash.tokens(texts)
@@ -189,6 +190,11 @@ def test_model_is_a_distribution():
     for _ in range(3):
         maxent.learn(model, tokens, touched)
     assert maxent.log10_parts(model, tokens).sum() > before
+    return model, tokens, hashes, endings, counts, rest, kinds, totals
+
+
+def test_model_is_a_distribution():
+    model, tokens, hashes, endings, counts, rest, kinds, totals = _small_model()
     # after one context, the probabilities of all words of the vocabulary and of a new word of each class add up to 1
     every = [token_hash.Tokens(np.append(tokens.h1[:2], h), np.append(tokens.h2[:2], h), np.append(tokens.ending[:2], e), np.array([0, 3])) for h, e in zip(hashes, endings, strict=True)]
     inside = np.array([10 ** maxent.log10_parts(model, x)[2] for x in every])
@@ -199,6 +205,34 @@ def test_model_is_a_distribution():
     assert inside @ share + new == pytest.approx(1.0, abs=1e-3 + 0.01 * unseen_classes)
 
 
+def test_model_by_plain_sums():
+    """Features, rows and both softmaxes of single tokens with plain whole numbers and floats."""
+    model, tokens, *_ = _small_model()
+    mask, salts = 2**64 - 1, [int(x) for x in maxent._SALTS]
+    shift = 64 - maxent.ROW_BITS
+
+    def softmax(bias, table, rows, at):
+        logits = [float(b) + sum(float(table[r][j]) for r in rows) for j, b in enumerate(bias)]
+        top = max(logits)
+        return np.exp(logits[at] - top) / sum(np.exp(x - top) for x in logits)
+
+    found = maxent.log10_parts(model, tokens)
+    numbers = dict(zip(model.head.hashes.tolist(), model.head.numbers.tolist(), strict=True))
+    for doc in (0, 7):
+        begin, end = int(tokens.bounds[doc]), int(tokens.bounds[doc + 1])
+        for at in [begin, begin + 1, begin + 2, begin + 3, (begin + end) // 2, end - 1]:
+            back = [int(tokens.h1[at - k]) if at - k >= begin else int(maxent._START) for k in (1, 2, 3)]
+            joint = (back[0] * salts[1] + (back[1] ^ back[1] >> 29) * salts[2]) & mask
+            features = [x * s & mask for x, s in zip((back[0], joint, back[1], back[2]), salts, strict=True)]
+            number = numbers.get(int(tokens.h1[at]), -1)
+            kind = number // maxent.SLOTS if number >= 0 else int(maxent.open_class(tokens.ending[at : at + 1])[0])
+            chance = softmax(model.class_bias, model.tables[0], [f >> shift for f in features], kind)
+            if number >= 0:
+                rows = [((f ^ f >> 31) * (kind * salts[3] + salts[2] | 1) & mask) >> shift for f in features]
+                chance *= softmax(model.slot_bias[kind], model.tables[1], rows, number % maxent.SLOTS)
+            assert found[at] == pytest.approx(np.log10(chance), abs=1e-4)
+
+
 def test_scores_of_odd_tables(spark):
     assert lm_score.lm_scores(spark.createDataFrame([], SCHEMA)).collect() == []
     (row,) = lm_score.lm_scores(spark.createDataFrame([(None, None)], "doc_id long, text string")).collect()
