@@ -243,6 +243,16 @@ def test_json_records_that_cannot_be_read(spark, tmp_path):
         read_table(spark, place, "json", NOTES).select("note").collect()
 
 
+def test_json_lines_are_parsed_once(spark, tmp_path):
+    place = one_file(tmp_path / "j", "a.json", '{"Id":1,"No-te":2,"Texte":"a"}\n {"ID":2,"NO TE":3,"x":{"y":[1]}}\n\t{"id":3,"nO te":4}\n{}\n{"Id":4}, null\n')
+    sound, rejected = read_records(spark, place, "json", "id int, no_te int, texte string, autre string", ["autre"])
+    assert sorted((r.id, r.no_te, r.texte, r.autre) for r in sound.where("id > 0").collect()) == [(1, 2, "a", None), (2, 3, None, None), (3, 4, None, None)]
+    assert sound.count() == 4 and [r.text for r in rejected.collect()] == ['{"Id":4}, null']
+    for df in (sound, rejected):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") + plan.count("parse_json") == 1 and plan.count("transform_keys(") == 1
+
+
 def test_unknown_sources(spark):
     with pytest.raises(ValueError, match="schema"):
         read_table(spark, "/nowhere", "json")
