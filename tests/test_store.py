@@ -257,3 +257,15 @@ def test_unknown_sources(spark):
     with pytest.raises(ValueError, match="schema"):
         read_table(spark, "/nowhere", "json")
     assert len(SCHEMAS) == 10
+
+
+def test_files_of_order_lines_grow_in_number(spark, tmp_path, monkeypatch):
+    from workload import relational
+
+    monkeypatch.setattr(relational, "_LINES_PER_FILE", 600)
+    monkeypatch.setattr(relational, "new_path", lambda _, label: str(tmp_path / label))
+    made = relational.first_source_row(relational.query.__globals__["Data"](spark, FOLDER))
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    files = [f for f in (tmp_path / "lines").rglob("part-*.csv") if f.stat().st_size]
+    assert len(files) >= lines.count() // 600 > 4
+    assert made.count() == made.select("id_commande").distinct().count() > 0

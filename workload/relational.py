@@ -197,6 +197,14 @@ _LINES = """SELECT CAST(l_orderkey AS VARCHAR) AS id_commande,
 _LINE_ORDER = "l_linenumber DESC, l_extendedprice, l_partkey, l_suppkey, l_returnflag"
 
 
+#: Order lines in a file at most, as one task sorts and writes a file and one reads it.
+_LINES_PER_FILE = 500_000
+
+
+def _line_files(lines: int) -> int:
+    return max(4, -(-lines // _LINES_PER_FILE))
+
+
 @query(
     "ingest_first_source_row",
     f"""SELECT id_commande, id_produit, CAST(quantite AS BIGINT) AS quantite,
@@ -210,7 +218,8 @@ def first_source_row(data: Data):
     it holds, before missing and negative ones go."""
     path = new_path(data.spark, "lines")
     columns = [F.expr(c.strip()) for c in _LINE_ORDER.replace(" DESC", "").split(",")]
-    ordered = data.table("lineitem").repartitionByRange(4, "l_orderkey")
+    lines = data.table("lineitem")
+    ordered = lines.repartitionByRange(_line_files(lines.count()), "l_orderkey")
     ordered = ordered.sortWithinPartitions("l_orderkey", columns[0].desc(), *[c.asc_nulls_last() for c in columns[1:]])
     replace_table(ordered.selectExpr(*_line_columns()), path, fmt="csv")
     raw = read_table(data.spark, path, "csv", SCHEMAS["details_commandes"])
