@@ -237,3 +237,17 @@ def test_trees_learn_and_rank_features(spark):
     assert models.regression_metrics(models.boosted_trees(table, "y", trees=5).transform(table), "y").first()["r2"] > 0.5
     fitted = models.grid_search(table, "y", depths=(1, 2), trees=(2,), rates=(0.1,), folds=2)
     assert models.grid_table(fitted, table).count() == 2
+
+
+def test_boosted_trees_learn_from_cells_as_from_rows(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = spark.range(3000).selectExpr("CAST(id % 17 AS DOUBLE) a", "CAST(id * id % 5 AS DOUBLE) b", "CAST(id * 7 % 101 + id % 17 * 9 AS DOUBLE) y")
+    table = models.feature_table(rows, ["a", "b"], "y")
+    cells = models.training_cells(table, "y")
+    assert cells.count() == rows.select("a", "b").distinct().count() < 100
+    assert cells.agg({models.WEIGHT: "sum"}).first()[0] == 3000
+    plain = GBTRegressor(featuresCol=models.FEATURES, labelCol="y", maxDepth=3, maxIter=5, stepSize=0.05, seed=42).fit(table)
+    made = models.boosted_trees(table, "y", trees=5)
+    wanted, got = (models.regression_metrics(m.transform(table), "y").first() for m in (plain, made))
+    assert [round(x, 9) for x in got] == [round(x, 9) for x in wanted] and got["r2"] > 0.1
