@@ -10,7 +10,6 @@ from contextvars import copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emporia.operators.joins import shuffle_tasks
 from emporia.plans.checks import FailedChecks, require_clean, run_checks
 from emporia.plans.warehouse import CALENDAR, MODELS, ORDER_MONTH, Warehouse, build_order
 from emporia.session import RUNTIME
@@ -57,11 +56,12 @@ def runtime_settings(spark: SparkSession) -> Iterator[None]:
 
 def order_layouts(orders: DataFrame, layout_bytes: int = LAYOUT_BYTES) -> dict[str, Layout]:
     """Buckets on the order id for all tables that have one, so that they join without an exchange, and months for the
-    fact. Small tables would only fall into many small files and keep the plain layout."""
+    fact. Small tables would only fall into many small files and keep the plain layout. The fact has a file for each
+    month and bucket, so there are no more buckets than the size of the orders asks for, or the cores."""
     size = planned_bytes(orders) or 0
     if size < layout_bytes:
         return {}
-    buckets = max(min(-(-size // BUCKET_BYTES), 10_000), shuffle_tasks(orders))
+    buckets = max(min(-(-size // BUCKET_BYTES), 10_000), orders.sparkSession.sparkContext.defaultParallelism)
     made = {name: Layout(bucket_by=_ORDER_KEY, buckets=buckets) for name in _ORDER_TABLES}
     return made | {"mrt_fct_commandes": Layout((ORDER_MONTH,), _ORDER_KEY, buckets)}
 

@@ -196,6 +196,29 @@ def test_months_and_buckets_of_a_large_store(spark, tmp_path):
     assert order_layouts(raw["commandes"]) == {}
 
 
+def test_a_bucket_is_one_file_of_a_partition(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    rows = spark.range(0, 3000, 1, 6).selectExpr("nullif(id % 700, 3) AS id", "id % 3 AS part", "id AS value")
+    with store.new_version() as version:
+        version.write("t", rows, Layout(("part",), "id", 4))
+        version.write("u", rows, Layout((), "id", 4))
+        files = {t: [n for _, _, held in os.walk(version.path(t)) for n in held if n.endswith(".parquet")] for t in "tu"}
+    assert (len(files["t"]), len(files["u"])) == (3 * 4, 4)
+    for t in "tu":
+        assert sorted(store.table(t).select(rows.columns).collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def test_buckets_go_with_the_orders_and_not_with_the_shuffle(spark):
+    orders = RawTables(spark, FOLDER)["commandes"]
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        made = order_layouts(orders, 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert {x.buckets for x in made.values()} == {spark.sparkContext.defaultParallelism}
+
+
 def test_manifest_tells_the_layout(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     with store.new_version() as version:
