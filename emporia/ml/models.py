@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector, Vectors
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,14 +146,106 @@ def boosted_trees(train: DataFrame, target: str, *, depth: int = 3, trees: int =
     ).fit(training_cells(train, target))
 
 
-def random_forest(train: DataFrame, target: str, *, trees: int = 100, depth: int = 10):
-    """All features are tried at each split; the depth is bounded, Spark allows 30 at most."""
-    return RandomForestRegressor(
-        featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=42
-    ).fit(training_rows(train, target))
+#: Bins of a feature in a forest; Spark's learners have as many by default.
+BINS = 32
+TREES_AT_ONCE = 8  # trees that learn at the same time: one alone keeps few cores busy
+
+
+def candidate_cuts(rows: DataFrame, columns: list[str]) -> list[list[float]]:
+    """Cuts of each column: between all its values where there are up to :data:`BINS`, else at quantiles of all rows."""
+    some = [rows.select(F.lit(i).alias("i"), F.col(c).alias("v")).distinct().limit(BINS + 1) for i, c in enumerate(columns)]
+    found = reduce(DataFrame.unionByName, some).collect()  # BINS + 1 values of a column at most
+    values = [sorted(r["v"] for r in found if r["i"] == i) for i in range(len(columns))]
+    wide = [c for c, held in zip(columns, values) if len(held) > BINS]
+    quantiles = rows.approxQuantile(wide, [i / BINS for i in range(1, BINS)], 1e-4) if wide else []
+    cuts = dict(zip(wide, quantiles))
+    return [sorted(set(cuts[c])) if c in cuts else [a + (b - a) / 2 for a, b in zip(v, v[1:])] for c, v in zip(columns, values)]
+
+
+def binned(df: DataFrame, cuts: list[list[float]]) -> DataFrame:
+    """``_bin_i``: the number of the cuts of feature ``i`` that its value reaches."""
+    value = vector_to_array(FEATURES)
+    reached = [sum(((value[i] >= cut).cast("int") for cut in held), F.lit(0)) for i, held in enumerate(cuts)]
+    return df.withColumns({f"_bin_{i}": n.cast("double") for i, n in enumerate(reached)})
 
 
-def importance_table(model: Model, names: list[str], train: DataFrame) -> DataFrame:
+def drawn_cells(cells: DataFrame, trees: int, seed: int) -> DataFrame:
+    """``_draws_t``: how often the bootstrap of tree ``t`` draws the ``_rows`` rows of a cell.
+
+    Spark's forest draws each row a Poisson number of times with mean one; the draws of ``n`` rows that a tree cannot
+    tell apart add up to a Poisson number with mean ``n``. The draws of a cell depend on its values alone.
+    """
+    names = [c for c in cells.columns if c != "_rows"]
+    draws = [f"_draws_{t}" for t in range(trees)]
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = np.empty((len(batch), trees), dtype=np.int64)
+            for at, (key, n) in enumerate(zip(batch["_key"].to_numpy(), batch["_rows"].to_numpy())):
+                made[at] = np.random.default_rng([seed, int(key) & (1 << 64) - 1]).poisson(n, trees)
+            yield pd.concat([batch[names], pd.DataFrame(made, columns=draws, index=batch.index)], axis=1)
+
+    schema = ", ".join([*[f"`{c}` double" for c in names], *[f"{c} bigint" for c in draws]])
+    return cells.withColumn("_key", F.xxhash64(*names)).mapInPandas(draw, schema)
+
+
+@dataclass(frozen=True)
+class Forest:
+    """Regression trees on binned features; the forest predicts their mean."""
+
+    cuts: list[list[float]]
+    trees: list[DecisionTreeRegressionModel]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with its ``prediction``; the trees read each combination of bins once."""
+        bins = [f"_bin_{i}" for i in range(len(self.cuts))]
+        placed = binned(df, self.cuts)
+        told = VectorAssembler(inputCols=bins, outputCol="_bins").transform(placed.select(*bins).distinct())
+        for tree in self.trees:
+            told = tree.transform(told)
+        mean = sum((F.col(t.getPredictionCol()) for t in self.trees), F.lit(0.0)) / len(self.trees)
+        return placed.join(written(told.select(*bins, mean.alias("prediction")), "predictions"), bins).drop(*bins)
+
+    @property
+    def featureImportances(self) -> DenseVector:  # the name that Spark's models have
+        """The trees' importances, each with sum one as far as the tree has a split, scaled to sum one."""
+        total = sum((t.featureImportances.toArray() for t in self.trees), np.zeros(len(self.cuts)))
+        return Vectors.dense(total / total.sum() if total.sum() else total)
+
+
+def random_forest(train: DataFrame, target: str, *, trees: int = 100, depth: int = 10, seed: int = 42) -> Forest:
+    """All features are tried at each split; the depth is bounded, Spark allows 30 at most.
+
+    A tree sees a row only through its bins and its target, so rows that agree in them are one cell and the trees learn
+    from cells weighted with their draws. The cells are bounded by the bins and the values of the target, whatever the
+    number of rows; a target that rarely repeats leaves as many cells as rows. A tree that drew no row is left out.
+    """
+    rows = written(train.select(FEATURES, target), "training-rows")
+    one = rows.first()
+    if one is None:
+        raise ValueError("no rows to learn from")
+    columns = [f"_feature_{i}" for i in range(one[FEATURES].size)]
+    value = vector_to_array(FEATURES)
+    cuts = candidate_cuts(rows.select(*[value[i].alias(c) for i, c in enumerate(columns)]), columns)
+    bins = [f"_bin_{i}" for i in range(len(cuts))]
+    cells = binned(rows, cuts).groupBy(*bins, F.col(target).alias("_target")).agg(F.count(F.lit(1)).alias("_rows"))
+    held = written(drawn_cells(cells, trees, seed), "training-cells")
+    most = held.agg(F.count(F.lit(1)).alias("cells"), *[F.max(f"_draws_{t}").alias(f"_{t}") for t in range(trees)]).first()
+    parts = max(1, -(-most["cells"] // ROWS_PER_TASK))
+    table = VectorAssembler(inputCols=bins, outputCol="_bins").transform(held.coalesce(parts))
+
+    def fit(t: int) -> DecisionTreeRegressionModel:
+        learner = DecisionTreeRegressor(
+            featuresCol="_bins", labelCol="_target", weightCol=f"_draws_{t}", predictionCol=f"_prediction_{t}",
+            maxDepth=depth, maxBins=BINS * 8, seed=seed,
+        )  # its cuts lie between the bins; it would find them from a sample of squared maxBins rows
+        return learner.fit(table.select("_bins", "_target", f"_draws_{t}").where(F.col(f"_draws_{t}") > 0))
+
+    with ThreadPoolExecutor(TREES_AT_ONCE) as pool:
+        return Forest(cuts, list(pool.map(fit, [t for t in range(trees) if most[f"_{t}"]])))
+
+
+def importance_table(model: Model | Forest, names: list[str], train: DataFrame) -> DataFrame:
     values = model.featureImportances.toArray().tolist()  # one number per feature
     return train.sparkSession.createDataFrame(list(zip(names, values)), "feature string, importance double")
 

@@ -251,3 +251,49 @@ def test_boosted_trees_learn_from_cells_as_from_rows(spark):
     made = models.boosted_trees(table, "y", trees=5)
     wanted, got = (models.regression_metrics(m.transform(table), "y").first() for m in (plain, made))
     assert [round(x, 9) for x in got] == [round(x, 9) for x in wanted] and got["r2"] > 0.1
+
+
+def test_forest_learns_from_cells_as_spark_from_rows(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    rows = spark.range(4000).selectExpr(
+        "CAST(id * 7919 % 1000 AS DOUBLE) a", "CAST(id % 3 AS DOUBLE) b", "CAST(id % 400 = 0 AS DOUBLE) c",
+        "CAST(floor(id * 7919 % 1000 / 250) + (id % 3) * (id % 2) + 5 * CAST(id % 400 = 0 AS INT) AS DOUBLE) y",
+    )
+    table = models.feature_table(rows, ["a", "b", "c"], "y")
+    made = models.random_forest(table, "y", trees=30, depth=6)
+    plain = RandomForestRegressor(
+        featuresCol=models.FEATURES, labelCol="y", numTrees=30, maxDepth=6, featureSubsetStrategy="all", seed=42
+    ).fit(table)
+    got, wanted = made.transform(table), plain.transform(table)
+    assert got.columns == wanted.columns and got.count() == 4000
+    got, wanted = (models.regression_metrics(x, "y").first() for x in (got, wanted))
+    assert got["r2"] > 0.5 and tuple(got) == pytest.approx(tuple(wanted), rel=0.03)
+    assert made.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=0.02)
+    # a rare value keeps its cut, a wide feature has as many bins as Spark's learner gives it
+    assert [len(c) for c in made.cuts] == [31, 2, 1]
+    again = models.random_forest(table.repartition(7), "y", trees=3, depth=6)
+    first = models.random_forest(table, "y", trees=3, depth=6)
+    assert again.cuts == first.cuts and again.featureImportances.toArray() == pytest.approx(first.featureImportances.toArray())
+
+
+def test_draws_of_a_forest_are_a_bootstrap_of_rows(spark):
+    rows = spark.range(200_000).selectExpr("CAST(id % 4 AS DOUBLE) a", "CAST(id % 3 AS DOUBLE) y")
+    table = models.feature_table(rows, ["a"], "y")
+    cells = models.binned(table, [[0.5, 1.5, 2.5]]).groupBy("_bin_0", F.col("y").alias("_target")).agg(F.count("y").alias("_rows"))
+    held = models.drawn_cells(cells, 200, 42).toPandas()
+    draws = held.filter(like="_draws_").to_numpy()
+    assert held.shape == (12, 202)  # twelve cells for any number of rows
+    # Poisson numbers: mean and variance are the rows of a cell
+    n = 200_000 / 12
+    assert draws.mean() == pytest.approx(n, rel=0.005) and draws.var() == pytest.approx(n, rel=0.15)
+    assert draws.sum(axis=0).var() == pytest.approx(200_000, rel=0.5)
+
+
+def test_forest_without_rows_or_with_one(spark):
+    table = models.feature_table(spark.createDataFrame([(1.0, 2.0)], "a double, y double"), ["a"], "y")
+    one = models.random_forest(table, "y", trees=20, depth=2)
+    assert 0 < len(one.trees) < 20 and one.transform(table).first()["prediction"] == 2.0
+    assert one.featureImportances.toArray().tolist() == [0.0]
+    with pytest.raises(ValueError, match="no rows"):
+        models.random_forest(table.where("a > 1"), "y")
